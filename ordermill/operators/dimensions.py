@@ -163,6 +163,9 @@ def build_dimension(
     as_of: dt.date | None = None,
 ) -> DataFrame:
     """Rows to append to a dimension for these orders, keys included."""
+    if dimension is DATE and existing is not None:
+        # The calendar goes on from the days it has, also if orders are only the new ones.
+        orders = orders.select("order_dt").union(existing.select("order_dt"))
     rows = dimension.members(orders, rules, as_of or dt.date.today())
     if existing is not None:
         rows = new_members(rows, existing, list(dimension.natural_key), rules.null_safe_members)

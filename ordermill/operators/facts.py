@@ -87,8 +87,13 @@ def fact_rows(
 
 
 def unseen_fact_rows(rows: DataFrame, existing: DataFrame) -> DataFrame:
-    """Fact rows whose order and members are not in the fact table yet."""
-    return new_members(rows, existing, ["order_code", *FOREIGN_KEYS])
+    """Fact rows that are not in the fact table yet.
+
+    The dollar columns belong to the identity: an order priced late is a new row, as
+    it is in the curated orders.
+    """
+    dollars = ["exchange_rate", "us_total_order_amt", "usd_tax_amt"]
+    return new_members(rows, existing, ["order_code", *FOREIGN_KEYS, *dollars])
 
 
 def build_fact(

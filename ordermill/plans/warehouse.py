@@ -1,4 +1,10 @@
-"""The whole job over catalog tables: ingest, curate, model, audit."""
+"""The whole job over catalog tables: ingest, curate, model, audit.
+
+Every stage works on what is new. Source, curated and fact rows lie in partitions named
+by the load that wrote them; audit.load_progress says which loads a later stage has
+taken up. A stage that failed half-way is repeated by the next run and replaces or
+recognises what it had already written.
+"""
 
 from __future__ import annotations
 
@@ -10,23 +16,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordermill import schemas
-from ordermill.operators.dimensions import DATE, DIMENSIONS, build_dimension, new_members
+from ordermill.operators.dimensions import DATE, DIMENSIONS, build_dimension, match, new_members
 from ordermill.operators.facts import build_fact, union_orders
 from ordermill.operators.keys import next_key
 from ordermill.plans.curate import curate_market
-from ordermill.rules import DEFAULT, Rules
-from ordermill.shared import cut
+from ordermill.rules import DEFAULT, Market, Rules
+from ordermill.shared import broadcast_if_small
 from ordermill.sources import tables
 from ordermill.sources.rates import read_rates
 from ordermill.streaming.load_once import LOAD_ID, Load, load_new_files
 
 LAYERS = ("source", "curated", "consumption", "audit", "common")
+
+# A curated row follows from its order and the rates of its day.
+CURATED_IDENTITY = ["sales_order_key", "exchange_rate", "us_total_order_amt", "usd_tax_amt"]
+
+
+def _with_load(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema, T.StructField(LOAD_ID, T.StringType())])
+
+
 REJECTS = T.StructType(
     [
         T.StructField("bad_fields", T.StringType()),
         T.StructField("raw_record", T.StringType()),
         *(T.StructField(name, kind) for name, kind in schemas.LINEAGE),
-        T.StructField(LOAD_ID, T.StringType()),
     ]
 )
 
@@ -46,6 +60,9 @@ class Warehouse:
     def name(self, layer: str, table: str) -> str:
         return f"{self.prefix}{layer}.{table}"
 
+    def table(self, layer: str, table: str) -> DataFrame:
+        return self.spark.table(self.name(layer, table))
+
     def create(self) -> None:
         """Create what is missing; existing tables keep their data."""
         for layer in LAYERS:
@@ -53,36 +70,27 @@ class Warehouse:
                 self.spark, f"{self.prefix}{layer}", f"{self.location}/{layer}"
             )
         for market in self.rules.markets:
-            loads = T.StructType(
-                [
-                    *schemas.source_orders(market.contact_field),
-                    T.StructField(LOAD_ID, T.StringType()),
-                ]
-            )
-            self._table("source", market.source_table, loads, LOAD_ID)
-            self._table("source", f"{market.source_table}_rejects", REJECTS, LOAD_ID)
-            self._table("curated", market.source_table, schemas.CURATED_ORDERS)
+            orders = schemas.source_orders(market.contact_field)
+            self._loaded_table("source", market.source_table, orders)
+            self._loaded_table("source", f"{market.source_table}_rejects", REJECTS)
+            self._loaded_table("curated", market.source_table, schemas.CURATED_ORDERS)
         for dimension in DIMENSIONS:
             self._table("consumption", dimension.table, dimension.schema)
         tables.add_column(
             self.spark, self.name("consumption", DATE.table), "day_counter", T.LongType()
         )
-        self._table("consumption", "sales_fact", schemas.SALES_FACT)
+        self._loaded_table("consumption", "sales_fact", schemas.SALES_FACT)
         self._table("audit", "load_audit", schemas.LOAD_AUDIT)
+        self._table("audit", "load_progress", schemas.LOAD_PROGRESS)
         self._table("common", "exchange_rate", schemas.EXCHANGE_RATE)
 
-    def _table(
-        self, layer: str, table: str, schema: T.StructType, partition_by: str | None = None
-    ) -> None:
-        tables.create_table(self.spark, self.name(layer, table), schema, partition_by)
+    def _table(self, layer: str, table: str, schema: T.StructType) -> None:
+        tables.create_table(self.spark, self.name(layer, table), schema)
 
-    def table(self, layer: str, table: str) -> DataFrame:
-        return self.spark.table(self.name(layer, table))
+    def _loaded_table(self, layer: str, table: str, schema: T.StructType) -> None:
+        tables.create_table(self.spark, self.name(layer, table), _with_load(schema), LOAD_ID)
 
-    def _append(self, df: DataFrame, layer: str, table: str, load_id: str) -> int:
-        rows = tables.append(df, self.name(layer, table))
-        self._audit(self.name(layer, table), load_id, rows)
-        return rows
+    # Audit
 
     def _audit(self, table: str, load_id: str, written: int, rejected: int = 0) -> None:
         row = self.spark.range(1).select(
@@ -94,11 +102,32 @@ class Warehouse:
         )
         tables.append(row, self.name("audit", "load_audit"))
 
+    def _loads(self, layer: str, table: str) -> set[str]:
+        """Loads written to a table: one audit row each, so a short list."""
+        rows = self.table("audit", "load_audit").filter(
+            F.col("table_name") == self.name(layer, table)
+        )
+        return {r[0] for r in rows.select("load_id").distinct().collect()}
+
+    def _taken(self, stage: str) -> set[str]:
+        rows = self.table("audit", "load_progress").filter(F.col("stage") == stage)
+        return {r[0] for r in rows.select("load_id").distinct().collect()}
+
+    def _take(self, stage: str, loads: set[str]) -> None:
+        done = self.spark.createDataFrame(
+            [(stage, load) for load in sorted(loads)], schemas.LOAD_PROGRESS
+        )
+        tables.append(done, self.name("audit", "load_progress"))
+
+    # Stages
+
     def load_rates(self, path: str) -> int:
         """Add the days of a rate file that the rate table does not have yet."""
         known = self.table("common", "exchange_rate")
-        rates = cut(new_members(read_rates(self.spark, path), known, ["rate_dt"]))
-        return self._append(rates, "common", "exchange_rate", path)
+        fresh = new_members(read_rates(self.spark, path), known, ["rate_dt"])
+        rows = tables.append(fresh, self.name("common", "exchange_rate"))
+        self._audit(self.name("common", "exchange_rate"), path, rows)
+        return rows
 
     def ingest(self, landing_root: str, checkpoint_root: str, **limits: object) -> int:
         """Load the new files of all markets."""
@@ -123,54 +152,87 @@ class Warehouse:
             rows += sum(load.rows_written for load in loads)
         return rows
 
-    def curate(self, load_id: str) -> int:
-        """Append the curated orders of all markets that are not there yet.
+    def curate(self, run_id: str) -> int:
+        """Curate the days that new files or late rates have touched, in all markets."""
+        return sum(self._curate(market, run_id) for market in self.rules.markets)
 
-        A curated row follows from its order and the rates of its day, so the key and
-        the converted amounts tell whether it is known.
-        """
+    def _curate(self, market: Market, run_id: str) -> int:
+        reads_from = self.rules.market(market.reads_from)
+        stage = self.name("curated", market.source_table)
+        source = self.table("source", reads_from.source_table)
         rates = self.table("common", "exchange_rate")
+        known = self.table("curated", market.source_table)
+        pending = self._loads("source", reads_from.source_table) - self._taken(stage)
+
+        days = _days(source.filter(F.col(LOAD_ID).isin(*pending)))
+        unpriced = _days(known.filter(F.col("us_total_order_amt").isNull()))
+        days = days.union(
+            unpriced.join(rates, F.col("day") == F.col("rate_dt"), "left_semi")
+        ).distinct()
+        days = broadcast_if_small(days)
+        if days.isEmpty():
+            return 0
+        curated = curate_market(_on_days(source, days), rates, market, self.rules)
+        fresh = new_members(curated, _on_days(known, days), CURATED_IDENTITY)
+        rows = tables.append(fresh.withColumn(LOAD_ID, F.lit(run_id)), stage, LOAD_ID)
+        self._audit(stage, run_id, rows)
+        if pending:
+            self._take(stage, pending)
+        return rows
+
+    def model(self, run_id: str, as_of: dt.date) -> int:
+        """Extend dimensions and fact by the curated rows not modelled yet.
+
+        Each curated load becomes the fact partition of the same name. Strict parity
+        models all curated orders again in every run.
+        """
+        curated = {m.source_table for m in self.rules.markets}
+        loads = set().union(*(self._loads("curated", table) for table in curated))
+        if not self.rules.incremental_fact:
+            return self._model(None, run_id, as_of)
+        stage = self.name("consumption", "sales_fact")
         rows = 0
-        for market in self.rules.markets:
-            reads_from = self.rules.market(market.reads_from)
-            source = self.table("source", reads_from.source_table)
-            curated = curate_market(source, rates, market, self.rules)
-            known = self.table("curated", market.source_table)
-            identity = ["sales_order_key", "exchange_rate", "us_total_order_amt", "usd_tax_amt"]
-            fresh = cut(new_members(curated, known, identity))
-            rows += self._append(fresh, "curated", market.source_table, load_id)
+        for load_id in sorted(loads - self._taken(stage)):
+            rows += self._model(load_id, load_id, as_of)
+            self._take(stage, {load_id})
         return rows
 
-    def model(self, load_id: str, as_of: dt.date) -> int:
-        """Extend the dimensions and the fact by what the curated orders add."""
-        curated = [self.table("curated", m.source_table) for m in self.rules.markets]
+    def _model(self, curated_load: str | None, fact_load: str, as_of: dt.date) -> int:
+        orders = []
+        for market in self.rules.markets:
+            rows = self.table("curated", market.source_table)
+            if curated_load is not None:
+                rows = rows.filter(F.col(LOAD_ID) == curated_load)
+            orders.append(rows.drop(LOAD_ID))
         # Repeated rows do not change a dimension; only the fact needs them removed.
-        every = curated[0]
-        for other in curated[1:]:
+        every = orders[0]
+        for other in orders[1:]:
             every = every.unionByName(other)
         for dimension in DIMENSIONS:
-            known = self.table("consumption", dimension.table)
-            rows = build_dimension(dimension, every, known, self.rules, as_of)
-            fixed = rows if dimension.has_sequence else cut(rows)
-            self._append(fixed, "consumption", dimension.table, load_id)
+            name = self.name("consumption", dimension.table)
+            known = self.spark.table(name)
+            fresh = build_dimension(dimension, every, known, self.rules, as_of)
+            self._audit(name, fact_load, tables.append(fresh, name))
         members = {d.table: self.table("consumption", d.table) for d in DIMENSIONS}
-        fact = self.table("consumption", "sales_fact")
-        rows = build_fact(
-            union_orders(*curated),
+        fact = self.table("consumption", "sales_fact").filter(F.col(LOAD_ID) != fact_load)
+        facts = build_fact(
+            union_orders(*orders),
             members,
-            fact,
-            self.rules,
+            rules=self.rules,
             start=next_key(fact, "order_id_pk"),
             ordered=False,
         )
-        return self._append(rows, "consumption", "sales_fact", load_id)
+        name = self.name("consumption", "sales_fact")
+        written = tables.replace_partition(facts, name, LOAD_ID, fact_load)
+        self._audit(name, fact_load, written)
+        return written
 
     def run(
         self,
         landing_root: str,
         rates_path: str,
         checkpoint_root: str,
-        load_id: str,
+        run_id: str,
         as_of: dt.date | None = None,
         **limits: object,
     ) -> dict[str, int]:
@@ -179,6 +241,14 @@ class Warehouse:
         return {
             "rates": self.load_rates(rates_path),
             "ingested": self.ingest(landing_root, checkpoint_root, **limits),
-            "curated": self.curate(load_id),
-            "facts": self.model(load_id, as_of or dt.date.today()),
+            "curated": self.curate(run_id),
+            "facts": self.model(run_id, as_of or dt.date.today()),
         }
+
+
+def _days(orders: DataFrame) -> DataFrame:
+    return orders.select(F.col("order_dt").alias("day")).distinct()
+
+
+def _on_days(orders: DataFrame, days: DataFrame) -> DataFrame:
+    return orders.join(days, match(orders, days, {"order_dt": "day"}, True), "left_semi")

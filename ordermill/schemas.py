@@ -169,3 +169,5 @@ LOAD_AUDIT = _struct(
     ("rows_rejected", COUNT),
     ("loaded_at", MOMENT),
 )
+
+LOAD_PROGRESS = _struct(("stage", TEXT), ("load_id", TEXT))

@@ -264,7 +264,7 @@ def file_inventory(spark: SparkSession, root: str, extension: str = "*") -> Data
     folders = F.regexp_extract("path", r"((?:/[^/=]+=[^/]+)+)/[^/]+$", 1)
     return files.select(
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        F.ltrim(F.lit("/"), folders).alias("partition_dir"),
+        F.ltrim(folders, F.lit("/")).alias("partition_dir"),
         "path",
         "length",
         F.col("modificationTime").alias("modified_at"),

@@ -37,10 +37,10 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def append(df: DataFrame, table: str) -> int:
+def append(df: DataFrame, table: str, *partition_by: str) -> int:
     """Append by column name and return the rows written, counted while writing."""
     counted, seen = _counted(df)
-    counted.write.mode("append").saveAsTable(table)
+    counted.write.mode("append").partitionBy(*partition_by).saveAsTable(table)
     return seen.get["rows"]
 
 
