@@ -45,12 +45,15 @@ def append(df: DataFrame, table: str, *partition_by: str) -> int:
 
 
 def replace_partition(df: DataFrame, table: str, partition: str, value: str) -> int:
-    """Write df as one partition, replacing what an earlier attempt left in it."""
-    columns = df.sparkSession.table(table).columns
-    counted, seen = _counted(df.withColumn(partition, F.lit(value)).select(*columns))
-    (
-        counted.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
+    """Write df as one partition, replacing what an earlier attempt left in it.
+
+    The partition is fixed in the statement, so all others stay as they are.
+    """
+    spark = df.sparkSession
+    columns = [c for c in spark.table(table).columns if c != partition]
+    counted, seen = _counted(df.select(*columns))
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION ({partition} = '{value}') SELECT * FROM {{rows}}",
+        rows=counted,
     )
     return seen.get["rows"]
