@@ -6,6 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from ordermill.operators import facts, filters, keys, latest, quality, rates
 from ordermill.plans.curate import curate_market, curate_orders
 from ordermill.plans.warehouse import REJECTS, Warehouse
 from ordermill.rules import DEFAULT, FRANCE, INDIA, PARITY, USA, Market, Rules
-from ordermill.shared import cut, new_folder
+from ordermill.shared import cut, new_folder, together
 from ordermill.sources import landing, sample, sample_landing, tables
 from ordermill.sources.rates import read_rates
 from ordermill.streaming.load_once import LOAD_ID, load_new_files
@@ -143,10 +144,11 @@ def _incremental(dimension: dims.Dimension) -> Query:
 
 
 def _dimension_tables(curated: DataFrame) -> dict[str, DataFrame]:
-    return {
-        d.table: cut(dims.build_dimension(d, curated, as_of=AS_OF), d.table)
-        for d in dims.DIMENSIONS
-    }
+    def build(dimension: dims.Dimension) -> DataFrame:
+        return cut(dims.build_dimension(dimension, curated, as_of=AS_OF), dimension.table)
+
+    built = together(partial(build, d) for d in dims.DIMENSIONS)
+    return {d.table: rows for d, rows in zip(dims.DIMENSIONS, built, strict=True)}
 
 
 def _fact(rules: Rules) -> Query:

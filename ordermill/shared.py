@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+Result = TypeVar("Result")
+
 # A broadcast side is a few narrow columns per row, so this is some 100 MB at most.
 BROADCAST_ROWS = 1_000_000
 
@@ -45,11 +50,26 @@ def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """df, and an observation that gets its number of rows when it is written."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Evaluate df once and hint it for broadcast if it has at most max_rows rows.
 
     A larger one is returned without a hint and joins by shuffle, where adaptive
     execution splits the hot keys.
     """
-    fixed = cut(df, "small")
-    return F.broadcast(fixed) if fixed.count() <= max_rows else fixed
+    observed, seen = counted(df)
+    fixed = cut(observed, "small")
+    return F.broadcast(fixed) if seen.get["rows"] <= max_rows else fixed
+
+
+def together(jobs: Iterable[Callable[[], Result]]) -> list[Result]:
+    """Run independent jobs at the same time, so that small ones share the cluster."""
+    jobs = list(jobs)
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        running = [pool.submit(job) for job in jobs]
+        return [job.result() for job in running]

@@ -17,11 +17,20 @@ QUARTER_RATES = {
     4: ("1", "1.0876", "1.3588", "0.8112", "82.2064", "132.3684"),
 }
 DAY_WITHOUT_RATE = 13
+
+# The columns used of the sample tables.
+TABLES = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int",
+}
 PRODUCTS = 200
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _by_region(position: int):

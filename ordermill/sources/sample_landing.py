@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.rules import DEFAULT, Market
-from ordermill.sources.landing import CSV_NULL, FIELDS
+from ordermill.shared import together
+from ordermill.sources.landing import CSV_NULL, FIELDS, landing_path
 from ordermill.sources.sample import daily_rates, sales_orders
 
 # Orders whose key is a multiple of these get a fault or an oddity.
@@ -61,7 +64,6 @@ def file_fields(orders: DataFrame, market: Market) -> DataFrame:
 def write_files(rows: DataFrame, market: Market, root: str) -> None:
     """Add rows of file_fields to the landing area in the market's format."""
     by_label = [F.col(f.column).alias(f.label) for f in FIELDS]
-    tags = {"source": F.lit(market.country), "format": F.lit(market.file_format)}
     if market.file_format == "json":
         record = F.to_json(F.struct(*by_label))
         chunk = (F.col("_key") / KEYS_PER_ARRAY).cast("bigint")
@@ -70,17 +72,17 @@ def write_files(rows: DataFrame, market: Market, root: str) -> None:
             .agg(F.concat_ws(",\n", F.array_sort(F.collect_list(record))).alias("_body"))
             .select(F.concat(F.lit("[\n"), "_body", F.lit("\n]")).alias("value"), "date")
         )
-        writer = arrays.withColumns(tags).write.option("maxRecordsPerFile", 1).format("text")
+        writer = arrays.write.option("maxRecordsPerFile", 1).format("text")
     elif market.file_format == "parquet":
-        writer = rows.select(*by_label, "date").withColumns(tags).write.format("parquet")
+        writer = rows.select(*by_label, "date").write.format("parquet")
     else:
         plain = rows.select(*(f.column for f in FIELDS), "date")
         writer = (
-            plain.withColumns(tags)
-            .write.format("csv")
+            plain.write.format("csv")
             .options(header=True, escape='"', quoteAll=False, emptyValue='""')
         )
-    writer.partitionBy("source", "format", "date").mode("append").save(root)
+    # Each market has a folder of its own to commit to, so several can be written at once.
+    writer.partitionBy("date").mode("append").save(landing_path(root, market))
 
 
 def write_landing(
@@ -88,8 +90,9 @@ def write_landing(
 ) -> None:
     """Land the sample orders of the given markets."""
     orders = sales_orders(spark, sf_dir)
-    for market in markets:
-        write_files(file_fields(orders, market), market, root)
+    together(
+        partial(write_files, file_fields(orders, market), market, root) for market in markets
+    )
 
 
 def write_rates(spark: SparkSession, sf_dir: str, path: str, day_header: str) -> None:

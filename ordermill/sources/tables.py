@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ordermill.shared import counted
+
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     where = f" LOCATION '{location}'" if location else ""
@@ -32,15 +33,10 @@ def scan(spark: SparkSession, table: str, *columns: str) -> DataFrame:
     return df.select(*columns) if columns else df
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
-
-
 def append(df: DataFrame, table: str, *partition_by: str) -> int:
     """Append by column name and return the rows written, counted while writing."""
-    counted, seen = _counted(df)
-    counted.write.mode("append").partitionBy(*partition_by).saveAsTable(table)
+    rows, seen = counted(df)
+    rows.write.mode("append").partitionBy(*partition_by).saveAsTable(table)
     return seen.get["rows"]
 
 
@@ -51,9 +47,9 @@ def replace_partition(df: DataFrame, table: str, partition: str, value: str) ->
     """
     spark = df.sparkSession
     columns = [c for c in spark.table(table).columns if c != partition]
-    counted, seen = _counted(df.select(*columns))
+    rows, seen = counted(df.select(*columns))
     spark.sql(
         f"INSERT OVERWRITE TABLE {table} PARTITION ({partition} = '{value}') SELECT * FROM {{rows}}",
-        rows=counted,
+        rows=rows,
     )
     return seen.get["rows"]
