@@ -97,16 +97,24 @@ def _lineage(*extra: Column) -> list[Column]:
 
 
 def raw_csv(reader, path: str, base: str | None = None, multi_line: bool = False) -> DataFrame:
-    """Fields by position, as text; multi_line allows line breaks inside quotes."""
+    """Fields by position, as text. Missing fields are NULL and further ones ignored.
+
+    Files are split, which takes one line per row. A line with an open quote belongs to
+    a row with a line break inside; it is marked as corrupt. multi_line reads such
+    files, each in one task.
+    """
     rows = _load(
-        reader.schema(_text_schema(f.column for f in FIELDS))
+        reader.schema(_text_schema((*(f.column for f in FIELDS), _CORRUPT)))
         .options(**CSV_OPTIONS)
+        .option("columnNameOfCorruptRecord", _CORRUPT)
         .option("multiLine", multi_line)
         .format("csv"),
         path,
         base,
     )
-    return rows.select(*(f.column for f in FIELDS), *_lineage(), *_date(rows))
+    quotes = F.length(F.regexp_replace(_CORRUPT, '[^"]', ""))
+    open_quote = F.when(quotes % 2 == 1, F.col(_CORRUPT)).alias(_CORRUPT)
+    return rows.select(*(f.column for f in FIELDS), open_quote, *_lineage(), *_date(rows))
 
 
 def raw_parquet(
