@@ -1,8 +1,10 @@
 """Surrogate keys and file row numbers without a one-task window.
 
-Rows are numbered inside each task while they are written to shared storage. The
-written rows are counted per task, and the running sum of these counts (one row per
-task) shifts the numbers of each task behind those of the tasks before it.
+Gapless numbers: rows are numbered inside each task while they are written to shared
+storage. The written rows are counted per task, and the running sum of these counts
+(one row per task) shifts the numbers of each task behind those of the tasks before it.
+
+Numbers with gaps, as a sequence gives them, need none of this and no second write.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from ordermill.shared import broadcast_if_small, cut
 
 SLOT = "_slot"
 _TASK_BITS = 33  # monotonically_increasing_id keeps the task above, the row below
+_SPACING = 1 << 24  # more tasks than a stage can have
 
 
 def _task(slot: Column) -> Column:
@@ -48,18 +51,28 @@ def number_labelled(labelled: DataFrame, key: str, start: int = 1) -> DataFrame:
     )
 
 
-def assign_keys(
-    rows: DataFrame, key: str, order_by: list[str] | None = None, start: int = 1
-) -> DataFrame:
-    """Rows with a new first column key: start, start + 1, ... without gaps.
+def assign_keys(rows: DataFrame, key: str, order_by: list[str], start: int = 1) -> DataFrame:
+    """Rows with a new first column key: start, start + 1, ... in the given order.
 
-    With order_by, keys follow that order (NULLs last): a range shuffle and a sort
-    within each task. Without it they follow the layout and nothing is shuffled.
+    NULLs come last. One range shuffle and a sort within each task.
     """
-    if order_by:
-        order = [F.col(c).asc_nulls_last() for c in order_by]
-        rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    return number_labelled(label_rows(rows), key, start)
+    order = [F.col(c).asc_nulls_last() for c in order_by]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return number_labelled(label_rows(ordered), key, start)
+
+
+def spaced_key(start: int = 1) -> Column:
+    """Unique key from start on, made in the pass that writes the rows.
+
+    Task t takes start + t and every _SPACING-th number after it, so the tasks share the
+    range without knowing of each other. A task that is repeated writes other rows under
+    its numbers only if those of the first attempt were thrown away.
+    """
+    slot = F.monotonically_increasing_id()
+    key = F.lit(start) + _row_in_task(slot) * _SPACING + _task(slot)
+    return F.when(_task(slot) < _SPACING, key).otherwise(
+        F.raise_error(F.lit("more tasks than key spaces"))
+    )
 
 
 def next_key(existing: DataFrame, key: str) -> int:

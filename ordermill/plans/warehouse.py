@@ -191,7 +191,9 @@ class Warehouse:
         holding = _on_days(source.select("order_dt", LOAD_ID), days).select(LOAD_ID).distinct()
         source = source.filter(F.col(LOAD_ID).isin(*(r[0] for r in holding.collect())))
         curated = curate_market(_on_days(source, days), rates, market, self.rules)
-        fresh = new_members(curated, _on_days(known, days), CURATED_IDENTITY)
+        # Narrow, and none at all for days that are new.
+        known = broadcast_if_small(_on_days(known, days).select(*CURATED_IDENTITY))
+        fresh = new_members(curated, known, CURATED_IDENTITY)
         rows = tables.append(fresh.withColumn(LOAD_ID, F.lit(run_id)), stage, LOAD_ID)
         self._audit(stage, run_id, rows)
         if pending:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordermill.functions.casts import CASTS, tokens_to_null
-from ordermill.operators.keys import label_rows, number_file_rows
+from ordermill.operators.keys import label_rows, number_file_rows, spaced_key
 from ordermill.rules import DEFAULT, Market, Rules
 from ordermill.schemas import source_orders
 
@@ -225,17 +225,24 @@ def typed_orders(raw: DataFrame, named: bool, rules: Rules = DEFAULT) -> DataFra
 def stage_orders(
     raw: DataFrame, market: Market, rules: Rules = DEFAULT, start: int = 1
 ) -> DataFrame:
-    """Typed rows written to shared storage once, with row numbers and keys.
+    """Typed rows with row numbers in their files and keys; bad rows use up keys too.
 
-    Accepted and rejected rows are then read from there. A rejected row uses up its
-    key like any other.
+    Parquet knows the position of a row, so these files are read in place. Rows of the
+    other formats are written to shared storage once, counted there, and accepted and
+    rejected rows are read from the copy instead of parsing the text again.
     """
-    labelled = label_rows(typed_orders(raw, market.file_format != "csv", rules))
-    numbered = number_file_rows(
-        labelled, FILE, BLOCK, "_metadata_row_number", "sales_order_key", start
-    )
-    if ROW_INDEX in numbered.columns:
-        numbered = numbered.withColumn("_metadata_row_number", F.col(ROW_INDEX) + 1)
+    typed = typed_orders(raw, market.file_format != "csv", rules)
+    if ROW_INDEX in typed.columns:
+        numbered = typed.withColumns(
+            {
+                "_metadata_row_number": F.col(ROW_INDEX) + 1,
+                "sales_order_key": spaced_key(start),
+            }
+        )
+    else:
+        numbered = number_file_rows(
+            label_rows(typed), FILE, BLOCK, "_metadata_row_number", "sales_order_key", start
+        )
     return numbered.withColumnsRenamed(
         {FILE: "_metadata_file_name", MODIFIED: "_metadata_last_modified"}
     )

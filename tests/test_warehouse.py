@@ -124,7 +124,8 @@ def test_runs_add_only_what_is_new(warehouse, tmp_path):
 
     assert [code for code, _ in _facts(warehouse)] == ["A", "B", "C", "D"]
     fact = warehouse.table("consumption", "sales_fact")
-    assert sorted(r["order_id_pk"] for r in fact.collect()) == [1, 2, 3, 4, 5]
+    assert fact.count() == 5
+    assert duplicate_keys(fact, "order_id_pk").isEmpty()
     members = {d.table: warehouse.table("consumption", d.table) for d in DIMENSIONS}
     assert orphans(fact, members).isEmpty()
     for dimension in DIMENSIONS:
