@@ -317,6 +317,7 @@ def _warehouse_counts() -> str:
             )
     rows.append("SELECT 'exchange rates', COUNT(*) FROM rates")
     empty = (
+        *(f"{country} audit wrong" for country in ("IN", "US", "FR")),
         "orphans",
         "facts beyond curated",
         "curated beyond facts",

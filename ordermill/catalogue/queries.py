@@ -367,6 +367,12 @@ def warehouse_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
         loaded = warehouse.table("source", market.source_table)
         bad = warehouse.table("source", f"{market.source_table}_rejects")
         counts += [(f"{market.country} source", loaded), (f"{market.country} rejects", bad)]
+        audited = warehouse.table("audit", "load_audit").filter(
+            F.col("table_name") == warehouse.name("source", market.source_table)
+        )
+        audited = audited.agg(F.sum("rows_written").alias("rows"))
+        held = loaded.agg(F.count(F.lit(1)).alias("rows"))
+        counts.append((f"{market.country} audit wrong", audited.exceptAll(held)))
     curated = [warehouse.table("curated", m.source_table) for m in DEFAULT.markets]
     dated = facts.union_orders(*curated).filter(F.col("order_dt").isNotNull())
     counts += [

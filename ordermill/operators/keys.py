@@ -27,9 +27,9 @@ def _row_in_task(slot: Column) -> Column:
     return slot.bitwiseAND(F.lit((1 << _TASK_BITS) - 1))
 
 
-def label_rows(rows: DataFrame) -> DataFrame:
+def label_rows(rows: DataFrame, path: str | None = None) -> DataFrame:
     """Write rows to shared storage with the slot each one had in its task."""
-    return cut(rows.withColumn(SLOT, F.monotonically_increasing_id()), "labelled")
+    return cut(rows.withColumn(SLOT, F.monotonically_increasing_id()), "labelled", path)
 
 
 def number_labelled(labelled: DataFrame, key: str, start: int = 1) -> DataFrame:

@@ -168,6 +168,8 @@ class Warehouse:
 
     def curate(self, run_id: str) -> int:
         """Curate the days that new files or late rates have touched, in all markets."""
+        if run_id in self._taken(self.name("consumption", "sales_fact")):
+            raise ValueError(f"run {run_id} is complete, choose another name")
         return sum(together(partial(self._curate, m, run_id) for m in self.rules.markets))
 
     def _curate(self, market: Market, run_id: str) -> int:

@@ -39,17 +39,23 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, label: str = "cut") -> DataFrame:
+def cut(df: DataFrame, label: str = "cut", path: str | None = None) -> DataFrame:
     """Write df as Parquet to shared storage once and go on from the files.
 
     The result no longer depends on executors staying alive, later reads prune
     columns, and the optimizer knows its size from the files.
     """
-    path = new_folder(df.sparkSession, label)
+    path = path or new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     """df, and an observation that gets its number of rows when it is written."""
     seen = Observation()

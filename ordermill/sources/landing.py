@@ -223,13 +223,18 @@ def typed_orders(raw: DataFrame, named: bool, rules: Rules = DEFAULT) -> DataFra
 
 
 def stage_orders(
-    raw: DataFrame, market: Market, rules: Rules = DEFAULT, start: int = 1
+    raw: DataFrame,
+    market: Market,
+    rules: Rules = DEFAULT,
+    start: int = 1,
+    path: str | None = None,
 ) -> DataFrame:
     """Typed rows with row numbers in their files and keys; bad rows use up keys too.
 
     Parquet knows the position of a row, so these files are read in place. Rows of the
     other formats are written to shared storage once, counted there, and accepted and
-    rejected rows are read from the copy instead of parsing the text again.
+    rejected rows are read from the copy, in path if given, instead of parsing the text
+    again.
     """
     typed = typed_orders(raw, market.file_format != "csv", rules)
     if ROW_INDEX in typed.columns:
@@ -241,7 +246,12 @@ def stage_orders(
         )
     else:
         numbered = number_file_rows(
-            label_rows(typed), FILE, BLOCK, "_metadata_row_number", "sales_order_key", start
+            label_rows(typed, path),
+            FILE,
+            BLOCK,
+            "_metadata_row_number",
+            "sales_order_key",
+            start,
         )
     return numbered.withColumnsRenamed(
         {FILE: "_metadata_file_name", MODIFIED: "_metadata_last_modified"}

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ordermill.operators.keys import next_key
 from ordermill.rules import DEFAULT, Market, Rules
+from ordermill.shared import discard, new_folder
 from ordermill.sources import landing, tables
 
 LOAD_ID = "load_id"
@@ -47,14 +48,17 @@ def write_batch(
     spark = batch.sparkSession
     others = spark.table(table).filter(F.col(LOAD_ID) != load_id)
     start = next_key(others, "sales_order_key")
-    staged = landing.stage_orders(batch, market, rules, start)
+    copy = new_folder(spark, "staged")
+    staged = landing.stage_orders(batch, market, rules, start, copy)
     good = landing.accepted(staged, market)
     bad = landing.rejected(staged)
-    return Load(
+    load = Load(
         load_id,
         tables.replace_partition(good, table, LOAD_ID, load_id),
         tables.replace_partition(bad, rejects, LOAD_ID, load_id),
     )
+    discard(spark, copy)
+    return load
 
 
 def load_new_files(

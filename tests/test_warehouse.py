@@ -168,6 +168,14 @@ def test_run_after_a_failure_takes_up_what_was_left(warehouse, tmp_path, monkeyp
     assert keys.isEmpty()
 
 
+def test_name_of_a_complete_run_is_refused(warehouse, tmp_path):
+    root, rates = tmp_path / "landing", _rates(tmp_path / "rates.csv", "2023-01-01")
+    _drop(root, "2023-01-01", ("A", "2023-01-01", 1, "Ann"))
+    warehouse.run(str(root), rates, str(tmp_path / "cp"), "r1", AS_OF)
+    with pytest.raises(ValueError, match="r1"):
+        warehouse.run(str(root), rates, str(tmp_path / "cp"), "r1", AS_OF)
+
+
 def test_strict_parity_appends_the_whole_fact_again(spark, tmp_path):
     rules = Rules(markets=(INDIA,), incremental_fact=PARITY.incremental_fact)
     warehouse = Warehouse(spark, str(tmp_path / "wh"), f"w{uuid.uuid4().hex}_", rules)
