@@ -15,23 +15,20 @@ from ordermill.rules import DEFAULT, Market, Rules
 from ordermill.schemas import CURATED_ORDERS
 
 
-def _per_market(rules: Rules, choose: Callable[[Market], Column]) -> Column:
-    """The column chosen for the market of each row."""
-    first, *others = rules.markets
-    pick = F.when(F.col("country") == first.country, choose(first))
-    for market in others:
-        pick = pick.when(F.col("country") == market.country, choose(market))
-    return pick
+def _per_market(rules: Rules, choose: Callable[[Market], str]) -> Column:
+    """The expression chosen for the market of each row."""
+    cases = " ".join(f"WHEN '{m.country}' THEN {choose(m)}" for m in rules.markets)
+    return F.expr(f"CASE country {cases} END")
 
 
 def curate_orders(orders: DataFrame, rates: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     """Curate orders that carry country, region and contact_no, of any markets."""
     latest = latest_file_per_day(paid_and_delivered(orders))
     priced = with_rates(latest, rates)
-    rate = _per_market(rules, lambda m: F.col(m.rate_column))
-    divisor = _per_market(rules, lambda m: F.col(m.divisor_column))
-    values = {
-        "local_currency": _per_market(rules, lambda m: F.lit(m.currency)),
+    rate = _per_market(rules, lambda m: m.rate_column)
+    divisor = _per_market(rules, lambda m: m.divisor_column)
+    values: dict[str, Column] = {
+        "local_currency": _per_market(rules, lambda m: f"'{m.currency}'"),
         "local_unit_price": F.col("unit_price"),
         "local_total_order_amt": F.col("final_order_amount"),
         "local_tax_amt": F.col("tax_amount"),

@@ -33,18 +33,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _by_region(position: int):
-    pick = F.when(F.lit(False), F.lit(None).cast("string"))
-    for key, market in REGION_MARKETS.items():
-        pick = pick.when(F.col("n_regionkey") == key, market[position])
-    return pick
+_REGION_CASE = "CASE n_regionkey {} END"
+
+# The columns of the source tables, as expressions over the joined sample tables.
+ORDER_COLUMNS = (
+    "o_orderkey AS sales_order_key",
+    "concat('ORD-', o_orderkey) AS order_id",
+    "cast(o_orderdate AS date) AS order_dt",
+    "c_name AS customer_name",
+    # Some keys lack their last part.
+    "concat_ws('/', p_brand, p_name, p_type, if(p_partkey % 50 = 0, null, p_size)) AS mobile_key",
+    _REGION_CASE.format(" ".join(f"WHEN {k} THEN '{m[0]}'" for k, m in REGION_MARKETS.items()))
+    + " AS country",
+    _REGION_CASE.format(" ".join(f"WHEN {k} THEN '{m[1]}'" for k, m in REGION_MARKETS.items()))
+    + " AS region",
+    "o_orderkey % 4 + 1 AS order_quantity",
+    "cast(o_orderkey % 900 + 100 AS decimal(38,0)) AS unit_price",
+    "cast((o_orderkey % 900 + 100) * (o_orderkey % 4 + 1) AS decimal(38,0)) AS order_value",
+    "if(o_orderkey % 5 = 0, null, concat('PROMO', o_orderkey % 7)) AS promotion_code",
+    "cast(o_totalprice AS decimal(10,2)) AS final_order_amount",
+    "cast(o_orderkey % 1000 AS decimal(10,2)) AS tax_amount",
+    "if(o_orderstatus = 'F', 'Paid', 'Pending') AS payment_status",
+    "if(o_orderpriority = '5-LOW', 'Shipped', 'Delivered') AS shipping_status",
+    "o_orderpriority AS payment_method",
+    "nullif(c_mktsegment, 'MACHINERY') AS payment_provider",
+    "concat('PH-', o_custkey, '-', o_orderkey % 2) AS contact_no",
+    "concat(n_name, '-', c_custkey) AS shipping_address",
+    "o_orderdate + make_dt_interval(cast(o_orderkey % 3 AS int)) AS _metadata_last_modified",
+)
 
 
 def sales_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders of all three markets in the shape of the source tables."""
-    nations = table(spark, sf_dir, "nation").filter(
-        F.col("n_regionkey").isin(*REGION_MARKETS)
-    )
+    nations = table(spark, sf_dir, "nation").filter(F.col("n_regionkey").isin(*REGION_MARKETS))
     # Nations go first: they are few and drop the customers of other regions.
     customers = table(spark, sf_dir, "customer").join(
         nations, F.col("c_nationkey") == F.col("n_nationkey")
@@ -53,65 +74,24 @@ def sales_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = F.broadcast(
         table(spark, sf_dir, "part").filter(F.col("p_partkey").between(0, PRODUCTS - 1))
     )
-    key = F.col("o_orderkey")
     joined = (
         table(spark, sf_dir, "orders")
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(parts, F.col("p_partkey") == key % PRODUCTS)
-    )
-    short_key = F.concat_ws("/", "p_brand", "p_name", "p_type")
-    return joined.select(
-        key.alias("sales_order_key"),
-        F.concat(F.lit("ORD-"), key.cast("string")).alias("order_id"),
-        F.col("o_orderdate").cast("date").alias("order_dt"),
-        F.col("c_name").alias("customer_name"),
-        F.when(F.col("p_partkey") % 50 == 0, short_key)
-        .otherwise(F.concat_ws("/", short_key, F.col("p_size").cast("string")))
-        .alias("mobile_key"),
-        _by_region(0).alias("country"),
-        _by_region(1).alias("region"),
-        (key % 4 + 1).alias("order_quantity"),
-        (key % 900 + 100).cast("decimal(38,0)").alias("unit_price"),
-        ((key % 900 + 100) * (key % 4 + 1)).cast("decimal(38,0)").alias("order_value"),
-        F.when(key % 5 != 0, F.concat(F.lit("PROMO"), (key % 7).cast("string"))).alias(
-            "promotion_code"
-        ),
-        F.col("o_totalprice").cast("decimal(10,2)").alias("final_order_amount"),
-        (key % 1000).cast("decimal(10,2)").alias("tax_amount"),
-        F.when(F.col("o_orderstatus") == "F", "Paid")
-        .otherwise("Pending")
-        .alias("payment_status"),
-        F.when(F.col("o_orderpriority") == "5-LOW", "Shipped")
-        .otherwise("Delivered")
-        .alias("shipping_status"),
-        F.col("o_orderpriority").alias("payment_method"),
-        F.when(F.col("c_mktsegment") != "MACHINERY", F.col("c_mktsegment")).alias(
-            "payment_provider"
-        ),
-        F.concat(
-            F.lit("PH-"), F.col("o_custkey").cast("string"), F.lit("-"),
-            (key % 2).cast("string"),
-        ).alias("contact_no"),
-        F.concat_ws("-", "n_name", F.col("c_custkey").cast("string")).alias("shipping_address"),
-        (F.col("o_orderdate") + F.make_dt_interval((key % 3).cast("int"))).alias(
-            "_metadata_last_modified"
-        ),
+        .join(parts, F.col("p_partkey") == F.col("o_orderkey") % PRODUCTS)
     )
+    return joined.selectExpr(*ORDER_COLUMNS)
 
 
 def daily_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One rate row for each order day, except the thirteenth of each month."""
     days = (
         table(spark, sf_dir, "orders")
-        .select(F.col("o_orderdate").cast("date").alias("rate_dt"))
-        .filter(F.dayofmonth("rate_dt") != DAY_WITHOUT_RATE)
+        .selectExpr("cast(o_orderdate AS date) AS rate_dt")
+        .filter(f"dayofmonth(rate_dt) <> {DAY_WITHOUT_RATE}")
         .distinct()
     )
-    quarter = F.quarter("rate_dt")
     rates = []
     for position, name in enumerate(RATE_COLUMNS):
-        value = F.when(F.lit(False), F.lit(None).cast("string"))
-        for number, row in QUARTER_RATES.items():
-            value = value.when(quarter == number, row[position])
-        rates.append(value.cast("decimal(10,7)").alias(name))
-    return days.select("rate_dt", *rates)
+        cases = " ".join(f"WHEN {q} THEN '{row[position]}'" for q, row in QUARTER_RATES.items())
+        rates.append(f"cast(CASE quarter(rate_dt) {cases} END AS decimal(10,7)) AS {name}")
+    return days.selectExpr("rate_dt", *rates)
