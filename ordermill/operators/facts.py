@@ -30,6 +30,10 @@ FOREIGN_KEYS = {
     "promo_code_id_fk": PROMO_CODE,
 }
 
+# The customers are the only members that may be too many to broadcast. They come last,
+# when the other natural keys have been replaced, so that narrower rows are shuffled.
+LOOKUPS = sorted(FOREIGN_KEYS, key=lambda name: FOREIGN_KEYS[name] is CUSTOMER)
+
 # Identity of an order among those of all markets, then of its fact rows.
 FACT_ORDER = ("country", "sales_order_key", *FOREIGN_KEYS)
 
@@ -74,7 +78,8 @@ def fact_rows(
 ) -> DataFrame:
     """Fact rows without their own key; country and sales_order_key are kept."""
     rows = orders.withColumn("promotion_code", promotion_or_default(F.col("promotion_code")))
-    for foreign_key, dimension in FOREIGN_KEYS.items():
+    for foreign_key in LOOKUPS:
+        dimension = FOREIGN_KEYS[foreign_key]
         rows = _lookup(rows, dimensions[dimension.table], dimension, foreign_key, rules)
     measures = SALES_FACT.fieldNames()[8:]
     return rows.select(

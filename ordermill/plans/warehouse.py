@@ -30,7 +30,7 @@ from ordermill.operators.facts import build_fact, union_orders
 from ordermill.operators.keys import next_key
 from ordermill.plans.curate import curate_market
 from ordermill.rules import DEFAULT, Market, Rules
-from ordermill.shared import broadcast_if_small, together
+from ordermill.shared import broadcast_if_small, shuffles_for, together
 from ordermill.sources import tables
 from ordermill.sources.rates import read_rates
 from ordermill.streaming.load_once import LOAD_ID, Load, load_new_files
@@ -121,6 +121,12 @@ class Warehouse:
         )
         return {r[0] for r in rows.select("load_id").distinct().collect()}
 
+    def _rows(self, layer: str) -> int:
+        """Rows that all loads have written to the tables of a layer."""
+        names = [self.name(layer, m.source_table) for m in self.rules.markets]
+        rows = self.table("audit", "load_audit").filter(F.col("table_name").isin(*names))
+        return rows.agg(F.coalesce(F.sum("rows_written"), F.lit(0))).first()[0]
+
     def _taken(self, stage: str) -> set[str]:
         rows = self.table("audit", "load_progress").filter(F.col("stage") == stage)
         return {r[0] for r in rows.select("load_id").distinct().collect()}
@@ -170,7 +176,8 @@ class Warehouse:
         """Curate the days that new files or late rates have touched, in all markets."""
         if run_id in self._taken(self.name("consumption", "sales_fact")):
             raise ValueError(f"run {run_id} is complete, choose another name")
-        return sum(together(partial(self._curate, m, run_id) for m in self.rules.markets))
+        with shuffles_for(self.spark, self._rows("source")):
+            return sum(together(partial(self._curate, m, run_id) for m in self.rules.markets))
 
     def _curate(self, market: Market, run_id: str) -> int:
         reads_from = self.rules.market(market.reads_from)
@@ -208,16 +215,17 @@ class Warehouse:
         Each curated load becomes the fact partition of the same name. Strict parity
         models all curated orders again in every run.
         """
-        curated = {m.source_table for m in self.rules.markets}
-        loads = set().union(*(self._loads("curated", table) for table in curated))
-        if not self.rules.incremental_fact:
-            return self._model(None, run_id, as_of)
-        stage = self.name("consumption", "sales_fact")
-        rows = 0
-        for load_id in sorted(loads - self._taken(stage)):
-            rows += self._model(load_id, load_id, as_of)
-            self._take(stage, {load_id})
-        return rows
+        with shuffles_for(self.spark, self._rows("curated")):
+            if not self.rules.incremental_fact:
+                return self._model(None, run_id, as_of)
+            curated = {m.source_table for m in self.rules.markets}
+            loads = set().union(*(self._loads("curated", table) for table in curated))
+            stage = self.name("consumption", "sales_fact")
+            rows = 0
+            for load_id in sorted(loads - self._taken(stage)):
+                rows += self._model(load_id, load_id, as_of)
+                self._take(stage, {load_id})
+            return rows
 
     def _model(self, curated_load: str | None, fact_load: str, as_of: dt.date) -> int:
         orders = []

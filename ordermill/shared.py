@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,6 +17,10 @@ Result = TypeVar("Result")
 # A broadcast side is a few narrow columns per row, so this is some 100 MB at most.
 BROADCAST_ROWS = 1_000_000
 
+# Rows of a shuffle that make a partition of some 100 MB, and the most partitions.
+PARTITION_ROWS = 500_000
+MAX_PARTITIONS = 50_000
+
 _local_folders: dict[str, str] = {}
 
 
@@ -79,3 +84,23 @@ def together(jobs: Iterable[Callable[[], Result]]) -> list[Result]:
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
         running = [pool.submit(job) for job in jobs]
         return [job.result() for job in running]
+
+
+@contextmanager
+def shuffles_for(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Start shuffles with enough partitions for rows; adaptive execution merges small ones.
+
+    It merges but does not split them, unless they are skewed, so a fixed number would
+    be too small for large loads.
+    """
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(name, None)
+    fewest = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set(name, str(max(fewest, min(rows // PARTITION_ROWS, MAX_PARTITIONS))))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)

@@ -120,9 +120,12 @@ def raw_csv(reader, path: str, base: str | None = None, multi_line: bool = False
 def raw_parquet(
     reader, path: str, base: str | None = None, schema: T.StructType | None = None
 ) -> DataFrame:
-    """Fields by label, in the types of the files; a stream needs them as schema."""
-    if schema is not None:
-        reader = reader.schema(schema)
+    """Fields by label, in the types of the files; a stream needs them as schema.
+
+    Without one, the files are asked for all their fields, as a field may be missing in
+    some; it is NULL in those.
+    """
+    reader = reader.option("mergeSchema", True) if schema is None else reader.schema(schema)
     rows = _load(reader.format("parquet"), path, base)
     index = F.col("_metadata.row_index").alias(ROW_INDEX)
     return rows.select(*_by_label(rows), *_lineage(index), *_date(rows))
@@ -165,7 +168,10 @@ def _load(reader, path: str, base: str | None) -> DataFrame:
 
 
 def _by_label(rows: DataFrame) -> list[Column]:
-    return [F.col(f"`{f.label}`").alias(f.column) for f in FIELDS]
+    def field(label: str) -> Column:
+        return F.col(f"`{label}`") if label in rows.columns else F.lit(None).cast("string")
+
+    return [field(f.label).alias(f.column) for f in FIELDS]
 
 
 def _date(rows: DataFrame) -> list[str]:
@@ -187,7 +193,8 @@ def raw_orders(
         return raw_json(reader, path, base)
     schema = None
     if streaming:
-        found = spark.read.option("recursiveFileLookup", True).parquet(path).schema
+        found = spark.read.options(recursiveFileLookup=True, mergeSchema=True)
+        found = found.parquet(path).schema
         schema = T.StructType([f for f in found if f.name in {x.label for x in FIELDS}])
     return raw_parquet(reader, path, base, schema)
 

@@ -176,6 +176,18 @@ def test_parquet_by_name_in_any_column_order_and_type(spark, tmp_path):
     assert strict["tax_amount"] == Decimal("8.00")
 
 
+def test_field_missing_in_some_parquet_files(spark, tmp_path):
+    folder = tmp_path / "source=US" / "format=parquet"
+    all_fields = spark.createDataFrame([tuple(CLEAN)], LABELS)
+    all_fields.write.parquet(str(folder / "date=2023-01-06"))
+    all_fields.drop("Promotion Code", "Phone").write.parquet(str(folder / "date=2023-01-05"))
+    rows = landing.accepted(_stage(spark, str(tmp_path), USA), USA).collect()
+    assert sorted((r["promotion_code"] or "", r["phone"] or "") for r in rows) == [
+        ("", ""),
+        ("P1", "123"),
+    ]
+
+
 def _json(tmp_path, text, name="order-1.json"):
     folder = tmp_path / "source=FR" / "format=json" / "date=2023-01-05"
     folder.mkdir(parents=True, exist_ok=True)
