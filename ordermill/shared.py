@@ -55,10 +55,21 @@ def cut(df: DataFrame, label: str = "cut", path: str | None = None) -> DataFrame
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    """The path and its file system, whatever storage it is on."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder, system = _folder(spark, path)
+    return system.exists(folder)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table that nothing reads any more."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    folder, system = _folder(spark, path)
+    system.delete(folder, True)
 
 
 def counted(df: DataFrame) -> tuple[DataFrame, Observation]:

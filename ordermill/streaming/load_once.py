@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ordermill.operators.keys import next_key
 from ordermill.rules import DEFAULT, Market, Rules
-from ordermill.shared import discard, new_folder
+from ordermill.shared import discard, exists, new_folder
 from ordermill.sources import landing, tables
 
 LOAD_ID = "load_id"
@@ -75,8 +75,10 @@ def load_new_files(
     """Load all files of a market that arrived since the last call.
 
     limits are options such as maxFilesPerTrigger or maxBytesPerTrigger, which cut a
-    large backlog into several batches.
+    large backlog into several batches. A market without a folder has no files yet.
     """
+    if not exists(spark, landing.landing_path(root, market)):
+        return []
     loads: list[Load] = []
 
     def handle(batch: DataFrame, batch_id: int) -> None:

@@ -12,7 +12,7 @@ from ordermill.operators import dimensions as dims
 from ordermill.operators import facts, latest, quality
 from ordermill.operators.rates import with_rates_full
 from ordermill.plans.curate import curate_orders
-from ordermill.shared import broadcast_if_small, cut
+from ordermill.shared import MAX_PARTITIONS, broadcast_if_small, cut, shuffles_for
 
 HOT_DAY = dt.date(2023, 1, 1)
 
@@ -167,3 +167,13 @@ def test_hot_values_are_counted_before_they_are_shuffled(spark, curated):
         text = plan(found).split("== Initial Plan ==")[0]
     assert text.index("LeftAnti") < text.index("HashAggregate")
     assert text.count("HashAggregate") >= 2
+
+
+def test_large_loads_start_with_more_partitions(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    sizes = {}
+    for rows in (10, 50_000_000, 10**13):
+        with shuffles_for(spark, rows):
+            sizes[rows] = spark.conf.get(name)
+    assert sizes == {10: "8", 50_000_000: "100", 10**13: str(MAX_PARTITIONS)}
+    assert spark.conf.get(name, None) is None

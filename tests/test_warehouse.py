@@ -168,6 +168,14 @@ def test_run_after_a_failure_takes_up_what_was_left(warehouse, tmp_path, monkeyp
     assert keys.isEmpty()
 
 
+def test_markets_without_files_are_left_out(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"), f"w{uuid.uuid4().hex}_")
+    root, rates = tmp_path / "landing", _rates(tmp_path / "rates.csv", "2023-01-01")
+    _drop(root, "2023-01-01", ("A", "2023-01-01", 1, "Ann"))
+    run = warehouse.run(str(root), rates, str(tmp_path / "cp"), "r1", AS_OF)
+    assert run == {"rates": 1, "ingested": 1, "curated": 1, "facts": 1}
+
+
 def test_name_of_a_complete_run_is_refused(warehouse, tmp_path):
     root, rates = tmp_path / "landing", _rates(tmp_path / "rates.csv", "2023-01-01")
     _drop(root, "2023-01-01", ("A", "2023-01-01", 1, "Ann"))
