@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -387,11 +387,13 @@ def warehouse_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
         (f"repeated {name}", quality.duplicate_keys(rows, rows.columns[0]))
         for name, rows in members.items()
     ]
-    result = None
-    for label, rows in counts:
-        row = rows.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(label).alias("what"), "rows")
-        result = row if result is None else result.union(row)
-    return result
+
+    def count(label: str, rows: DataFrame) -> DataFrame:
+        row = rows.agg(F.count(F.lit(1)).alias("rows"))
+        return cut(row.select(F.lit(label).alias("what"), "rows"), "count")
+
+    # One plan over all of them would be planned anew after each of its many stages.
+    return reduce(DataFrame.union, together(partial(count, *pair) for pair in counts))
 
 
 QUERIES: dict[str, Query] = {
