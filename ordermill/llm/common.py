@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -85,7 +86,7 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
 def slices(batch: pa.RecordBatch, text: str, limit: int) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """Parts of the batch with about limit bytes of text, and their texts as binary."""
     texts = batch.column(batch.schema.get_field_index(text))
-    sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes)
     start = 0
     while start < len(sizes):
@@ -93,7 +94,7 @@ def slices(batch: pa.RecordBatch, text: str, limit: int) -> Iterator[tuple[pa.Re
         stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
         part = batch.slice(start, stop - start)
         own = texts.slice(start, stop - start)
-        yield part, pa.compute.fill_null(own.cast(pa.large_binary()), b"")
+        yield part, pc.fill_null(own.cast(pa.large_binary()), b"")
         start = stop
 
 

@@ -6,9 +6,10 @@ contracts; the operators themselves have more general interfaces.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import exact_dedup, quality_rules
+from ordermill.llm import exact_dedup, quality_rules, secret_scan, token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +20,15 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_secrets(documents(spark, sf_dir), drop_text=True)
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.count_tokens(documents(spark, sf_dir), path, limit=1024, drop_text=True)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.apply_rules(documents(spark, sf_dir), labels(spark, sf_dir))
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
@@ -29,6 +39,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_secret_scans": op3_secret_scans,
+    "op4_token_counts": op4_token_counts,
     "op7_quality_rules": op7_quality_rules,
     "op10_exact_dedup": op10_exact_dedup,
 }
