@@ -83,6 +83,38 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def labelled_sample(
+    df: DataFrame,
+    labels: DataFrame,
+    id_col: str,
+    text: str,
+    label: str,
+    rows: int,
+    size: int,
+) -> list[tuple[bytes, int]]:
+    """A bounded sample of labelled texts for the driver, the same ones in every run.
+
+    Of each label, 0 and 1, the first ids in an order of hashes, rows at most; of these the
+    texts of at most size bytes, whole. An id labelled both ways counts as 1; a null id has no
+    label; of rows with one id, the least text is taken.
+    """
+    once = (
+        labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull())
+        .groupBy(F.col(id_col).alias("_id"))
+        .agg(F.max(label).cast("int").alias("_label"))
+    )
+    order = [F.xxhash64("_id"), F.col("_id")]
+    zeros, ones = (once.where(F.col("_label") == y).orderBy(*order).limit(rows) for y in (0, 1))
+    texts = df.select(
+        F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text")
+    ).where(F.octet_length("_text") <= size)
+    # At most 2 * rows ids.
+    found = texts.join(F.broadcast(zeros.unionByName(ones)), "_id")
+    least = found.groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
+    chosen = least.orderBy(*order).collect()
+    return [(row["_text"].encode(), row["_label"]) for row in chosen]
+
+
 def slices(batch: pa.RecordBatch, text: str, limit: int) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """Parts of the batch with about limit bytes of text, and their texts as binary."""
     texts = batch.column(batch.schema.get_field_index(text))
@@ -170,11 +202,12 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i below n; base is odd."""
-    inverse = pow(base, -1, 1 << 64)
-    with np.errstate(over="ignore"):
-        up = np.cumprod(np.concatenate([[1], np.full(max(n - 1, 0), base)]).astype(np.uint64))
-        down = np.cumprod(np.concatenate([[1], np.full(max(n - 1, 0), inverse)]).astype(np.uint64))
-    return up[:n], down[:n]
+    made = []
+    for factor in (base, pow(base, -1, 1 << 64)):
+        steps = np.full(max(n, 1), factor, np.uint64)
+        steps[0] = 1
+        made.append(np.cumprod(steps, dtype=np.uint64)[:n])
+    return made[0], made[1]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

@@ -8,8 +8,16 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from ordermill.llm import exact_dedup, quality_rules, secret_scan, token_counts
+from pyspark.sql import functions as F
+
+from ordermill.llm import (
+    exact_dedup,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    token_counts,
+)
+from ordermill.llm.common import remainder
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +42,15 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 5) == 0
+    docs = documents(spark, sf_dir).withColumn("held_out", held_out)
+    learned = labels(spark, sf_dir).where(~held_out)
+    model = quality_classifier.fit(docs, learned)
+    scored = quality_classifier.score_quality(docs, model, drop_text=True)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
@@ -42,6 +59,7 @@ QUERIES = {
     "op3_secret_scans": op3_secret_scans,
     "op4_token_counts": op4_token_counts,
     "op7_quality_rules": op7_quality_rules,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
