@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.llm import (
+    bpe,
     exact_dedup,
+    packing,
     quality_classifier,
     quality_rules,
     secret_scan,
@@ -37,11 +39,21 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), path, limit=1024, drop_text=True)
 
 
+def op6_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.digest_texts(documents(spark, sf_dir), path, drop_text=True)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.apply_rules(documents(spark, sf_dir), labels(spark, sf_dir))
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_texts(documents(spark, sf_dir), path)
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = remainder(F.col("doc_id"), 5) == 0
     docs = documents(spark, sf_dir).withColumn("held_out", held_out)
@@ -58,7 +70,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_secret_scans": op3_secret_scans,
     "op4_token_counts": op4_token_counts,
+    "op6_bpe_encoding": op6_bpe_encoding,
     "op7_quality_rules": op7_quality_rules,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_exact_dedup": op10_exact_dedup,
 }
