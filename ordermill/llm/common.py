@@ -19,7 +19,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -83,6 +83,22 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def keep_once(df: DataFrame, sha: Column, id_col: str, kept: DataFrame) -> DataFrame:
+    """Rows of df whose id and digest are in kept (_id, _sha), one of those that repeat.
+
+    One key column serves the join and the window, so df is shuffled once.
+    """
+
+    def key(id_value: Column, digest: Column) -> Column:
+        return F.concat_ws(":", digest, F.coalesce(id_value.cast("string"), F.lit("null")))
+
+    keys = kept.select(key(F.col("_id"), F.col("_sha")).alias("_key"))
+    found = df.withColumn("_key", key(F.col(f"`{id_col}`"), sha)).join(keys, "_key", "left_semi")
+    once = Window.partitionBy("_key").orderBy("_key")
+    copies = found.withColumn("_copy", F.row_number().over(once))
+    return without(copies.where("_copy = 1"), ["_key", "_copy"])
+
+
 def labelled_sample(
     df: DataFrame,
     labels: DataFrame,

@@ -17,6 +17,7 @@ from ordermill.llm import (
     quality_classifier,
     quality_rules,
     secret_scan,
+    simhash,
     token_counts,
 )
 from ordermill.llm.common import remainder
@@ -39,6 +40,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), path, limit=1024, drop_text=True)
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_groups(documents(spark, sf_dir), shingle=3, radius=2)
+    return groups.select("doc_id", "fingerprint", "component_id")
+
+
 def op6_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return bpe.digest_texts(documents(spark, sf_dir), path, drop_text=True)
@@ -70,6 +76,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_secret_scans": op3_secret_scans,
     "op4_token_counts": op4_token_counts,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_bpe_encoding": op6_bpe_encoding,
     "op7_quality_rules": op7_quality_rules,
     "op8_best_fit_packing": op8_best_fit_packing,
