@@ -17,13 +17,15 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import LOWER, UPPER, stored, without
+from ordermill.llm.common import LOWER, UPPER, keep_once, stored
 
 # Bytes of text for a sorted partition. A group is dealt out from HOT_ROWS rows on, or from
 # a share of 1 / HOT_TEXTS of all rows, so that at most HOT_TEXTS digests are broadcast.
 PARTITION_BYTES = 32_000_000
 HOT_ROWS = 500
 HOT_TEXTS = 100_000
+# Characters of a text that the sampled splitters compare.
+BEGIN_CHARS = 48
 
 
 def normalised(text: str) -> Column:
@@ -62,11 +64,15 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
             F.when(F.col("_parts") > 1, F.pmod(F.xxhash64("_id"), F.col("_parts"))).otherwise(0),
         )
     )
+    # The driver samples splitters, so what they compare is short: the text's beginning, then
+    # its digest. Rows are sorted by these, and neighbours are equal if their whole texts are.
     # The window needs the order and the partitions that the sort has made already.
-    ranged = keyed.repartitionByRange(max(2, width), "_norm", "_part").sortWithinPartitions(
-        "_norm", "_part", F.desc_nulls_last("_id")
+    keyed = keyed.withColumn("_begin", F.substring("_norm", 1, BEGIN_CHARS))
+    place = ["_begin", "text_sha256", "_part"]
+    ranged = keyed.repartitionByRange(max(2, width), *place).sortWithinPartitions(
+        *place, "_norm", F.desc_nulls_last("_id")
     )
-    equal = Window.partitionBy("_norm", "_part")
+    equal = Window.partitionBy(*place, "_norm")
     ordered = equal.orderBy(F.desc_nulls_last("_id"))
     whole = equal.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     local = ranged.select(
@@ -108,13 +114,6 @@ def drop_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text") -
 
     Rows that repeat one id and text are one row afterwards.
     """
-    def key(id_name: str, digest) -> Column:
-        return F.concat_ws(":", digest, F.coalesce(F.col(id_name).cast("string"), F.lit("null")))
-
-    groups = exact_groups(df, id_col, text)
-    kept = groups.where("kept").select(key(id_col, F.col("text_sha256")).alias("_key"))
-    marked = df.withColumn("_key", key(f"`{id_col}`", F.sha2(normalised(text), 256)))
-    found = marked.join(kept, "_key", "left_semi")
-    once = Window.partitionBy("_key").orderBy("_key")
-    copies = found.withColumn("_copy", F.row_number().over(once))
-    return without(copies.where("_copy = 1"), ["_key", "_copy"])
+    groups = exact_groups(df, id_col, text).where("kept")
+    kept = groups.select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"))
+    return keep_once(df, F.sha2(normalised(text), 256), id_col, kept)
