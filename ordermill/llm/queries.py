@@ -19,6 +19,7 @@ from ordermill.llm import (
     secret_scan,
     simhash,
     token_counts,
+    toxicity,
 )
 from ordermill.llm.common import remainder
 
@@ -31,6 +32,14 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    docs = documents(spark, sf_dir).withColumn("held_out", held_out)
+    model = toxicity.fit(docs, labels(spark, sf_dir).where(~held_out))
+    scored = toxicity.score_toxicity(docs, model, drop_text=True)
+    return scored.select("doc_id", "held_out", "score", "predicted", "n_windows")
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(documents(spark, sf_dir), drop_text=True)
 
@@ -74,6 +83,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op3_secret_scans": op3_secret_scans,
     "op4_token_counts": op4_token_counts,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
