@@ -6,6 +6,7 @@ contracts; the operators themselves have more general interfaces.
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,6 +84,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_toxicity": op1_toxicity,
     "op3_secret_scans": op3_secret_scans,
     "op4_token_counts": op4_token_counts,
@@ -94,7 +96,7 @@ QUERIES = {
     "op10_exact_dedup": op10_exact_dedup,
 }
 
-SQL = {
+SQL = ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}) | {
     "op10_exact_dedup": """
 WITH texts AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
