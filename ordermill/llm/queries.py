@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ordermill.llm import (
     bpe,
     exact_dedup,
+    lm_scoring,
     packing,
     quality_classifier,
     quality_rules,
@@ -41,6 +42,13 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted", "n_windows")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 5) == 1
+    docs = documents(spark, sf_dir).withColumn("held_out", held_out)
+    model = lm_scoring.fit(docs.where(~held_out))
+    return lm_scoring.score_texts(docs, model, drop_text=True)
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(documents(spark, sf_dir), drop_text=True)
 
@@ -86,6 +94,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_toxicity": op1_toxicity,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_secret_scans": op3_secret_scans,
     "op4_token_counts": op4_token_counts,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
