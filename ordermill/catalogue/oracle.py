@@ -14,8 +14,10 @@ sales AS (
     p_brand || '/' || p_name || '/' || p_type
       || CASE WHEN p_partkey % 50 = 0 THEN '' ELSE '/' || CAST(p_size AS VARCHAR) END
       AS mobile_key,
-    CASE n_regionkey WHEN 1 THEN 'US' WHEN 2 THEN 'IN' ELSE 'FR' END AS country,
-    CASE n_regionkey WHEN 1 THEN 'NA' WHEN 2 THEN 'APAC' ELSE 'EU' END AS region,
+    CASE n_regionkey WHEN 1 THEN 'US' WHEN 2 THEN 'IN' WHEN 4 THEN 'IN' ELSE 'FR' END
+      AS country,
+    CASE n_regionkey WHEN 1 THEN 'NA' WHEN 2 THEN 'APAC' WHEN 4 THEN 'APAC' ELSE 'EU' END
+      AS region,
     o_orderkey % 4 + 1 AS order_quantity,
     CAST(o_orderkey % 900 + 100 AS DECIMAL(38,0)) AS unit_price,
     CAST((o_orderkey % 900 + 100) * (o_orderkey % 4 + 1) AS DECIMAL(38,0)) AS order_value,
@@ -34,8 +36,7 @@ sales AS (
   FROM orders
   JOIN customer ON o_custkey = c_custkey
   JOIN nation ON c_nationkey = n_nationkey
-  JOIN part ON p_partkey = o_orderkey % 200
-  WHERE n_regionkey IN (1, 2, 3)
+  JOIN part ON p_partkey = o_orderkey % (SELECT COUNT(*) FROM part)
 )"""
 
 
@@ -179,12 +180,24 @@ def _region_dim(stamp: str) -> str:
     FROM (SELECT DISTINCT country, region FROM curated)"""
 
 
-def _loaded_twice(name: str) -> str:
-    """Members of half the orders first, then the others."""
+def _loaded_twice(name: str, first: str = "sales_order_key % 2 = 0") -> str:
+    """Members of some orders first, then the others."""
+    if name == "region":
+        return f"WITH {CURATED} {_region_dim('20260123')}"
+    if name == "date":
+        return f"""WITH {CURATED},
+        half AS (SELECT * FROM curated WHERE order_dt < DATE '1995-07-01'),
+        seed AS ({_date_dim(RUNNING, "half")}),
+        every_day AS ({_date_dim(RUNNING, "curated")}),
+        added AS (SELECT * FROM every_day WHERE order_dt NOT IN (SELECT order_dt FROM seed))
+        SELECT * FROM seed
+        UNION ALL
+        SELECT * REPLACE ({_number(("order_dt",))} + (SELECT COUNT(*) FROM seed) AS date_id_pk)
+        FROM added"""
     key, columns = f"{name}_id_pk", NATURAL_KEYS[name]
     listed = ", ".join(columns)
     return f"""WITH {CURATED},
-    half AS (SELECT * FROM curated WHERE sales_order_key % 2 = 0),
+    half AS (SELECT * FROM curated WHERE {first}),
     seed AS ({_members(name, "half")}),
     added AS ({_members(name, "curated")} EXCEPT {_members(name, "half")})
     SELECT {_number(columns)} AS {key}, {listed}, 'Y' AS isActive FROM seed
@@ -265,11 +278,12 @@ FAULTS = """concat_ws(',',
       CASE WHEN sales_order_key % 101 = 0 THEN 'order_dt' END)"""
 
 
-def _landed(country: str) -> str:
+def _landed(country: str | None = None) -> str:
+    chosen = f"WHERE country = '{country}'" if country else ""
     return f"""landed AS (
       SELECT * REPLACE (customer_name || ', "client"' AS customer_name), {FAULTS} AS bad_fields,
         sales_order_key % 11 = 0 AS half_price, sales_order_key % 4 = 0 AS cents
-      FROM sales WHERE country = '{country}'
+      FROM sales {chosen}
     )"""
 
 
@@ -333,6 +347,19 @@ def _warehouse_counts() -> str:
     return f"WITH {SALES},{RATES}, flagged AS (SELECT country, {FAULTS} AS bad_fields FROM sales) {union}"
 
 
+# Every accepted order ends up in the fact: of each drop of files, all orders of a day are latest.
+RECOVERED = f"""WITH {SALES},{RATES},{_landed()},
+latest AS (
+  SELECT * REPLACE (
+    CAST(tax_amount + CASE WHEN cents THEN 0.50 ELSE 0 END AS DECIMAL(10,2)) AS tax_amount)
+  FROM landed
+  WHERE bad_fields = '' AND payment_status = 'Paid' AND shipping_status = 'Delivered'
+),{_curate('usd2usd')}
+SELECT order_id AS order_code, order_dt, country, region, customer_name, contact_no,
+  shipping_address, payment_method, payment_provider, mobile_key,
+  COALESCE(promotion_code, 'NA') AS promotion_code, {", ".join(MEASURES)}
+FROM curated"""
+
 ORPHANS = " UNION ALL ".join(
     f"""SELECT '{name}_dim' AS dimension, CAST({name}_id_fk AS VARCHAR) AS key_value,
       COUNT(*) AS fact_rows FROM fact_rows WHERE {name}_id_fk % {every} = 0 GROUP BY ALL"""
@@ -378,6 +405,12 @@ SQL: dict[str, str] = {
     FROM curated GROUP BY ALL""",
     "dim_incremental_load": _loaded_twice("customer"),
     "dim_incremental_load_nulls": _loaded_twice("payment"),
+    "region_dim_incremental": _loaded_twice("region"),
+    "product_dim_incremental": _loaded_twice("product"),
+    "promo_code_dim_incremental": _loaded_twice(
+        "promo_code", "country = 'IN' AND promotion_code > 'PROMO3'"
+    ),
+    "date_dim_incremental": _loaded_twice("date"),
     "sales_fact": _fact(),
     "sales_fact_parity": _fact(parity=True),
     "fact_incremental_append": f"""WITH {CURATED},{DIMS},{_fact_rows()}
@@ -399,6 +432,14 @@ SQL: dict[str, str] = {
     "parquet_ingest": _accepted("US"),
     "parquet_ingest_parity": _accepted("US", whole_tax=True),
     "json_ingest": _accepted("FR"),
+    "csv_multiline_ingest": f"""SELECT * EXCLUDE (sales_order_key) REPLACE (
+      CASE WHEN sales_order_key % 13 = 0 THEN 'Line one' || chr(10) || chr(10) || customer_name
+        ELSE customer_name END AS customer_name,
+      CASE WHEN sales_order_key % 7 = 0
+        THEN shipping_address || chr(10) || 'Old "Town"' || chr(10) || 'End, north'
+        ELSE shipping_address END AS shipping_address)
+    FROM ({_accepted("IN", ", sales_order_key")})""",
+    "json_lines_ingest": _accepted("FR"),
     "csv_rejects": _rejected("IN"),
     "json_rejects": _rejected("FR"),
     "json_null_tokens": f"""WITH {SALES}
@@ -434,4 +475,5 @@ SQL: dict[str, str] = {
       COUNT(*) FILTER (WHERE us_total_order_amt IS NULL) AS without_rate
     FROM curated GROUP BY country""",
     "warehouse_rerun": _warehouse_counts(),
+    "warehouse_recovery": RECOVERED,
 }

@@ -128,14 +128,14 @@ def dim_key_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumnRenamed("count", "orders")
 
 
-def _incremental(dimension: dims.Dimension) -> Query:
-    """Load the members of every second order, then those of all orders."""
+def _incremental(dimension: dims.Dimension, first: str = "sales_order_key % 2 = 0") -> Query:
+    """Load the members of some orders, of every second one by default, then those of all."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         curated = cut(_curated(spark, sf_dir), "curated")
-        half = curated.filter(F.col("sales_order_key") % 2 == 0)
-        seed = cut(dims.build_dimension(dimension, half), dimension.table)
-        added = dims.build_dimension(dimension, curated, seed)
+        some = curated.filter(first)
+        seed = cut(dims.build_dimension(dimension, some, as_of=AS_OF), dimension.table)
+        added = dims.build_dimension(dimension, curated, seed, as_of=AS_OF)
         return seed.union(added)
 
     return query
@@ -204,14 +204,48 @@ def _staged(
     return landing.stage_orders(landing.raw_orders(spark, root, market), market, rules)
 
 
+def _accepted(staged: DataFrame, market: Market) -> DataFrame:
+    rows = landing.accepted(staged, market)
+    return rows.withColumnRenamed(market.contact_field, "contact_no").select(*BUSINESS_FIELDS)
+
+
 def _ingest(market: Market, rules: Rules = DEFAULT) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = landing.accepted(_staged(spark, sf_dir, market, rules), market)
-        return rows.withColumnRenamed(market.contact_field, "contact_no").select(*BUSINESS_FIELDS)
+        return _accepted(_staged(spark, sf_dir, market, rules), market)
 
     return query
 
 
+def csv_multiline_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line breaks inside quotes, in a middle field and in the last one."""
+    rows = sample_landing.file_fields(sample.sales_orders(spark, sf_dir), INDIA)
+    name, address = F.col("customer_name"), F.col("shipping_address")
+    rows = rows.withColumns(
+        {
+            "customer_name": F.when(
+                F.col("_key") % 13 == 0, F.concat(F.lit("Line one\n\n"), name)
+            ).otherwise(name),
+            "shipping_address": F.when(
+                F.col("_key") % 7 == 0, F.concat(address, F.lit('\nOld "Town"\nEnd, north'))
+            ).otherwise(address),
+        }
+    )
+    root = new_folder(spark, "landing")
+    sample_landing.write_files(rows, INDIA, root)
+    return _accepted(landing.stage_orders(landing.raw_orders(spark, root, INDIA), INDIA), INDIA)
+
+
+def json_lines_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of many documents: an object on each line, or an array over two lines."""
+    rows = sample_landing.file_fields(sample.sales_orders(spark, sf_dir), FRANCE)
+    record = F.to_json(F.struct(*(F.col(f.column).alias(f.label) for f in landing.FIELDS)))
+    array = F.concat(F.lit("[\n"), record, F.lit("]"))
+    lines = rows.select(F.when(F.col("_key") % 3 == 0, array).otherwise(record).alias("value"), "date")
+    root = new_folder(spark, "landing")
+    lines.write.partitionBy("date").text(landing.landing_path(root, FRANCE))
+    return _accepted(landing.stage_orders(landing.raw_orders(spark, root, FRANCE), FRANCE), FRANCE)
+
+
 def _rejects(market: Market) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = landing.rejected(_staged(spark, sf_dir, market))
@@ -367,9 +401,7 @@ def warehouse_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
         loaded = warehouse.table("source", market.source_table)
         bad = warehouse.table("source", f"{market.source_table}_rejects")
         counts += [(f"{market.country} source", loaded), (f"{market.country} rejects", bad)]
-        audited = warehouse.table("audit", "load_audit").filter(
-            F.col("table_name") == warehouse.name("source", market.source_table)
-        )
+        audited = warehouse.audit("source", market.source_table)
         audited = audited.agg(F.sum("rows_written").alias("rows"))
         held = loaded.agg(F.count(F.lit(1)).alias("rows"))
         counts.append((f"{market.country} audit wrong", audited.exceptAll(held)))
@@ -396,6 +428,53 @@ def warehouse_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.union, together(partial(count, *pair) for pair in counts))
 
 
+class _Interrupted(Warehouse):
+    """A job that is lost after it has written curated rows, before it notes them."""
+
+    def _note(self, table: str, load_id: str, written: int, rejected: int = 0) -> None:
+        if table.startswith(f"{self.prefix}curated."):
+            raise RuntimeError("planted failure")
+        super()._note(table, load_id, written, rejected)
+
+
+def warehouse_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts after two drops of files, of which the first run over the first one breaks off."""
+    root, rate_files = new_folder(spark, "landing"), new_folder(spark, "rates")
+    sample_landing.write_rates(spark, sf_dir, rate_files, "date")
+    place = (new_folder(spark, "warehouse"), f"w{uuid.uuid4().hex}_")
+    checkpoint = new_folder(spark, "stream")
+    orders = cut(sample.sales_orders(spark, sf_dir), "orders")
+    for drop in (0, 1):
+        some = orders.filter(F.col("sales_order_key") % 2 == drop)
+        together(
+            partial(sample_landing.write_files, sample_landing.file_fields(some, m), m, root)
+            for m in DEFAULT.markets
+        )
+        # The drop's files get one time, so all its orders of a day are latest together.
+        sample_landing.stamp_new_files(spark, root, dt.datetime(2026, 1, 20 + drop))
+        if drop == 0:
+            try:
+                _Interrupted(spark, *place).run(root, rate_files, checkpoint, "lost", AS_OF)
+            except RuntimeError as lost:
+                if "planted" not in str(lost):
+                    raise
+        Warehouse(spark, *place).run(root, rate_files, checkpoint, f"run{drop}", AS_OF)
+    warehouse = Warehouse(spark, *place)
+    warehouse.run(root, rate_files, checkpoint, "again", AS_OF)
+    fact = warehouse.table("consumption", "sales_fact")
+    for key, dimension in facts.FOREIGN_KEYS.items():
+        members = warehouse.table("consumption", dimension.table)
+        if dimension is not dims.REGION:
+            members = members.drop("country", "region")
+        fact = fact.join(members, fact[key] == members[dimension.key])
+    return fact.select(
+        "order_code", "order_dt", "country", "region", "customer_name", "contact_no",
+        "shipping_address", "payment_method", "payment_provider", "mobile_key", "promotion_code",
+        "order_quantity", "local_total_order_amt", "local_tax_amt", "exchange_rate",
+        "us_total_order_amt", "usd_tax_amt",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "curated_usd_orders": curated_usd_orders,
     "curated_usd_orders_parity": curated_usd_orders_parity,
@@ -417,6 +496,10 @@ QUERIES: dict[str, Query] = {
     "dim_key_counts": dim_key_counts,
     "dim_incremental_load": _incremental(dims.CUSTOMER),
     "dim_incremental_load_nulls": _incremental(dims.PAYMENT),
+    "region_dim_incremental": _incremental(dims.REGION, "country = 'IN'"),
+    "product_dim_incremental": _incremental(dims.PRODUCT),
+    "promo_code_dim_incremental": _incremental(dims.PROMO_CODE, "country = 'IN' AND promotion_code > 'PROMO3'"),
+    "date_dim_incremental": _incremental(dims.DATE, "order_dt < DATE'1995-07-01'"),
     "sales_fact": _fact(DEFAULT),
     "sales_fact_parity": _fact(PARITY_MATCHING),
     "fact_incremental_append": fact_incremental_append,
@@ -427,6 +510,8 @@ QUERIES: dict[str, Query] = {
     "parquet_ingest": _ingest(USA),
     "parquet_ingest_parity": _ingest(USA, PARITY),
     "json_ingest": _ingest(FRANCE),
+    "csv_multiline_ingest": csv_multiline_ingest,
+    "json_lines_ingest": json_lines_ingest,
     "csv_rejects": _rejects(INDIA),
     "json_rejects": _rejects(FRANCE),
     "json_null_tokens": json_null_tokens,
@@ -440,4 +525,5 @@ QUERIES: dict[str, Query] = {
     "fact_fk_orphans": fact_fk_orphans,
     "missing_rate_audit": missing_rate_audit,
     "warehouse_rerun": warehouse_rerun,
+    "warehouse_recovery": warehouse_recovery,
 }

@@ -30,7 +30,7 @@ from ordermill.operators.facts import build_fact, union_orders
 from ordermill.operators.keys import next_key
 from ordermill.plans.curate import curate_market
 from ordermill.rules import DEFAULT, Market, Rules
-from ordermill.shared import broadcast_if_small, shuffles_for, together
+from ordermill.shared import broadcast_if_small, cut, shuffles_for, together
 from ordermill.sources import tables
 from ordermill.sources.rates import read_rates
 from ordermill.streaming.load_once import LOAD_ID, Load, load_new_files
@@ -103,7 +103,7 @@ class Warehouse:
 
     # Audit
 
-    def _audit(self, table: str, load_id: str, written: int, rejected: int = 0) -> None:
+    def _note(self, table: str, load_id: str, written: int, rejected: int = 0) -> None:
         row = self.spark.range(1).select(
             F.lit(table).alias("table_name"),
             F.lit(load_id).alias("load_id"),
@@ -114,22 +114,57 @@ class Warehouse:
         with self._audit_lock:
             tables.append(row, self.name("audit", "load_audit"))
 
-    def _loads(self, layer: str, table: str) -> set[str]:
-        """Loads written to a table: one audit row each, so a short list."""
-        rows = self.table("audit", "load_audit").filter(
+    def audit(self, layer: str, table: str) -> DataFrame:
+        """What each load wrote to a table; a load that was repeated counts by its last note."""
+        notes = self.table("audit", "load_audit").filter(
             F.col("table_name") == self.name(layer, table)
         )
-        return {r[0] for r in rows.select("load_id").distinct().collect()}
+        last = F.max_by(F.struct("rows_written", "rows_rejected", "loaded_at"), "loaded_at")
+        return notes.groupBy("table_name", "load_id").agg(last.alias("last")).select(
+            "table_name", "load_id", "last.*"
+        )
+
+    def _note_growth(self, layer: str, table: str, load_id: str) -> None:
+        """Note what the table has beyond all other loads' notes.
 
-    def _rows(self, layer: str) -> int:
-        """Rows that all loads have written to the tables of a layer."""
-        names = [self.name(layer, m.source_table) for m in self.rules.markets]
-        rows = self.table("audit", "load_audit").filter(F.col("table_name").isin(*names))
-        return rows.agg(F.coalesce(F.sum("rows_written"), F.lit(0))).first()[0]
+        So rows that a lost attempt has appended without a note are noted by the next one.
+        """
+        total = self.table(layer, table).count()
+        others = self.audit(layer, table).filter(F.col("load_id") != load_id)
+        known = others.agg(F.coalesce(F.sum("rows_written"), F.lit(0))).first()[0]
+        self._note(self.name(layer, table), load_id, total - known)
+
+    def _note_loads(self, layer: str, table: str) -> None:
+        """Note the loads that a table holds without a note, as a lost attempt leaves them."""
+        noted = self.audit(layer, table).select(F.col("load_id").alias("value"))
+        held = tables.partition_values(self.spark, self.name(layer, table))
+        for (load_id,) in held.join(noted, "value", "left_anti").collect():
+            rows = self.table(layer, table).filter(F.col(LOAD_ID) == load_id).count()
+            self._note(self.name(layer, table), load_id, rows)
+
+    def _pending(self, layer: str, table: str, stage: str) -> set[str]:
+        """Loads that the table holds and the stage has not taken up.
+
+        The table's own partitions say what it holds, whether it was noted or not; only the
+        pending ones come to the driver.
+        """
+        held = tables.partition_values(self.spark, self.name(layer, table))
+        taken = self.table("audit", "load_progress").filter(F.col("stage") == stage)
+        taken = taken.select(F.col("load_id").alias("value"))
+        return {r[0] for r in held.join(taken, "value", "left_anti").collect()}
+
+    def _rows(self, layer: str, loads: dict[str, set[str]]) -> int:
+        """Rows of these loads by table, as noted."""
+        rows = 0
+        for table, some in loads.items():
+            found = self.audit(layer, table).filter(F.col("load_id").isin(*some))
+            rows += found.agg(F.coalesce(F.sum("rows_written"), F.lit(0))).first()[0]
+        return rows
 
-    def _taken(self, stage: str) -> set[str]:
-        rows = self.table("audit", "load_progress").filter(F.col("stage") == stage)
-        return {r[0] for r in rows.select("load_id").distinct().collect()}
+    def _complete(self, run_id: str) -> bool:
+        stage = self.name("consumption", "sales_fact")
+        same = (F.col("stage") == stage) & (F.col("load_id") == run_id)
+        return not self.table("audit", "load_progress").filter(same).isEmpty()
 
     def _take(self, stage: str, loads: set[str]) -> None:
         done = self.spark.createDataFrame(
@@ -144,8 +179,8 @@ class Warehouse:
         """Add the days of a rate file that the rate table does not have yet."""
         known = self.table("common", "exchange_rate")
         fresh = new_members(read_rates(self.spark, path), known, ["rate_dt"])
-        rows = tables.append(fresh, self.name("common", "exchange_rate"))
-        self._audit(self.name("common", "exchange_rate"), path, rows)
+        rows = tables.append_new(cut(fresh, "rates"), self.name("common", "exchange_rate"))
+        self._note_growth("common", "exchange_rate", path)
         return rows
 
     def ingest(self, landing_root: str, checkpoint_root: str, **limits: object) -> int:
@@ -155,7 +190,7 @@ class Warehouse:
             table = self.name("source", market.source_table)
 
             def audit(done: Load) -> None:
-                self._audit(table, done.load_id, done.rows_written, done.rows_rejected)
+                self._note(table, done.load_id, done.rows_written, done.rows_rejected)
 
             loads = load_new_files(
                 self.spark,
@@ -174,9 +209,17 @@ class Warehouse:
 
     def curate(self, run_id: str) -> int:
         """Curate the days that new files or late rates have touched, in all markets."""
-        if run_id in self._taken(self.name("consumption", "sales_fact")):
+        if self._complete(run_id):
             raise ValueError(f"run {run_id} is complete, choose another name")
-        with shuffles_for(self.spark, self._rows("source")):
+        pending = {}
+        for market in self.rules.markets:
+            source = self.rules.market(market.reads_from).source_table
+            stage = self.name("curated", market.source_table)
+            self._note_loads("source", source)
+            self._note_loads("curated", market.source_table)
+            pending.setdefault(source, set()).update(self._pending("source", source, stage))
+        # As wide as what is new; days curated again add the other orders of these days.
+        with shuffles_for(self.spark, self._rows("source", pending)):
             return sum(together(partial(self._curate, m, run_id) for m in self.rules.markets))
 
     def _curate(self, market: Market, run_id: str) -> int:
@@ -185,7 +228,7 @@ class Warehouse:
         source = self.table("source", reads_from.source_table)
         rates = self.table("common", "exchange_rate")
         known = self.table("curated", market.source_table)
-        pending = self._loads("source", reads_from.source_table) - self._taken(stage)
+        pending = self._pending("source", reads_from.source_table, stage)
 
         days = _days(source.filter(F.col(LOAD_ID).isin(*pending)))
         unpriced = _days(known.filter(F.col("us_total_order_amt").isNull()))
@@ -204,7 +247,9 @@ class Warehouse:
         known = broadcast_if_small(_on_days(known, days).select(*CURATED_IDENTITY))
         fresh = new_members(curated, known, CURATED_IDENTITY)
         rows = tables.append(fresh.withColumn(LOAD_ID, F.lit(run_id)), stage, LOAD_ID)
-        self._audit(stage, run_id, rows)
+        # A repeated run adds to what its lost attempt has written under its name.
+        whole = self.table("curated", market.source_table).filter(F.col(LOAD_ID) == run_id)
+        self._note(stage, run_id, whole.count())
         if pending:
             self._take(stage, pending)
         return rows
@@ -215,17 +260,24 @@ class Warehouse:
         Each curated load becomes the fact partition of the same name. Strict parity
         models all curated orders again in every run.
         """
-        with shuffles_for(self.spark, self._rows("curated")):
-            if not self.rules.incremental_fact:
+        curated = [m.source_table for m in self.rules.markets]
+        for table in curated:
+            self._note_loads("curated", table)
+        stage = self.name("consumption", "sales_fact")
+        pending = {table: self._pending("curated", table, stage) for table in curated}
+        if not self.rules.incremental_fact:
+            held = {
+                table: {r[0] for r in self.audit("curated", table).select("load_id").collect()}
+                for table in curated
+            }
+            with shuffles_for(self.spark, self._rows("curated", held)):
                 return self._model(None, run_id, as_of)
-            curated = {m.source_table for m in self.rules.markets}
-            loads = set().union(*(self._loads("curated", table) for table in curated))
-            stage = self.name("consumption", "sales_fact")
-            rows = 0
-            for load_id in sorted(loads - self._taken(stage)):
+        rows = 0
+        with shuffles_for(self.spark, self._rows("curated", pending)):
+            for load_id in sorted(set().union(*pending.values())):
                 rows += self._model(load_id, load_id, as_of)
                 self._take(stage, {load_id})
-            return rows
+        return rows
 
     def _model(self, curated_load: str | None, fact_load: str, as_of: dt.date) -> int:
         orders = []
@@ -243,11 +295,11 @@ class Warehouse:
             name = self.name("consumption", dimension.table)
             known = self.spark.table(name)
             fresh = build_dimension(dimension, every, known, self.rules, as_of)
-            return tables.append(fresh, name)
+            return tables.append_new(fresh, name)
 
-        added = together(partial(extend, d) for d in DIMENSIONS)
-        for dimension, rows in zip(DIMENSIONS, added, strict=True):
-            self._audit(self.name("consumption", dimension.table), fact_load, rows)
+        together(partial(extend, d) for d in DIMENSIONS)
+        for dimension in DIMENSIONS:
+            self._note_growth("consumption", dimension.table, fact_load)
         members = {d.table: self.table("consumption", d.table) for d in DIMENSIONS}
         fact = self.table("consumption", "sales_fact").filter(F.col(LOAD_ID) != fact_load)
         facts = build_fact(
@@ -260,7 +312,7 @@ class Warehouse:
         )
         name = self.name("consumption", "sales_fact")
         written = tables.replace_partition(facts, name, LOAD_ID, fact_load)
-        self._audit(name, fact_load, written)
+        self._note(name, fact_load, written)
         return written
 
     def run(

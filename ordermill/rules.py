@@ -17,6 +17,9 @@ class Market:
     rate_column: str  # rate stored on the curated row
     divisor_column: str  # rate the local amounts are divided by
     reads_from: str  # country whose source table is curated
+    # CSV fields may hold line breaks inside quotes; files without any can be split instead.
+    multi_line: bool = True
+    null_tokens: tuple[str, ...] = ()  # texts that stand for NULL in JSON files
 
     @property
     def source_table(self) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -15,6 +17,8 @@ def local_session(name: str, cpus: int = 8) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
+        # Intermediate tables; on a cluster, a folder that all executors share.
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ordermill-shared-"))
         # Without it, every column expression notes the line that made it.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()

@@ -9,17 +9,17 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from typing import TypeVar
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Result = TypeVar("Result")
 
-# A broadcast side is a few narrow columns per row, so this is some 100 MB at most.
-BROADCAST_ROWS = 1_000_000
+# Bytes that a broadcast side may have, as its rows are counted while it is written.
+BROADCAST_BYTES = 64_000_000
 
-# Rows of a shuffle that make a partition of some 100 MB, and the most partitions.
+# Rows of a shuffle that make a partition of some 100 MB.
 PARTITION_ROWS = 500_000
-MAX_PARTITIONS = 50_000
 
 _local_folders: dict[str, str] = {}
 
@@ -55,20 +55,20 @@ def cut(df: DataFrame, label: str = "cut", path: str | None = None) -> DataFrame
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _folder(spark: SparkSession, path: str):
+def storage(spark: SparkSession, path: str):
     """The path and its file system, whatever storage it is on."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    folder, system = _folder(spark, path)
+    folder, system = storage(spark, path)
     return system.exists(folder)
 
 
 def discard(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table that nothing reads any more."""
-    folder, system = _folder(spark, path)
+    folder, system = storage(spark, path)
     system.delete(folder, True)
 
 
@@ -78,15 +78,22 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Evaluate df once and hint it for broadcast if it has at most max_rows rows.
+def _row_bytes(df: DataFrame) -> Column:
+    """About what a row takes in memory: its texts and 16 bytes for every column."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if f.dataType == T.StringType()]
+    return sum(texts, F.lit(16 * len(df.columns)))
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Evaluate df once and hint it for broadcast if it has at most max_bytes bytes.
 
     A larger one is returned without a hint and joins by shuffle, where adaptive
     execution splits the hot keys.
     """
-    observed, seen = counted(df)
-    fixed = cut(observed, "small")
-    return F.broadcast(fixed) if seen.get["rows"] <= max_rows else fixed
+    seen = Observation()
+    size = F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("bytes")
+    fixed = cut(df.observe(seen, size), "small")
+    return F.broadcast(fixed) if seen.get["bytes"] <= max_bytes else fixed
 
 
 def together(jobs: Iterable[Callable[[], Result]]) -> list[Result]:
@@ -107,7 +114,7 @@ def shuffles_for(spark: SparkSession, rows: int) -> Iterator[None]:
     name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     before = spark.conf.get(name, None)
     fewest = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.conf.set(name, str(max(fewest, min(rows // PARTITION_ROWS, MAX_PARTITIONS))))
+    spark.conf.set(name, str(max(fewest, rows // PARTITION_ROWS)))
     try:
         yield
     finally:

@@ -23,6 +23,7 @@ from ordermill.schemas import source_orders
 FILE, BLOCK, MODIFIED, ROW_INDEX = "_file", "_block", "_modified", "_row_index"
 BAD_FIELDS, RAW = "bad_fields", "raw_record"
 _CORRUPT = "_corrupt_record"
+_EMPTY_ARRAY = r"^\s*\[\s*\]\s*$"
 
 
 @dataclass(frozen=True)
@@ -99,9 +100,8 @@ def _lineage(*extra: Column) -> list[Column]:
 def raw_csv(reader, path: str, base: str | None = None, multi_line: bool = False) -> DataFrame:
     """Fields by position, as text. Missing fields are NULL and further ones ignored.
 
-    Files are split, which takes one line per row. A line with an open quote belongs to
-    a row with a line break inside; it is marked as corrupt. multi_line reads such
-    files, each in one task.
+    multi_line reads line breaks inside quotes, each file in one task. Without it files are
+    split, which takes one line per row and is only for files that have no such line breaks.
     """
     rows = _load(
         reader.schema(_text_schema((*(f.column for f in FIELDS), _CORRUPT)))
@@ -138,21 +138,40 @@ def raw_json(
     null_tokens: Iterable[str] = (),
     by_line: bool = False,
 ) -> DataFrame:
-    """Fields by label, as text; the outer array of a file is taken apart.
+    """Fields by label, as text, of every document of a file: arrays are taken apart.
 
-    A file is one array and is read by one task. by_line reads files that have a
-    complete object or array on each line; these are split like CSV files.
+    Documents follow each other on new lines, and a file is read whole by one task. by_line
+    reads files that have a complete object or array on each line; these are split like CSV
+    files. A document that cannot be read is one row with its text as the corrupt record.
     """
-    schema = _text_schema((*(f.label for f in FIELDS), _CORRUPT))
-    rows = _load(
-        reader.schema(schema)
-        .option("multiLine", not by_line)
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        .option("mode", "PERMISSIVE")
-        .format("json"),
-        path,
-        base,
-    )
+    if by_line:
+        schema = _text_schema((*(f.label for f in FIELDS), _CORRUPT))
+        rows = _load(
+            reader.schema(schema)
+            .option("columnNameOfCorruptRecord", _CORRUPT)
+            .option("mode", "PERMISSIVE")
+            .format("json"),
+            path,
+            base,
+        )
+        lineage = _lineage()
+    else:
+        files = _load(reader.option("wholetext", True).format("text"), path, base)
+        # No value holds a raw line break, so a bracket closed before one and another opened
+        # after it are two documents.
+        texts = F.split("value", r"(?<=[\]}])\s*\n\s*(?=[\[{])")
+        documents = files.select(F.explode(texts).alias("_text"), *_lineage(), *_date(files))
+        kind = T.ArrayType(_text_schema(f.label for f in FIELDS))
+        parsed = documents.filter(F.trim("_text", F.lit(" \t\r\n")) != "").withColumn(
+            "_found", F.from_json("_text", kind)
+        )
+        rows = parsed.withColumn("_row", F.explode_outer("_found"))
+        rows = rows.select(
+            *(F.col(f"_row.`{f.label}`").alias(f.label) for f in FIELDS),
+            F.when(F.col("_row").isNull(), F.col("_text")).alias(_CORRUPT),
+            FILE, BLOCK, MODIFIED, *_date(rows),
+        ).filter(F.col(_CORRUPT).isNull() | ~F.col(_CORRUPT).rlike(_EMPTY_ARRAY))
+        lineage = [FILE, BLOCK, MODIFIED]
     fields = _by_label(rows)
     tokens = tuple(null_tokens)
     if tokens:
@@ -160,7 +179,7 @@ def raw_json(
             tokens_to_null(c, tokens).alias(f.column)
             for c, f in zip(fields, FIELDS, strict=True)
         ]
-    return rows.select(*fields, F.col(_CORRUPT), *_lineage(), *_date(rows))
+    return rows.select(*fields, F.col(_CORRUPT), *lineage, *_date(rows))
 
 
 def _load(reader, path: str, base: str | None) -> DataFrame:
@@ -188,9 +207,9 @@ def raw_orders(
     path = landing_path(root, market)
     base = None if streaming else root
     if market.file_format == "csv":
-        return raw_csv(reader, path, base)
+        return raw_csv(reader, path, base, market.multi_line)
     if market.file_format == "json":
-        return raw_json(reader, path, base)
+        return raw_json(reader, path, base, market.null_tokens)
     schema = None
     if streaming:
         found = spark.read.options(recursiveFileLookup=True, mergeSchema=True)

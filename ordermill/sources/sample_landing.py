@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.rules import DEFAULT, Market
-from ordermill.shared import together
+from ordermill.shared import storage, together
 from ordermill.sources.landing import CSV_NULL, FIELDS, landing_path
 from ordermill.sources.sample import daily_rates, sales_orders
 
@@ -101,3 +102,14 @@ def write_rates(spark: SparkSession, sf_dir: str, path: str, day_header: str) ->
     rates.write.option("header", True).csv(path)
 
 
+
+
+def stamp_new_files(spark: SparkSession, root: str, moment: dt.datetime) -> None:
+    """Give the files below root that have today's time another one, earlier ones keep theirs."""
+    folder, system = storage(spark, root)
+    found = system.listFiles(folder, True)
+    stamp = int(moment.replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
+    while found.hasNext():
+        status = found.next()
+        if status.getModificationTime() > stamp + 30 * 86_400_000:
+            system.setTimes(status.getPath(), stamp, -1)

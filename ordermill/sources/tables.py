@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordermill.shared import counted
@@ -40,6 +41,19 @@ def append(df: DataFrame, table: str, *partition_by: str) -> int:
     return seen.get["rows"]
 
 
+def append_new(df: DataFrame, table: str) -> int:
+    """append, but nothing is written where there is nothing new; df is cheap to read again."""
+    return 0 if df.isEmpty() else append(df, table)
+
+
+def partition_values(spark: SparkSession, table: str) -> DataFrame:
+    """Values of the table's only partition column, from the catalog: no data are read."""
+    shown = spark.sql(f"SHOW PARTITIONS {table}")
+    value = F.substring_index("partition", "=", -1)
+    # The catalog escapes characters as a URL does, but for the plus sign.
+    return shown.select(F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))).alias("value"))
+
+
 def replace_partition(df: DataFrame, table: str, partition: str, value: str) -> int:
     """Write df as one partition, replacing what an earlier attempt left in it.
 

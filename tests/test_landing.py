@@ -104,13 +104,32 @@ def test_short_and_long_lines(spark, tmp_path):
     assert rows["A2"]["shipping_address"] == "Main St 1"
 
 
-def test_line_break_in_quotes_is_rejected_or_read(spark, tmp_path):
-    root = _csv(tmp_path, _line(), _line(order_id="A2", shipping_address='"Main\nStreet"'))
+def test_line_breaks_in_quotes_are_read(spark, tmp_path):
+    last = '"Main\nOld Town\nEnd"'
+    root = _csv(tmp_path, _line(), _line(order_id="A2", shipping_address=last), _line(order_id="A3", customer_name='"A\n\nB"'))
     staged = _stage(spark, root)
-    assert "record" in {r["bad_fields"] for r in landing.rejected(staged).collect()}
-    raw = landing.raw_csv(spark.read, landing.landing_path(root, INDIA), root, multi_line=True)
-    whole = landing.accepted(landing.stage_orders(raw, INDIA), INDIA)
-    assert {r["shipping_address"] for r in whole.collect()} == {"Main St 1", "Main\nStreet"}
+    assert landing.rejected(staged).isEmpty()
+    rows = {r["order_id"]: r for r in landing.accepted(staged, INDIA).collect()}
+    assert rows.keys() == {"A1", "A2", "A3"}
+    assert rows["A2"]["shipping_address"] == "Main\nOld Town\nEnd"
+    assert rows["A3"]["customer_name"] == "A\n\nB"
+
+
+def test_json_documents_on_several_lines(spark, tmp_path):
+    one = json.dumps(_records(spark, **{"Order ID": "J1"}))
+    two = json.dumps([_records(spark, **{"Order ID": "J2"}), _records(spark, **{"Order ID": "J3"})], indent=1)
+    texts = [one, two, "{broken", json.dumps(_records(spark, **{"Order ID": "J4", "Customer Name": "}{ ]["}))]
+    folder = tmp_path / "source=FR" / "format=json" / "date=2023-01-05"
+    folder.mkdir(parents=True)
+    (folder / "order-1.json").write_text("\n".join(texts[:2]) + "\n\n" + texts[3] + "\n")
+    (folder / "order-2.json").write_text("[]")
+    (folder / "order-3.json").write_text("\n".join([one.replace("J1", "J5"), texts[2]]))
+    staged = _stage(spark, str(tmp_path), FRANCE)
+    found = {r["order_id"] for r in landing.accepted(staged, FRANCE).collect()}
+    assert found == {"J1", "J2", "J3", "J4", "J5"}
+    assert [(r["bad_fields"], r["raw_record"]) for r in landing.rejected(staged).collect()] == [
+        ("record", "{broken")
+    ]
 
 
 def test_compressed_file(spark, tmp_path):
@@ -137,7 +156,7 @@ def test_row_numbers_of_split_files(spark, tmp_path):
     before = spark.conf.get(size)
     spark.conf.set(size, "20000")
     try:
-        raw = landing.raw_orders(spark, root, INDIA)
+        raw = landing.raw_orders(spark, root, replace(INDIA, multi_line=False))
         assert raw.rdd.getNumPartitions() > 10
         rows = landing.accepted(landing.stage_orders(raw, INDIA, start=501), INDIA).cache()
         wrong = rows.filter(
@@ -251,10 +270,10 @@ def test_rates_under_either_header(spark, tmp_path, day):
     path = tmp_path / "rates.csv"
     path.write_text(
         f"{day},usd2usd,usd2eu,usd2can,usd2uk,usd2inr,usd2jp\n"
-        "2023-04-30,1,1.0910,1.3551,0.8085,82.2064,133.1770\n"
+        "2023-04-30,1,0.9250,1.4120,0.7610,71.3750,119.2500\n"
     )
     row = read_rates(spark, str(path)).first()
-    assert (row["rate_dt"], row["usd2inr"]) == (dt.date(2023, 4, 30), Decimal("82.2064"))
+    assert (row["rate_dt"], row["usd2inr"]) == (dt.date(2023, 4, 30), Decimal("71.3750"))
     table = spark.read.option("header", True).csv(str(path))
     assert canonical_rates(table).columns[0] == "rate_dt"
 

@@ -100,6 +100,74 @@ def _facts(warehouse):
     return sorted((r["order_code"], r["us_total_order_amt"]) for r in rows if r["exchange_rate"])
 
 
+def _audited(warehouse, layer, table):
+    return warehouse.audit(layer, table).agg(F.sum("rows_written")).first()[0]
+
+
+AUDITED = (
+    ("source", "in_sales_order"),
+    ("curated", "in_sales_order"),
+    ("common", "exchange_rate"),
+    ("consumption", "sales_fact"),
+    *(("consumption", d.table) for d in DIMENSIONS),
+)
+
+
+def _contents(warehouse):
+    """Orders of every layer, and how many rows each table has and is noted to have."""
+    orders = [
+        sorted(r[0] for r in warehouse.table(layer, table).select(column).collect())
+        for layer, table, column in (
+            ("source", "in_sales_order", "order_id"),
+            ("curated", "in_sales_order", "order_id"),
+            ("consumption", "sales_fact", "order_code"),
+        )
+    ]
+    counts = {t: warehouse.table(*t).count() for t in AUDITED}
+    assert {t: _audited(warehouse, *t) for t in AUDITED} == counts
+    return orders, counts
+
+
+def test_a_failure_after_any_write_loses_nothing(spark, tmp_path, monkeypatch):
+    """Attempt n is lost right after its n-th write, until one gets through."""
+
+    def made(name, lost):
+        root, folder = tmp_path / name, tmp_path / f"{name}-files"
+        warehouse = Warehouse(spark, str(root), f"w{uuid.uuid4().hex}_", ONLY_INDIA)
+        rates = _rates(tmp_path / f"{name}.csv", "2023-01-01", "2023-01-02")
+        for drop in (("A", "B"), ("C",)):
+            orders = [(i, f"2023-01-0{1 + (i != 'A')}", 1, f"Customer {i}") for i in drop]
+            _drop(folder, "2023-01-01", *orders)
+            for attempt in range(1, 100):
+                writes = [0]
+
+                def counted(write):
+                    def call(*args, **named):
+                        done = write(*args, **named)
+                        writes[0] += 1
+                        if lost and writes[0] == attempt:
+                            raise RuntimeError("lost")
+                        return done
+
+                    return call
+
+                with monkeypatch.context() as patch:
+                    for name_of in ("append", "replace_partition"):
+                        patch.setattr(tables, name_of, counted(getattr(tables, name_of)))
+                    try:
+                        run = f"{drop[0]}{attempt}"
+                        warehouse.run(str(folder), rates, str(root / "cp"), run, AS_OF)
+                        break
+                    except Exception as error:
+                        assert "lost" in str(error)
+        return _contents(warehouse), attempt
+
+    expected, _ = made("plain", False)
+    found, attempts = made("broken", True)
+    assert found == expected and attempts > 3
+    assert expected[0] == [["A", "B", "C"]] * 3
+
+
 def test_runs_add_only_what_is_new(warehouse, tmp_path):
     root, checkpoint = tmp_path / "landing", str(tmp_path / "cp")
     rates = _rates(tmp_path / "rates.csv", "2023-01-01", "2023-03-01")
@@ -132,10 +200,8 @@ def test_runs_add_only_what_is_new(warehouse, tmp_path):
         assert duplicate_keys(members[dimension.table], dimension.key).isEmpty()
     assert members["date_dim"].count() == 61
     assert members["customer_dim"].count() == 3
-    audited = warehouse.table("audit", "load_audit").groupBy("table_name").sum("rows_written")
-    written = {r[0]: r[1] for r in audited.collect()}
-    assert written[warehouse.name("source", "in_sales_order")] == 4
-    assert written[warehouse.name("consumption", "sales_fact")] == 5
+    assert _audited(warehouse, "source", "in_sales_order") == 4
+    assert _audited(warehouse, "consumption", "sales_fact") == 5
 
 
 def test_run_after_a_failure_takes_up_what_was_left(warehouse, tmp_path, monkeypatch):
