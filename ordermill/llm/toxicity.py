@@ -29,9 +29,9 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField
 
 from ordermill.llm.common import FOLD, SpanHasher, flat, labelled_sample, map_texts, summed
 
-TRAIN_ROWS = 2_500
+TRAIN_ROWS = 2_000
 TRAIN_BYTES = 20_000
-TRAIN_WINDOWS = 16_000
+TRAIN_WINDOWS = 14_000
 WINDOW, STEP = 32, 16
 WORD_ROWS = 1 << 15
 # Words of fewer sampled texts have no vector of their own, lest texts be learned by heart.
@@ -42,6 +42,7 @@ WIDTH = 8  # of a word's vector, a 4-gram's vector and the state of one directio
 EPOCHS = 2
 LEAST_STEPS = 100
 BATCH = 512
+TEXTS = 100  # of the sample, read at a time
 RATE = 0.05
 DECAY = 10.0  # of the tables' vectors, times the rate, per step
 # Part of the sample's texts that the second layer is fitted on, unseen by the network.
@@ -247,11 +248,22 @@ class Model(NamedTuple):
     constant: float | None = None
 
 
-def take_windows(words: Words, starts: np.ndarray, sizes: np.ndarray) -> tuple[Words, np.ndarray]:
-    """The words of some windows end to end, and the windows' new first words."""
+def read_part(texts: list[bytes]) -> Words:
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    return read_words(data, np.cumsum([0, *map(len, texts)]), SpanHasher())
+
+
+def take_windows(
+    words: Words, starts: np.ndarray, sizes: np.ndarray, first: np.ndarray | None = None
+) -> tuple[Words, np.ndarray]:
+    """The words of some windows end to end, and the windows' new first words.
+
+    first: each word's first 4-gram, where it is known already.
+    """
     at = np.cumsum(sizes) - sizes
     index = np.repeat(starts - at, sizes) + np.arange(int(sizes.sum()))
-    first = np.cumsum(words.gram_counts) - words.gram_counts
+    if first is None:
+        first = np.cumsum(words.gram_counts) - words.gram_counts
     counts = words.gram_counts[index]
     begin = np.cumsum(counts) - counts
     grams = words.grams[np.repeat(first[index] - begin, counts) + np.arange(int(counts.sum()))]
@@ -264,17 +276,36 @@ def train(texts: list[bytes], labels: list[int], share: float | None = None, see
         return Model({}, np.zeros(3), float(np.mean(labels)) if labels else 0.5)
     share = float(np.mean(labels)) if share is None else share
     rng = np.random.default_rng(seed)
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-    words = read_words(data, offsets, SpanHasher())
-    starts, sizes, per_text = read_windows(words.counts)
-    truth = np.repeat(np.array(labels), per_text)
+    y = np.array(labels)
     unseen = np.arange(len(texts)) % UNSEEN == 0
-    own = (sizes > 0) & ~np.repeat(unseen, per_text)
-    chosen = [rng.permutation(np.flatnonzero((truth == y) & own))[:TRAIN_WINDOWS] for y in (0, 1)]
-    chosen = np.concatenate(chosen)
+    parts = [(i, min(i + TEXTS, len(texts))) for i in range(0, len(texts), TEXTS)]
+    # A few texts at a time, as reading takes many times their size; only windows are kept.
+    per_text = np.concatenate([read_windows(read_part(texts[i:j]).counts)[2] for i, j in parts])
+    truth = np.repeat(y, per_text)
+    own = ~np.repeat(unseen, per_text)
+    chosen = np.concatenate(
+        [rng.permutation(np.flatnonzero((truth == k) & own))[:TRAIN_WINDOWS] for k in (0, 1)]
+    )
+    take = np.zeros(len(truth), bool)
+    take[chosen] = True
+    first_window = np.concatenate([[0], np.cumsum(per_text)])
+    read, owner = [], []
+    for i, j in parts:
+        part = read_part(texts[i:j])
+        starts, sizes, _ = read_windows(part.counts)
+        some = np.flatnonzero(take[first_window[i] : first_window[j]] & (sizes > 0))
+        read.append((take_windows(part, starts[some], sizes[some])[0], sizes[some]))
+        owner.append(np.searchsorted(first_window, first_window[i] + some, side="right") - 1)
+    words = Words(
+        *(np.concatenate([getattr(w, f) for w, _ in read]) for f in ("rows", "grams", "gram_counts")),
+        np.zeros(0, np.int64),
+    )
+    sizes, owner = np.concatenate([n for _, n in read]), np.concatenate(owner)
+    starts, truth = np.cumsum(sizes) - sizes, y[owner]
+    first_gram = np.cumsum(words.gram_counts) - words.gram_counts
+    chosen = np.arange(len(sizes))
     params = new_params(seed)
-    seen = np.unique(np.repeat(np.arange(len(texts)), words.counts) * WORD_ROWS + words.rows)
+    seen = np.unique(np.repeat(owner, sizes) * WORD_ROWS + words.rows)
     common = np.bincount(seen % WORD_ROWS, minlength=WORD_ROWS)[:, None] >= WORD_TEXTS
     means = {k: np.zeros_like(v) for k, v in params.items()}
     squares = {k: np.zeros_like(v) for k, v in params.items()}
@@ -285,7 +316,7 @@ def train(texts: list[bytes], labels: list[int], share: float | None = None, see
         order = rng.permutation(chosen)
         for i in range(0, len(order), BATCH):
             some = order[i : i + BATCH]
-            own, at = take_windows(words, starts[some], sizes[some])
+            own, at = take_windows(words, starts[some], sizes[some], first_gram)
             _, grads = gradients(params, own, at, sizes[some], truth[some])
             grads["words"] *= common
             step += 1
@@ -298,8 +329,8 @@ def train(texts: list[bytes], labels: list[int], share: float | None = None, see
                     params[k] *= 1 - rate * DECAY
                 params[k] -= rate * means[k] / (1 - 0.9**step) / size
     model = Model(params, np.zeros(3))
-    features = np.stack(text_features(model, words, batch=4096)[:2], axis=1)
-    y = np.array(labels)
+    found = [text_features(model, read_part(texts[i:j]))[:2] for i, j in parts]
+    features = np.concatenate([np.stack(pair, axis=1) for pair in found])
     if len(set(y[unseen].tolist())) == 2:
         features, y = features[unseen], y[unseen]
     weights = np.where(y > 0, share / y.mean(), (1 - share) / (1 - y.mean()))
