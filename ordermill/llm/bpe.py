@@ -27,17 +27,23 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField
 
-from ordermill.llm.common import map_texts
+from ordermill.llm.common import FOLD, SpanHasher, flat, map_texts, summed, word_spans
 
-# Pieces in a worker's cache before it is emptied, and the longest that it takes, in bytes.
-CACHED = 800_000
-CACHED_BYTES = 48
+# Pieces, and ids of pieces, in a worker's cache before it is emptied (some 100 MB).
+CACHED = 1_000_000
+CACHED_IDS = 8_000_000
 # Symbols of a word up to which words are handled in batches; longer ones go one by one.
 BATCH_SYMBOLS = 48
 BATCH_WORDS = 50_000
 
 NONE = np.int64(2**31 - 1)
 
+ASCII_LETTER = np.zeros(256, bool)
+ASCII_LETTER[[*range(65, 91), *range(97, 123)]] = True
+# Bytes that are a word of their own when they end a piece after letters.
+CLOSING = np.zeros(256, bool)
+CLOSING[list(b",.;:!?")] = True
+
 
 def byte_chars() -> list[str]:
     """The character that stands for each byte in the vocabulary: itself if printable."""
@@ -50,11 +56,15 @@ def byte_chars() -> list[str]:
 class IntMap:
     """From 64-bit keys to non-negative numbers, looked up for whole arrays at once."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
-        bits = max(4, int(len(keys) * 3).bit_length())
+    def __init__(self, keys: np.ndarray, values: np.ndarray, room: int = 0) -> None:
+        bits = max(4, int(max(len(keys), room) * 2).bit_length())
         self.mask, self.shift = np.int64((1 << bits) - 1), np.uint64(64 - bits)
         self.keys = np.full(1 << bits, -1, np.int64)
         self.values = np.full(1 << bits, NONE, np.int64)
+        self.add(keys, values)
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Put in keys that are not there yet, up to about room of them."""
         left = np.arange(len(keys))
         slots = self._slots(keys)
         while len(left):
@@ -156,24 +166,33 @@ class Vocabulary:
 
     def merge(self, words: list[list[int]]) -> list[np.ndarray]:
         """Ids of words of symbols by exact merging: the lowest rank first, then the leftmost."""
-        made: list = [None] * len(words)
         sizes = np.array([len(w) for w in words], np.int64)
+        symbols = np.array([s for w in words for s in w], np.int64)
+        ids, counts = self.merge_flat(symbols, sizes)
+        return np.split(ids, np.cumsum(counts)[:-1]) if words else []
+
+    def merge_flat(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and numbers of ids of words whose symbols lie end to end, by exact merging."""
+        starts = np.cumsum(sizes) - sizes
+        number, found = [], []
         for i in np.flatnonzero(sizes > BATCH_SYMBOLS):
-            made[i] = self._merge_one(words[i])
+            ids = self._merge_one(symbols[starts[i] : starts[i] + sizes[i]].tolist())
+            number.append(np.full(len(ids), i))
+            found.append(ids)
         batch = np.flatnonzero(sizes <= BATCH_SYMBOLS)
         batch = batch[np.argsort(sizes[batch], kind="stable")]
-        for first in range(0, len(batch), 8192):
-            some = batch[first : first + 8192]
-            for i, found in zip(some, self._merge_batch([words[i] for i in some]), strict=True):
-                made[i] = found
-        return made
-
-    def _merge_batch(self, words: list[list[int]]) -> list[np.ndarray]:
-        sizes = np.array([len(w) for w in words])
+        for first in range(0, len(batch), 4096):
+            some = batch[first : first + 4096]
+            ids, counts = self._merge_batch(gathered(symbols, starts[some], sizes[some]), sizes[some])
+            number.append(np.repeat(some, counts))
+            found.append(ids)
+        return in_order(number, found, len(sizes))
+
+    def _merge_batch(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         width = int(sizes.max(initial=0))
-        ids = np.full((len(words), width + 1), -1, np.int64)
+        ids = np.full((len(sizes), width + 1), -1, np.int64)
         inside = np.arange(width + 1) < sizes[:, None]
-        ids[inside] = self.symbol_ids[np.array([s for w in words for s in w], np.int64)]
+        ids[inside] = self.symbol_ids[symbols]
         place = np.arange(width + 1)
 
         def ranks(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -182,8 +201,8 @@ class Vocabulary:
             found[real] = self.merges.get((a[real] << 32) | b[real])
             return found
 
-        todo = np.arange(len(words))
-        rank = ranks(ids[:, :-1], ids[:, 1:]) if width else np.zeros((len(words), 0), np.int64)
+        todo = np.arange(len(sizes))
+        rank = ranks(ids[:, :-1], ids[:, 1:]) if width else np.zeros((len(sizes), 0), np.int64)
         done = ids.copy()
         while len(todo) and rank.shape[1]:
             at = rank.argmin(axis=1)
@@ -206,7 +225,7 @@ class Vocabulary:
             before = np.maximum(at - 1, 0)
             rank[row, before] = ranks(ids[row, before], ids[row, before + 1])
         done[todo] = ids
-        return [row[row >= 0] for row in done]
+        return done[done >= 0], (done >= 0).sum(axis=1)
 
     def _merge_one(self, symbols: list[int]) -> np.ndarray:
         """Exact merging of one long word with a heap, in n log n steps."""
@@ -296,36 +315,39 @@ class Vocabulary:
             x, y = np.where(undo, self.right[x], x), np.where(undo, y, self.left[y])
         return good
 
+    def encode_flat(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and numbers of ids of words whose symbols lie end to end: speculate, verify, repair."""
+        starts = np.cumsum(sizes) - sizes
+        short = np.flatnonzero((sizes <= BATCH_SYMBOLS) & (sizes > 0))
+        number, found = [], []
+        failed = [np.flatnonzero(sizes > BATCH_SYMBOLS)]
+        for first in range(0, len(short), BATCH_WORDS):
+            some = short[first : first + BATCH_WORDS]
+            own = gathered(symbols, starts[some], sizes[some])
+            ends = np.cumsum(sizes[some])
+            word, ids = self.propose(own, ends - sizes[some], ends)
+            inner = np.flatnonzero(word[1:] == word[:-1])
+            bad = np.zeros(len(some), bool)
+            bad[word[inner[~self.compatible(ids[inner], ids[inner + 1])]]] = True
+            good = ~bad[word]
+            number.append(some[word[good]])
+            found.append(ids[good])
+            failed.append(some[bad])
+        again = np.concatenate(failed)
+        ids, counts = self.merge_flat(gathered(symbols, starts[again], sizes[again]), sizes[again])
+        number.append(np.repeat(again, counts))
+        found.append(ids)
+        return in_order(number, found, len(sizes))
+
     def encode_words(self, words: list[bytes]) -> list[bytes]:
-        """Ids of words (the bytes of one pattern match each), little-endian and 32 bits wide:
-        speculate, verify, repair."""
-        made: list = [None] * len(words)
+        """Ids of words (the bytes of one pattern match each), little-endian and 32 bits wide."""
         sizes = np.array(list(map(len, words)), np.int64)
-        for i in np.flatnonzero(sizes > BATCH_SYMBOLS):
-            made[i] = raw_ids(self._merge_one(word_symbols(words[i])))
-        batch = np.flatnonzero((sizes <= BATCH_SYMBOLS) & (sizes > 0))
-        for first in range(0, len(batch), BATCH_WORDS):
-            some = batch[first : first + BATCH_WORDS]
-            ends = np.cumsum(sizes[some])
-            symbols = np.frombuffer(b"".join([words[i] for i in some]), np.uint8).astype(np.int64)
-            symbols[ends - 1] += 256
-            number, ids = self.propose(symbols, ends - sizes[some], ends)
-            inner = np.flatnonzero(number[1:] == number[:-1])
-            wrong = inner[~self.compatible(ids[inner], ids[inner + 1])]
-            failed = some[np.unique(number[wrong])]
-            raw = raw_ids(ids)
-            cuts = (4 * np.searchsorted(number, np.arange(len(some) + 1))).tolist()
-            for i, start, end in zip(some.tolist(), cuts, cuts[1:], strict=False):
-                made[i] = raw[start:end]
-            exact = self.merge([word_symbols(words[i]) for i in failed])
-            for i, found in zip(failed, exact, strict=True):
-                made[i] = raw_ids(found)
-        return made
+        symbols = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+        symbols[np.cumsum(sizes)[sizes > 0] - 1] += 256
+        return split_ids(*self.encode_flat(symbols, sizes))
 
     def words(self, piece: bytes) -> list[bytes | int]:
         """Words of a piece without ASCII white space; special strings as their ids."""
-        if piece.isalpha():
-            return [piece.lower()]
         if piece.isascii() and b"<|" not in piece:
             return [w.encode() for w in self.pattern.findall(piece.decode().lower())]
         made: list[bytes | int] = []
@@ -340,6 +362,27 @@ class Vocabulary:
         return made
 
 
+def in_order(number: list[np.ndarray], found: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids sorted by their words' numbers, which keep their order within a word; and the counts."""
+    numbers = np.concatenate([*number, np.zeros(0, np.int64)])
+    ids = np.concatenate([*found, np.zeros(0, np.int64)]).astype(np.int64)
+    return ids[np.argsort(numbers, kind="stable")], np.bincount(numbers, minlength=n)
+
+
+def plain_letters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where flat texts have a-z, A-Z or a letter of U+00C0 to U+00FF, and the bytes in lower
+    case there. Such letters have one lower case, no composition, and form words as they are."""
+    letter = ASCII_LETTER[data]
+    folded = FOLD[data]
+    lead = np.flatnonzero(data[:-1] == 0xC3)
+    after = data[lead + 1]
+    real = (after >= 0x80) & (after <= 0xBF) & (after != 0x97) & (after != 0xB7)
+    lead, after = lead[real], after[real]
+    letter[lead] = letter[lead + 1] = True
+    folded[lead + 1] = np.where((after < 0x9F), after + 32, after)
+    return letter, folded
+
+
 def raw_ids(ids: np.ndarray) -> bytes:
     return ids.astype("<u4").tobytes()
 
@@ -354,53 +397,126 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-_caches: dict[str, dict[bytes, bytes]] = {}
+def gathered(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Stretches of pool end to end."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return pool[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)]
+
+
+class PieceCache:
+    """Ids of pieces by 63-bit hash, in arrays: the hash table, and the ids end to end."""
+
+    def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        none = np.zeros(0, np.int64)
+        self.index = IntMap(none, none, room=CACHED)
+        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.uint32)
+        self.used = 0
+
+    def full(self, more: int) -> bool:
+        return len(self.starts) + more > CACHED or self.used > CACHED_IDS
+
+    def add(self, keys: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        if self.used + len(ids) > len(self.pool):
+            room = np.zeros(max(2 * len(self.pool), self.used + len(ids)), np.uint32)
+            room[: self.used] = self.pool[: self.used]
+            self.pool = room
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.index.add(keys, len(self.starts) + np.arange(len(keys)))
+        self.starts = np.concatenate([self.starts, self.used + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.used += len(ids)
+
+
+_caches: dict[str, PieceCache] = {}
 
 
 class Encoder:
-    """Encodes whole texts to little-endian unsigned 32-bit ids, with a worker's cache."""
+    """Encodes whole texts, with a worker's cache of pieces.
+
+    Pieces are found in the cache by a 63-bit hash, so two of a worker's pieces share ids by
+    mistake with a probability of some 10**-7.
+    """
 
     def __init__(self, path: str) -> None:
         self.vocabulary = vocabulary(path)
-        self.cache = _caches.setdefault(path, {})
-
-    def _learn(self, pieces: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of pieces that the cache lacks; the short ones it keeps."""
-        split = [self.vocabulary.words(p) for p in pieces]
+        # The cache outlives the task: the worker process serves many.
+        self.cache = _caches.setdefault(path, PieceCache())
+        self.hasher = SpanHasher()
+
+    def _learn(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        """Put pieces of data that the cache lacks into it."""
+        letter, folded = plain_letters(data)
+        letters = np.concatenate([[0], np.cumsum(letter)])
+        sizes = ends - starts
+        other = sizes - (letters[ends] - letters[starts])
+        closed = (other == 1) & (sizes > 1) & CLOSING[data[ends - 1]]
+        simple = (other == 0) | closed
+        # A simple piece is one word of letters, or this word and a closing mark.
+        at, tail = np.flatnonzero(simple), closed[simple]
+        rows = np.repeat(np.arange(len(at)), 1 + tail)
+        mark = np.zeros(len(rows), bool)
+        mark[np.cumsum(1 + tail)[tail] - 1] = True
+        begin = np.where(mark, ends[at][rows] - 1, starts[at][rows])
+        end = np.where(mark | ~tail[rows], ends[at][rows], ends[at][rows] - 1)
+        symbols = gathered(folded, begin, end - begin).astype(np.int64)
+        symbols[np.cumsum(end - begin) - 1] += 256
+        ids, counts = self.vocabulary.encode_flat(symbols, end - begin)
+        self.cache.add(keys[at], ids, np.bincount(rows, counts, minlength=len(at)).astype(np.int64))
+
+        at = np.flatnonzero(~simple)
+        raw = data.tobytes()
+        bounds = zip(starts[at].tolist(), ends[at].tolist(), strict=True)
+        split = [self.vocabulary.words(raw[a:b]) for a, b in bounds]
         words = list({w for found in split for w in found if isinstance(w, bytes)})
-        raw: dict = dict(zip(words, self.vocabulary.encode_words(words), strict=True))
-        known = {}
-        for piece, found in zip(pieces, split, strict=True):
-            if len(found) == 1 and found[0] in raw:
-                known[piece] = raw[found[0]]
-            else:
-                known[piece] = b"".join(
-                    [raw[w] if isinstance(w, bytes) else w.to_bytes(4, "little") for w in found]
-                )
-        if len(self.cache) + len(known) > CACHED:
-            self.cache.clear()
-        self.cache.update((p, ids) for p, ids in known.items() if len(p) <= CACHED_BYTES)
-        return known
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        parts = [t.split() for t in texts]
+        known: dict = dict(zip(words, self.vocabulary.encode_words(words), strict=True))
+        known.update({i: i.to_bytes(4, "little") for i in self.vocabulary.special.values()})
+        made = [b"".join(map(known.__getitem__, found)) for found in split]
+        counts = np.array([len(x) // 4 for x in made], np.int64)
+        self.cache.add(keys[at], np.frombuffer(b"".join(made), "<u4"), counts)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and the numbers of ids of each."""
+        data, offsets = flat(texts)
+        starts, ends, counts = word_spans(data, offsets)
+        hashes = self.hasher.spans(self.hasher.prefix(data), starts, ends)
+        keys = (hashes >> np.uint64(1)).astype(np.int64)
         cache = self.cache
-        missing = [p for p in set().union(*parts) if p not in cache]
-        if not missing:
-            return [b"".join(map(cache.__getitem__, part)) for part in parts]
-        before = cache
-        if len(cache) + len(missing) > CACHED:
-            # The cache is about to be emptied, but these texts still need it.
-            before = dict(cache)
-        known = self._learn(missing)
-        made = []
-        for part in parts:
-            found = list(map(known.get, part))
-            made.append(b"".join([before[p] if k is None else k for p, k in zip(part, found, strict=True)]))
-        return made
-
-    def decode(self, ids: list[int]) -> str:
-        return " ".join(map(self.vocabulary.strings.__getitem__, ids))
+        place = cache.index.get(keys)
+        lost = np.flatnonzero(place == NONE)
+        if len(lost):
+            new, first = np.unique(keys[lost], return_index=True)
+            if cache.full(len(new)):
+                cache.clear()
+                lost = np.arange(len(keys))
+                new, first = np.unique(keys, return_index=True)
+            at = lost[first]
+            self._learn(new, data, starts[at], ends[at])
+            place[lost] = cache.index.get(keys[lost])
+        sizes = cache.sizes[place]
+        ids = gathered(cache.pool, cache.starts[place], sizes)
+        return ids, summed(sizes, counts).astype(np.int64)
+
+
+class Strings:
+    """Strings by id as bytes, to be joined by spaces for many texts at once."""
+
+    def __init__(self, strings: list[str]) -> None:
+        raw = [s.encode() + b" " for s in strings]
+        self.pool = np.frombuffer(b"".join(raw), np.uint8)
+        self.sizes = np.array(list(map(len, raw)), np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def joined(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The strings of each text's ids, joined by a space."""
+        sizes = self.sizes[ids]
+        whole = gathered(self.pool, self.starts[ids], sizes).tobytes()
+        ends = np.cumsum(summed(sizes, counts).astype(np.int64)).tolist()
+        return [whole[a : max(a, b - 1)] for a, b in zip([0, *ends], ends, strict=False)]
 
 
 FIELDS = [
@@ -420,33 +536,39 @@ def encode_texts(df: DataFrame, path: str, text: str = "text", drop_text: bool =
 
     def start() -> Callable[[pa.Array], list]:
         encoder = Encoder(path)
+        strings = Strings(encoder.vocabulary.strings)
 
         def encode(texts: pa.Array) -> list:
-            made = encoder.encode(texts.to_pylist())
-            decoded = [encoder.decode(np.frombuffer(ids, "<u4").tolist()) for ids in made]
-            return [[len(ids) // 4 for ids in made], made, decoded]
+            ids, counts = encoder.encode(texts)
+            decoded = [d.decode() for d in strings.joined(ids, counts)]
+            return [counts, split_ids(ids, counts), decoded]
 
         return encode
 
     return map_texts(df, text, FIELDS, start, drop_text=drop_text)
 
 
+def split_ids(ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """Each text's ids, little-endian and 32 bits wide."""
+    raw, ends = raw_ids(ids), (4 * np.cumsum(counts)).tolist()
+    return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
 def digest_texts(df: DataFrame, path: str, text: str = "text", drop_text: bool = False) -> DataFrame:
     """df with n_tokens and hex SHA-256 of the decimal ids, joined by spaces, and of decoded."""
 
     def start() -> Callable[[pa.Array], list]:
         encoder = Encoder(path)
-        decimal = [str(i) for i in range(len(encoder.vocabulary.strings))]
+        strings = Strings(encoder.vocabulary.strings)
+        decimal = Strings([str(i) for i in range(len(encoder.vocabulary.strings))])
 
         def digest(texts: pa.Array) -> list:
-            counts, ids_sha, decoded_sha = [], [], []
-            for raw in encoder.encode(texts.to_pylist()):
-                ids = np.frombuffer(raw, "<u4").tolist()
-                counts.append(len(ids))
-                joined = " ".join(map(decimal.__getitem__, ids))
-                ids_sha.append(hashlib.sha256(joined.encode()).hexdigest())
-                decoded_sha.append(hashlib.sha256(encoder.decode(ids).encode()).hexdigest())
-            return [counts, ids_sha, decoded_sha]
+            ids, counts = encoder.encode(texts)
+            shas = [
+                [hashlib.sha256(part).hexdigest() for part in kind.joined(ids, counts)]
+                for kind in (decimal, strings)
+            ]
+            return [counts, *shas]
 
         return digest
 

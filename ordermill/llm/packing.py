@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField
 
-from ordermill.llm.bpe import Encoder
+from ordermill.llm.bpe import Encoder, split_ids
 from ordermill.llm.common import map_texts, ship, stored
 
 SHARD_PIECES = 16_384
@@ -60,7 +60,7 @@ def cut_pieces(
 
         def cut(texts: pa.Array) -> list:
             lengths, crcs = [], []
-            for ids in encoder.encode(texts.to_pylist()):
+            for ids in split_ids(*encoder.encode(texts)):
                 ids += end
                 parts = [ids[i : i + 4 * size] for i in range(0, len(ids), 4 * size)]
                 lengths.append([len(p) // 4 for p in parts])

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from cases import clashing, frame, rows
 from tokenizers import Tokenizer
@@ -75,14 +76,17 @@ def test_pair_check_agrees_with_merging():
     assert min(seen.values()) > 100
 
 
-def test_small_cache_gives_the_same(monkeypatch, library):
-    monkeypatch.setattr(bpe, "CACHED", 10)
+@pytest.mark.parametrize("ids", [10, 8_000_000])
+def test_small_cache_gives_the_same(monkeypatch, library, ids):
+    monkeypatch.setattr(bpe, "CACHED", 200)
+    monkeypatch.setattr(bpe, "CACHED_IDS", ids)
     monkeypatch.setattr(bpe, "_caches", {})
     encoder = bpe.Encoder(PATH)
     texts = [(t or "") for _, t in made()]
-    for i in range(0, len(texts), 7):
-        part = texts[i : i + 7]
-        found = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode([t.encode() for t in part])]
+    for i in range(0, len(texts), 3):
+        part = texts[i : i + 3]
+        encoded = encoder.encode(pa.array([t.encode() for t in part], pa.large_binary()))
+        found = [np.frombuffer(x, "<u4").tolist() for x in bpe.split_ids(*encoded)]
         assert found == [library.encode(t, add_special_tokens=False).ids for t in part]
 
 
