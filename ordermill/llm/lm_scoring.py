@@ -3,9 +3,9 @@
 A text is coded byte by byte, then by an end symbol; each symbol is a path of binary decisions
 in a code tree that the two bytes before it choose, so frequent symbols take few decisions.
 Three predictors know, for every decision, how often it went which way in the training texts:
-at this node at all, after these four bytes (hashed), and after this beginning of a word
-(hashed). Their log odds are combined with weights that a gate selects (which predictors know
-anything, and how deep the decision lies), and the weights are learned online: they begin the
+at this node at all, after these four bytes (hashed), and after the last WORD_BYTES bytes of the
+word so far (hashed). Their log odds are combined with weights that a gate selects (how much the predictors
+know, and how deep the decision lies), and the weights are learned online: they begin the
 same in every text and follow the gradient after each block of its symbols. The sum over the
 decisions is the text's log probability; trees and predictors are proper, so all texts
 together have a probability of at most one.
@@ -54,27 +54,36 @@ ESCAPE = 257
 CLASSES = 64
 CONTEXTS = CLASSES * 256
 TREES = 4096
-CELL = 512  # symbols' room in a context's number
+CELL = 258  # symbols of a context, the escape included
 MAX_WEIGHT = 1 << 20
 
 SLOT_BITS = 21
 SLOTS = 1 << SLOT_BITS
 BLOCK_SLOTS = 1 << 14
+WORD_BYTES = 6
 HASHED = 2  # predictors with tables, after the one by node
 DELTA = 0.4
 
 BLOCK = 256  # symbols between updates of the weights
 DEPTHS = 3
-GATES = 4 * DEPTHS
-RATE = 0.004
-# Weights at the start, by what is known: bit 0 the four bytes, bit 1 the word's beginning.
+# How much is known after the word so far: nothing, or this many decisions and more.
+LEVELS = (1, 8, 128)
+RATE = 0.006
+# Weights at the start, by twice the level, plus one if the four bytes are known.
 START = np.array(
-    [[0.95, 0.0, 0.0], [0.35, 0.7, 0.0], [0.4, 0.0, 0.65], [0.1, 0.45, 0.55]], np.float32
-)
+    [
+        [0.95, 0.0, 0.0], [0.35, 0.7, 0.0],
+        [0.6, 0.0, 0.4], [0.0, 0.7, 0.4],
+        [0.4, 0.0, 0.65], [0.0, 0.65, 0.45],
+        [0.2, 0.0, 0.85], [0.0, 0.5, 0.6],
+    ],
+    np.float32,
+)
+GATES = len(START) * DEPTHS
 
 FREQUENT = 1 << 17
 END_KEY = 1
-FLUSH_KEYS = 2_000_000
+FLUSH_KEYS = 1_000_000
 SLICE = 500_000
 
 
@@ -84,7 +93,7 @@ class Symbols(NamedTuple):
     symbol: np.ndarray
     context: np.ndarray  # of the code tree
     four: np.ndarray  # the four bytes before
-    word: np.ndarray  # hash of the word's beginning
+    word: np.ndarray  # hash of the word so far
     sizes: np.ndarray  # symbols per text
 
 
@@ -107,8 +116,9 @@ def read_symbols(data: np.ndarray, offsets: np.ndarray, hasher: SpanHasher) -> S
     starts = np.where(BREAK[wide] | ~inside | is_end, np.arange(len(wide)) + 1, 0)
     starts[is_end] = 0
     starts = np.maximum.accumulate(starts)
-    # The word before a symbol begins after the last break before it.
-    begin = np.minimum(starts[at - 1], at)
+    # The word before a symbol begins after the last break before it; of a longer one, its
+    # last bytes are taken, or most slots would be used by words that are never seen again.
+    begin = np.maximum(np.minimum(starts[at - 1], at), at - WORD_BYTES)
     word = hasher.spans(hasher.prefix(wide), begin, at)
     symbol = wide[at].astype(np.int64)
     symbol[is_end[at]] = END
@@ -177,7 +187,7 @@ def build_code(cells: dict[int, int]) -> Code:
             depth += range(len(paths[symbol]))
     return Code(
         np.array(keys, np.int64), np.array(first, np.int64), np.array(size, np.int64),
-        np.array(nodes, np.int64), np.array(bits, np.uint8), np.array(depth, np.uint8), node,
+        np.array(nodes, np.int32), np.array(bits, np.uint8), np.array(depth, np.uint8), node,
     )
 
 
@@ -215,7 +225,8 @@ class Coder:
         sizes = code.size[entry]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
-        path = np.repeat(code.first[entry] - (ends - sizes), sizes) + np.arange(total)
+        path = np.repeat((code.first[entry] - (ends - sizes)).astype(np.int32), sizes)
+        path += np.arange(total, dtype=np.int32)
         per_symbol = np.bincount(owner, weights=sizes, minlength=len(symbols.symbol)).astype(np.int64)
         node = code.nodes[path]
         with np.errstate(over="ignore"):
@@ -226,7 +237,8 @@ class Coder:
             ]
             slots = []
             for values in own:
-                h = np.repeat(values, per_symbol) ^ mixed
+                h = np.repeat(values, per_symbol)
+                h ^= mixed
                 h ^= h >> np.uint32(15)
                 h *= np.uint32(0x2C1B3C6D)
                 h >>= np.uint32(32 - SLOT_BITS)
@@ -235,10 +247,12 @@ class Coder:
 
 
 class Tables(NamedTuple):
-    """Log odds of a one: by node, then by slot of each hashed predictor; 0 is unknown."""
+    """Log odds of a one: by node, then by slot of each hashed predictor; 0 is unknown. levels
+    has the place among LEVELS of what is known, by slot of the word so far."""
 
     nodes: np.ndarray
     slots: np.ndarray
+    levels: np.ndarray
 
 
 def log_odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -275,10 +289,10 @@ class Scorer:
             [self.tables.nodes[found.node]]
             + [self.tables.slots[k][found.slots[k]] for k in range(HASHED)]
         )
-        gate = (known[1] != 0).view(np.uint8) | ((known[2] != 0).view(np.uint8) << np.uint8(1))
-        gate = gate + np.uint8(4) * np.minimum(found.depth, DEPTHS - 1)
+        gate = self.tables.levels[found.slots[1]] * np.uint8(2) + (known[1] != 0).view(np.uint8)
+        gate += np.uint8(len(START)) * np.minimum(found.depth, np.uint8(DEPTHS - 1))
         sign = found.bit.astype(np.float32) * 2 - 1
-        weights = np.tile(START, (n * DEPTHS, 1))
+        weights = np.ascontiguousarray(np.tile(START, (n * DEPTHS, 1)).T)
         total = np.zeros(n)
         steps = np.searchsorted(number, np.arange(int(blocks.max(initial=0)) + 1))
         cut = np.concatenate([[0], np.cumsum(per_block)])
@@ -287,25 +301,27 @@ class Scorer:
             own, counts = text[first:last], per_block[first:last]
             row = np.repeat(own.astype(np.int32) * GATES, counts) + gate[here]
             inputs = known[:, here]
-            w = weights[row]
-            logit = inputs[0] * w[:, 0]
+            logit = inputs[0] * weights[0].take(row)
             for k in range(1, HASHED + 1):
-                logit += inputs[k] * w[:, k]
+                logit += inputs[k] * weights[k].take(row)
             np.clip(logit, -16, 16, out=logit)
-            # The probability of the other bit.
-            miss = 1 / (1 + np.exp(sign[here] * logit))
-            total[own] += summed(np.log1p(-miss), counts)
+            # Odds and then probability of the other bit.
+            logit *= sign[here]
+            np.negative(logit, out=logit)
+            odds = np.exp(logit, out=logit)
+            total[own] -= summed(np.log1p(odds), counts)
+            miss = odds / (odds + 1)
             miss *= sign[here]
             for k in range(HASHED + 1):
                 moved = np.bincount(row, miss * inputs[k], minlength=n * GATES)
-                weights[:, k] += RATE * moved
+                weights[k] += RATE * moved
         return total / math.log(10)
 
 
 def _partition_counts(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
     """Rows (kind, key, n): 0 for cells of the code trees, 1 for words of the baseline."""
     hasher = SpanHasher()
-    cells = np.zeros(0, np.int64)
+    cells = np.zeros((CONTEXTS + 1) * CELL, np.int64)
     words: list[tuple[np.ndarray, np.ndarray]] = []
     held = texts_seen = 0
 
@@ -323,9 +339,7 @@ def _partition_counts(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[
         for _, texts in slices(batch, text, SLICE):
             data, offsets = flat(texts)
             symbols = read_symbols(data, offsets, hasher)
-            own = np.bincount(symbols.context * CELL + symbols.symbol, minlength=len(cells))
-            own[: len(cells)] += cells
-            cells = own
+            np.add.at(cells, symbols.context * CELL + symbols.symbol, 1)
             texts_seen += len(texts)
             keys, counts = np.unique(word_keys(data, offsets, hasher)[0], return_counts=True)
             words.append((keys, counts))
@@ -366,11 +380,11 @@ def _partition_tables(code: Code, text: str) -> Callable:
         tables += [np.zeros(2 * SLOTS, np.int32) for _ in range(HASHED)]
         any_text = False
         for batch in batches:
-            for _, texts in slices(batch, text, 2 * SLICE):
+            for _, texts in slices(batch, text, SLICE):
                 any_text = True
                 found = coder.decisions(read_symbols(*flat(texts), hasher))
                 for table, slot in zip(tables, [found.node, *found.slots], strict=True):
-                    table += np.bincount(slot * 2 + found.bit, minlength=len(table)).astype(table.dtype)
+                    np.add.at(table, slot * 2 + found.bit, table.dtype.type(1))
         if any_text:
             part = 0
             for table in tables:
@@ -457,7 +471,9 @@ def fit(df: DataFrame, text: str = "text") -> Model:
     else:
         nodes, slots = np.zeros(2 * code.n_nodes, np.int64), [np.zeros(2 * SLOTS, np.int64)] * HASHED
     tables = Tables(
-        log_odds(nodes[::2], nodes[1::2]), np.stack([log_odds(s[::2], s[1::2]) for s in slots])
+        log_odds(nodes[::2], nodes[1::2]),
+        np.stack([log_odds(s[::2], s[1::2]) for s in slots]),
+        np.searchsorted(LEVELS, slots[1][::2] + slots[1][1::2], side="right").astype(np.uint8),
     )
     return Model(code, tables, words, known.tokens or 0, known.distinct or 0)
 

@@ -65,7 +65,7 @@ def slow_decisions(code, text):
         before = (b"\0" * 4 + text[:at])[-4:]
         context = (before[2] % lm.CLASSES) * 256 + before[3]
         symbol = text[at] if at < len(text) else lm.END
-        word = re.search(rb"[^\x20\x09-\x0D]*$", text[:at])[0]
+        word = re.search(rb"[^\x20\x09-\x0D]*$", text[:at])[0][-lm.WORD_BYTES :]
         keys = [context * lm.CELL + symbol]
         if keys[0] not in entries:
             keys = [context * lm.CELL + lm.ESCAPE, lm.CONTEXTS * lm.CELL + symbol]
@@ -97,6 +97,8 @@ def test_tables_are_the_sums_over_partitions(spark, model):
     assert np.allclose(model.tables.nodes, lm.log_odds(counts[::2], counts[1::2]))
     again = lm.fit(frame(spark, train()).repartition(70))
     assert np.array_equal(model.tables.slots, again.tables.slots)
+    slots = np.bincount(d.slots[1], minlength=lm.SLOTS)
+    assert np.array_equal(model.tables.levels, np.digitize(slots, lm.LEVELS))
     for k in range(lm.HASHED):
         counts = np.bincount(d.slots[k] * 2 + d.bit, minlength=2 * lm.SLOTS)
         assert np.allclose(model.tables.slots[k], lm.log_odds(counts[::2], counts[1::2]))
@@ -119,7 +121,8 @@ def test_same_context_same_slot_and_mixing_one_by_one(model):
             change = np.zeros_like(weights)
             for i in range(place, end):
                 x = np.array([model.tables.nodes[d.node[i]], *(model.tables.slots[k][d.slots[k][i]] for k in range(2))])
-                gate = int(x[1] != 0) + 2 * int(x[2] != 0) + 4 * min(int(d.depth[i]), lm.DEPTHS - 1)
+                gate = int(x[1] != 0) + 2 * int(model.tables.levels[d.slots[1][i]])
+                gate += len(lm.START) * min(int(d.depth[i]), lm.DEPTHS - 1)
                 p = 1 / (1 + math.exp(-np.clip(weights[gate] @ x, -16, 16)))
                 total += math.log10(p if d.bit[i] else 1 - p)
                 change[gate] += lm.RATE * (d.bit[i] - p) * x
