@@ -15,6 +15,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Callable
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BooleanType, LongType, StructField
 
-from ordermill.llm.common import map_texts
+from ordermill.llm.common import map_texts, ship
 
 # The first tier: documents that it is made from, and most entries it may have.
 SAMPLE_DOCS = 2_000
@@ -123,22 +124,29 @@ def unpacked(table: bytes) -> dict[str, int]:
 
 
 def frequent_table(df: DataFrame, path: str, text: str = "text") -> bytes:
-    """The first tier: the most frequent pre-tokens of the sample, made in one task."""
-    sample = df.select(text).limit(SAMPLE_DOCS)
+    """The first tier: the most frequent pre-tokens of the first documents.
+
+    Each partition could make a table; first() runs the tasks it needs to get one, which is
+    the first partition's unless that is empty.
+    """
 
     def run(batches):
         counts = Counts(path)
         seen: Counter[str] = Counter()
-        for batch in batches:
-            for value in batch.column(0):
-                seen.update(counts.pieces(value.as_py() or "")[0])
+        values = (value.as_py() or "" for batch in batches for value in batch.column(0))
+        read = 0
+        for read, value in enumerate(islice(values, SAMPLE_DOCS), 1):
+            seen.update(counts.pieces(value)[0])
+        if not read:
+            return
         # Long ones are rare, whatever the sample says.
         top = [p for p, _ in seen.most_common(FREQUENT) if len(p) <= 64]
         made = counts.tokenizer.encode_batch_fast(top, add_special_tokens=False)
         table = packed([(p, len(e)) for p, e in zip(top, made, strict=True)])
         yield pa.RecordBatch.from_pydict({"made": pa.array([table], pa.binary())})
 
-    made = sample.coalesce(1).mapInArrow(run, "made binary").first()
+    ship(df.sparkSession)
+    made = df.select(text).mapInArrow(run, "made binary").first()
     return made.made if made else packed([])
 
 
