@@ -99,6 +99,24 @@ def keep_once(df: DataFrame, sha: Column, id_col: str, kept: DataFrame) -> DataF
     return without(copies.where("_copy = 1"), ["_key", "_copy"])
 
 
+def learnable(df: DataFrame, labels: DataFrame, id_col: str, label: str) -> DataFrame:
+    """Ids (_id) with label 0 or 1 (_label) that have a row in df.
+
+    An id labelled both ways counts as 1; a null id has no label.
+    """
+    once = (
+        labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull())
+        .groupBy(F.col(id_col).alias("_id"))
+        .agg(F.max(label).cast("int").alias("_label"))
+    )
+    return once.join(df.select(F.col(f"`{id_col}`").alias("_id")), "_id", "left_semi")
+
+
+def label_share(df: DataFrame, labels: DataFrame, id_col: str, label: str) -> float | None:
+    """The share of label 1 among all ids that can be learned from, None without any."""
+    return learnable(df, labels, id_col, label).agg(F.avg("_label").alias("share")).first().share
+
+
 def labelled_sample(
     df: DataFrame,
     labels: DataFrame,

@@ -7,8 +7,9 @@ gradient descent. After training, table and layer are one number per row (the di
 two logits is linear in the mean), which is what workers get and add up.
 
 Training uses a bounded sample: the first rows of each label in an order of hashed ids, at most
-TRAIN_ROWS per label, of these the whole texts of at most TRAIN_BYTES bytes. Scores use whole texts and nothing but
-texts. Without both labels the score is the known label's share, one half without any. Null
+TRAIN_ROWS per label, of these the whole texts of at most TRAIN_BYTES bytes. The labels weigh
+as often as they occur among all that can be learned, so scores do not shift where the sample
+holds another share of them. Scores use whole texts and nothing but texts. Without both labels the score is the known label's share, one half without any. Null
 and empty texts have no features and get the layer's bias.
 """
 
@@ -25,6 +26,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField
 from ordermill.llm.common import (
     SpanHasher,
     flat,
+    label_share,
     labelled_sample,
     map_texts,
     summed,
@@ -94,13 +96,18 @@ class Features:
         return made
 
 
-def train(texts: list[bytes], labels: list[int], seed: int = SEED) -> Model:
-    """Table and layer by gradient descent on the log loss, one document at a time."""
+def train(texts: list[bytes], labels: list[int], share: float | None = None, seed: int = SEED) -> Model:
+    """Table and layer by gradient descent on the log loss, one document at a time.
+
+    share is that of label 1 among all labelled rows; without it, that among these.
+    """
     table_rows = WORD_ROWS + GRAM_ROWS
-    share = float(np.mean(labels)) if labels else 0.5
-    if not 0.0 < share < 1.0:
-        constant = 0.0 if not labels else (10.0 if share else -10.0)
+    own = float(np.mean(labels)) if labels else 0.5
+    if not 0.0 < own < 1.0:
+        constant = 0.0 if not labels else (10.0 if own else -10.0)
         return Model(np.zeros(table_rows, np.float32), constant)
+    share = own if share is None else min(max(share, 1e-3), 1 - 1e-3)
+    weigh = ((1 - share) / (1 - own), share / own)
     rng = np.random.default_rng(seed)
     table = rng.uniform(-1, 1, (table_rows, DIMENSIONS)).astype(np.float32) / DIMENSIONS
     layer = np.zeros((2, DIMENSIONS), np.float32)
@@ -123,6 +130,7 @@ def train(texts: list[bytes], labels: list[int], seed: int = SEED) -> Model:
             p = np.exp(odds - odds.max())
             p /= p.sum()
             p[labels[i]] -= 1
+            p *= weigh[labels[i]]
             back = p @ layer
             layer -= rate * np.outer(p, hidden)
             bias -= rate * 0.1 * p
@@ -156,7 +164,8 @@ def fit(
 ) -> Model:
     """A model from a sample of the labelled rows; labels of other values are ignored."""
     rows = labelled_sample(df, labels, id_col, text, label, TRAIN_ROWS, TRAIN_BYTES)
-    return train([t for t, _ in rows], [y for _, y in rows])
+    share = label_share(df, labels, id_col, label)
+    return train([t for t, _ in rows], [y for _, y in rows], share)
 
 
 def score_quality(

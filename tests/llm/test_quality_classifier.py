@@ -56,3 +56,29 @@ def test_one_label_or_none(spark):
     assert {r.score for r in scored.collect()} == {0.5}
     assert [c.lower() for c in scored.columns].count("score") == 1
     assert q.score_quality(frame(spark, []), none).collect() == []
+
+
+def test_scores_agree_below_and_above_the_cap(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    vocabulary = [f"w{i}" for i in range(300)]
+    made = []
+    for i in range(900):
+        # Symbols in both labels, more of them in the bad one, so that many scores are in between.
+        bad = i % 7 == 0
+        noisy = rng.random(30) < (0.30 if bad else 0.15)
+        words = [w + "***" if n else w for w, n in zip(rng.choice(vocabulary, 30), noisy, strict=True)]
+        made.append((i, " ".join(words), int(not bad)))
+    docs = frame(spark, [(i, t) for i, t, _ in made])
+    # Labels of documents that are not there say nothing about the share.
+    gone = [(5000 + i, 0) for i in range(900)]
+    labels = spark.createDataFrame([(i, y) for i, _, y in made] + gone, "doc_id long, quality int")
+    every = q.fit(docs, labels.where("doc_id < 5000"))
+    monkeypatch.setattr(q, "TRAIN_ROWS", 128)
+    capped = q.fit(docs, labels.where("doc_id < 5000"))
+    scores = [
+        np.array([r.score for r in q.score_quality(docs, m).orderBy("doc_id").collect()])
+        for m in (every, capped)
+    ]
+    assert abs(scores[0].mean() - 6 / 7) < 0.05
+    assert abs(scores[0].mean() - scores[1].mean()) < 0.06
+    assert q.label_share(docs, labels, "doc_id", "quality") == np.mean([y for *_, y in made])
