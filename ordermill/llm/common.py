@@ -25,6 +25,8 @@ from pyspark.sql.types import StructField, StructType
 
 # Text bytes that one call of a batch function gets; a longer single text comes alone.
 SLICE_BYTES = 1_000_000
+# Pieces that a sample takes of a text too long for the driver.
+PIECES = 8
 
 WORD_BREAKS = "\\x20\\x09-\\x0D"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -117,36 +119,49 @@ def label_share(df: DataFrame, labels: DataFrame, id_col: str, label: str) -> fl
     return learnable(df, labels, id_col, label).agg(F.avg("_label").alias("share")).first().share
 
 
-def labelled_sample(
-    df: DataFrame,
-    labels: DataFrame,
-    id_col: str,
-    text: str,
-    label: str,
-    rows: int,
-    size: int,
-) -> list[tuple[bytes, int]]:
-    """A bounded sample of labelled texts for the driver, the same ones in every run.
-
-    Of each label, 0 and 1, the first ids in an order of hashes, rows at most; of these the
-    texts of at most size bytes, whole. An id labelled both ways counts as 1; a null id has no
-    label; of rows with one id, the least text is taken.
+def chosen_texts(
+    df: DataFrame, labels: DataFrame, id_col: str, text: str, label: str, rows: int
+) -> DataFrame:
+    """A bounded sample of labelled texts (_id, _label, _text), the same ones in every run.
+
+    Of each label, 0 and 1, the first ids in an order of hashes that have a row in df, rows at
+    most, with texts of every length, whole; of rows with one id, the least text is taken. They
+    are written once to the shared folder.
     """
-    once = (
-        labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull())
-        .groupBy(F.col(id_col).alias("_id"))
-        .agg(F.max(label).cast("int").alias("_label"))
-    )
+    known = stored(learnable(df, labels, id_col, label), "labelled")
     order = [F.xxhash64("_id"), F.col("_id")]
-    zeros, ones = (once.where(F.col("_label") == y).orderBy(*order).limit(rows) for y in (0, 1))
+    zeros, ones = (known.where(F.col("_label") == y).orderBy(*order).limit(rows) for y in (0, 1))
     texts = df.select(
         F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text")
-    ).where(F.octet_length("_text") <= size)
+    )
     # At most 2 * rows ids.
     found = texts.join(F.broadcast(zeros.unionByName(ones)), "_id")
-    least = found.groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
-    chosen = least.orderBy(*order).collect()
-    return [(row["_text"].encode(), row["_label"]) for row in chosen]
+    return stored(found.groupBy("_id", "_label").agg(F.min("_text").alias("_text")), "sample")
+
+
+def drawn(chosen: DataFrame, size: int) -> list[tuple[bytes, int]]:
+    """The chosen texts and labels for the driver, in an order of hashed ids.
+
+    Texts of at most size bytes come whole. Longer ones give PIECES pieces, size bytes together,
+    spread evenly from their first to their last byte, without words that the cuts go through.
+    """
+    raw, part = F.col("_text").cast("binary"), size // PIECES
+    span = F.octet_length("_text").cast("long") - part
+    starts = [F.floor(span * i / (PIECES - 1)).cast("int") for i in range(PIECES)]
+    pieces = [raw.substr(start + 1, F.lit(part)) for start in starts]
+    cut = F.when(F.octet_length("_text") <= size, F.array(raw)).otherwise(F.array(*pieces))
+    found = chosen.select("_id", "_label", cut.alias("_pieces")).orderBy(F.xxhash64("_id"), "_id")
+    return [(_whole_words([bytes(p) for p in row["_pieces"]]), row["_label"]) for row in found.collect()]
+
+
+def _whole_words(pieces: list[bytes]) -> bytes:
+    """Pieces of a text end to end, without the words cut at their borders, if others are left."""
+    kept = []
+    for i, piece in enumerate(pieces):
+        words = piece.split()
+        first, last = int(i > 0), len(words) - int(i < len(pieces) - 1)
+        kept.append(piece if len(pieces) == 1 or last <= first else b" ".join(words[first:last]))
+    return b" ".join(kept)
 
 
 def slices(batch: pa.RecordBatch, text: str, limit: int) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:

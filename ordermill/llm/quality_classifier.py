@@ -7,7 +7,8 @@ gradient descent. After training, table and layer are one number per row (the di
 two logits is linear in the mean), which is what workers get and add up.
 
 Training uses a bounded sample: the first rows of each label in an order of hashed ids, at most
-TRAIN_ROWS per label, of these the whole texts of at most TRAIN_BYTES bytes. The labels weigh
+TRAIN_ROWS per label, texts of every length: whole up to TRAIN_BYTES bytes, and as many bytes
+from all over a longer one, whose mean vector they estimate. The labels weigh
 as often as they occur among all that can be learned, so scores do not shift where the sample
 holds another share of them. Scores use whole texts and nothing but texts. Without both labels the score is the known label's share, one half without any. Null
 and empty texts have no features and get the layer's bias.
@@ -25,9 +26,10 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField
 
 from ordermill.llm.common import (
     SpanHasher,
+    chosen_texts,
+    drawn,
     flat,
     label_share,
-    labelled_sample,
     map_texts,
     summed,
     word_spans,
@@ -117,7 +119,8 @@ def train(texts: list[bytes], labels: list[int], share: float | None = None, see
     for text in texts:
         data = np.frombuffer(text, np.uint8)
         rows = features.per_text(data, np.array([0, len(data)]))[0]
-        documents.append((*np.unique(rows, return_counts=True), len(rows)))
+        found, counts = np.unique(rows, return_counts=True)
+        documents.append((found, counts.astype(np.int32), len(rows)))
     steps, done = EPOCHS * len(documents), 0
     for _ in range(EPOCHS):
         for i in rng.permutation(len(documents)):
@@ -163,7 +166,7 @@ def fit(
     label: str = "quality",
 ) -> Model:
     """A model from a sample of the labelled rows; labels of other values are ignored."""
-    rows = labelled_sample(df, labels, id_col, text, label, TRAIN_ROWS, TRAIN_BYTES)
+    rows = drawn(chosen_texts(df, labels, id_col, text, label, TRAIN_ROWS), TRAIN_BYTES)
     share = label_share(df, labels, id_col, label)
     return train([t for t, _ in rows], [y for _, y in rows], share)
 

@@ -7,9 +7,11 @@ Windows overlap by half and all windows of a text are scored, so the whole text
 logistic layer gives the text's score from the mean and the maximum of its windows' scores.
 
 Everything is trained in numpy with gradients written out, on a bounded sample: the first rows
-of each label in an order of hashed ids, at most TRAIN_ROWS per label, of these the whole texts
-of at most TRAIN_BYTES bytes, and of their windows at most TRAIN_WINDOWS per label. The second
-layer weighs the labels as often as they occur among all labelled rows.
+of each label in an order of hashed ids, at most TRAIN_ROWS per label, texts of every length:
+whole up to TRAIN_BYTES bytes, as many bytes from all over a longer one; of their windows at
+most TRAIN_WINDOWS per label. The second layer is fitted on the mean and maximum over all windows
+of whole texts, however long, and weighs the labels as often as they occur among all labelled
+rows that have a document.
 
 Words are runs of letters, digits and bytes beyond ASCII, A-Z in lower case. Null and empty
 texts, and texts without a word, are one window without words. Without both labels the score
@@ -27,7 +29,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField
 
-from ordermill.llm.common import FOLD, SpanHasher, flat, labelled_sample, map_texts, summed
+from ordermill.llm.common import (
+    FOLD,
+    SpanHasher,
+    chosen_texts,
+    drawn,
+    flat,
+    label_share,
+    map_texts,
+    summed,
+)
 
 TRAIN_ROWS = 2_000
 TRAIN_BYTES = 20_000
@@ -270,8 +281,18 @@ def take_windows(
     return Words(words.rows[index], grams, counts, np.zeros(0, np.int64)), at
 
 
-def train(texts: list[bytes], labels: list[int], share: float | None = None, seed: int = SEED) -> Model:
-    """Network and second layer; share is that of label 1 among all labelled rows."""
+def train(
+    texts: list[bytes],
+    labels: list[int],
+    share: float | None = None,
+    seed: int = SEED,
+    measure: Callable[[Model], np.ndarray] | None = None,
+) -> Model:
+    """Network and second layer; share is that of label 1 among all labelled rows.
+
+    measure gives the mean and maximum of the windows of all texts, in their order, where texts
+    are only parts of what was labelled.
+    """
     if len(set(labels)) < 2:
         return Model({}, np.zeros(3), float(np.mean(labels)) if labels else 0.5)
     share = float(np.mean(labels)) if share is None else share
@@ -329,8 +350,11 @@ def train(texts: list[bytes], labels: list[int], share: float | None = None, see
                     params[k] *= 1 - rate * DECAY
                 params[k] -= rate * means[k] / (1 - 0.9**step) / size
     model = Model(params, np.zeros(3))
-    found = [text_features(model, read_part(texts[i:j]))[:2] for i, j in parts]
-    features = np.concatenate([np.stack(pair, axis=1) for pair in found])
+    if measure is None:
+        found = [text_features(model, read_part(texts[i:j]))[:2] for i, j in parts]
+        features = np.concatenate([np.stack(pair, axis=1) for pair in found])
+    else:
+        features = measure(model)
     if len(set(y[unseen].tolist())) == 2:
         features, y = features[unseen], y[unseen]
     weights = np.where(y > 0, share / y.mean(), (1 - share) / (1 - y.mean()))
@@ -368,10 +392,29 @@ def text_features(model: Model, words: Words, batch: int = 16_384) -> tuple[np.n
 
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
     """A model from a sample of the labelled rows; labels of other values are ignored."""
-    counts = labels.where(F.col(label).isin(0, 1)).agg(F.avg(label).alias("share")).first()
-    rows = labelled_sample(df, labels, id_col, text, label, TRAIN_ROWS, TRAIN_BYTES)
-    share = min(max(counts.share, 1e-3), 1 - 1e-3) if counts.share is not None else None
-    return train([t for t, _ in rows], [y for _, y in rows], share)
+    share = label_share(df, labels, id_col, label)
+    share = min(max(share, 1e-3), 1 - 1e-3) if share is not None else None
+    chosen = chosen_texts(df, labels, id_col, text, label, TRAIN_ROWS)
+    rows = drawn(chosen, TRAIN_BYTES)
+    return train(
+        [t for t, _ in rows], [y for _, y in rows], share, measure=lambda model: whole_features(chosen, model)
+    )
+
+
+def whole_features(chosen: DataFrame, model: Model) -> np.ndarray:
+    """Mean and maximum over all windows of the chosen whole texts, in the order of drawn."""
+    sent = chosen.sparkSession.sparkContext.broadcast(model)
+    fields = [StructField("_mean", DoubleType()), StructField("_most", DoubleType())]
+
+    def start() -> Callable[[pa.Array], list]:
+        hasher = SpanHasher()
+        return lambda texts: list(
+            text_features(sent.value, read_words(*flat(texts), hasher))[:2]
+        )
+
+    found = map_texts(chosen, "_text", fields, start, limit=500_000, drop_text=True)
+    ordered = found.orderBy(F.xxhash64("_id"), "_id").select("_mean", "_most").collect()
+    return np.array([tuple(row) for row in ordered], np.float64).reshape(-1, 2)
 
 
 def score_batch(model: Model, hasher: SpanHasher, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -405,7 +448,12 @@ def score_toxicity(
 
 
 def drop_toxic(df: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of df that are not predicted toxic, all columns as they are."""
+    """The rows of df that are not predicted toxic, all columns as they are.
+
+    A model that knows no or only one label tells nothing apart and rejects no row.
+    """
+    if model.constant is not None:
+        return df
     named = df.withColumnsRenamed({c: f"_in_{c}" for c in df.columns})
     scored = score_toxicity(named, model, f"_in_{text}", threshold).where("predicted = 0")
     return scored.select(*[F.col(f"`_in_{c}`").alias(c) for c in df.columns])

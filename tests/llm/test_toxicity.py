@@ -118,3 +118,42 @@ def test_one_label_none_nulls_and_clashes(spark):
     assert [c.lower() for c in scored.columns].count("score") == 1
     assert t.drop_toxic(clashing(spark), none).columns == clashing(spark).columns
     assert t.score_toxicity(frame(spark, []), none).collect() == []
+
+
+def long_corpus(n, least):
+    """Texts beyond least bytes, the toxic ones with toxic words all over."""
+    made = []
+    for i, x, y in corpus(n):
+        made.append((i, " ".join([x] * (1 + least // len(x))), y))
+    return made
+
+
+def test_long_texts_are_learned_from(spark):
+    made = long_corpus(160, t.TRAIN_BYTES)
+    assert min(len(x) for _, x, _ in made) > t.TRAIN_BYTES
+    docs = frame(spark, [(i, x) for i, x, _ in made])
+    # Labels of absent documents, first in the order or not, take no place in the sample.
+    gone = [(10_000 + i, i % 2) for i in range(2 * t.TRAIN_ROWS)]
+    labels = spark.createDataFrame([(i, y) for i, _, y in made] + gone, "doc_id long, toxic int")
+    model = t.fit(docs, labels.where("doc_id < 100 OR doc_id >= 10000"))
+    assert model.constant is None
+    found = t.score_toxicity(docs.where("doc_id >= 100"), model).collect()
+    truth = {i: y for i, _, y in made}
+    assert np.mean([r.predicted == truth[r.doc_id] for r in found]) > 0.9
+
+
+def test_nothing_learned_drops_nothing(spark):
+    docs = frame(spark)
+    for schema in ([], [(1, None)], [(1, 1), (2, 1)], [(1, 0)], [(777, 0), (778, 1)]):
+        labels = spark.createDataFrame(schema, "doc_id long, toxic int")
+        assert t.drop_toxic(docs, t.fit(docs, labels)).count() == docs.count()
+
+
+def test_pieces_come_from_the_whole_text(spark):
+    long = " ".join(f"{i:05d}" for i in range(20_000))
+    chosen = spark.createDataFrame([(1, 1, long), (2, 0, "short one")], "_id long, _label int, _text string")
+    found = dict((y, x) for x, y in t.drawn(chosen, 8_000))
+    words = [int(w) for w in found[1].split()]
+    assert found[0] == b"short one" and len(found[1]) <= 8_000
+    assert words[0] == 0 and words[-1] == 19_999 and words == sorted(words)
+    assert max(np.diff(words)) < 20_000 / 6
