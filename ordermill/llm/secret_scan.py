@@ -4,7 +4,9 @@ Base kinds are assign (a secret's name, a separator and a value), access (key id
 (long runs of hex digits). The method adds entropy spans: for each character class, runs of
 its characters are candidates; a window slides over each, its Shannon entropy kept up to
 date by one count that rises and one that falls. Windows over the class's threshold, joined
-where they overlap, are a span, unless the allow list knows the string or base spans cover it.
+where they overlap, are a span, unless the run lacks a kind of character that the class needs,
+base spans cover it, or it lies in the host or path of a link. Known strings (ALLOWED) are cut out of
+the runs, and what stands before and after them is scanned.
 
 Spans are in code points, ends exclusive, over the whole text. Null texts count as empty and
 have no spans; very long texts and runs take time in proportion to their length.
@@ -12,6 +14,7 @@ have no spans; very long texts and runs take time in proportion to their length.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -52,17 +55,40 @@ class CharClass(NamedTuple):
 CLASSES = (
     CharClass("hex", "0-9A-Fa-f", 24, 3.0, ("0-9", "A-Fa-f")),
     CharClass("base64", "A-Za-z0-9+/=_-", 20, 3.8, ("0-9", "A-Z", "a-z")),
+    # Keys of one case: 36 characters, so random windows have about 3.8 bits.
+    CharClass("lower", "0-9a-z", 20, 3.5, ("0-9", "a-z")),
+    CharClass("upper", "0-9A-Z", 20, 3.5, ("0-9", "A-Z")),
 )
 RUNS = {c.name: re.compile(f"[{c.chars}]{{{c.window},}}") for c in CLASSES}
 
-# Strings that look random but are none: fixed shapes and alphabets.
-ALLOWED = (
-    re.compile(r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}", re.IGNORECASE),
-    re.compile(r"abcdefghij|0123456789abc|ABCDEFGHIJ"),
-    re.compile(r"example|placeholder|your[-_]?(api|secret|token|key)|x{6,}", re.IGNORECASE),
-    re.compile(r"sha(1|256|512)-", re.IGNORECASE),
+def _stretch(alphabet: str, least: int) -> str:
+    """A pattern for the beginnings of alphabet from least characters on, the longest first."""
+    rest = ""
+    for char in reversed(alphabet[least:]):
+        rest = f"(?:{char}{rest})?"
+    return alphabet[:least] + rest
+
+
+ALNUM = "0-9A-Za-z"
+# Strings that look random but are none: fixed shapes, alphabets and the words of placeholders.
+ALLOWED = re.compile(
+    "|".join(
+        [
+            rf"(?<![{ALNUM}])(?i:[0-9a-f]{{8}}-(?:[0-9a-f]{{4}}-){{3}}[0-9a-f]{{12}})(?![{ALNUM}])",
+            r"(?i:sha(?:1-[0-9a-z+/]{27}=|256-[0-9a-z+/]{43}=|384-[0-9a-z+/]{64}|512-[0-9a-z+/]{86}==))"
+            rf"(?![{ALNUM}+/=])",
+            rf"(?i:sha(?:1-[0-9a-f]{{40}}|256-[0-9a-f]{{64}}|512-[0-9a-f]{{128}}))(?![{ALNUM}])",
+            rf"(?<![{ALNUM}+/])[{ALNUM}+/]{{30}}EXAMPLEKEY(?![{ALNUM}+/])",
+            _stretch("abcdefghijklmnopqrstuvwxyz", 10),
+            _stretch("0123456789abcdefghijklmnopqrstuvwxyz", 13),
+            _stretch("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 10),
+            r"(?i:example|placeholder|your[-_]?(?:api|secret|token|key)|x{6,})",
+        ]
+    )
 )
-LINK = re.compile(r"(://|www\.)[^\x20\x09-\x0D]*$")
+# Host, port and path of a link; the path ends at a quote, a comma, '@', '=', a query and so on.
+# What ends before '@', or before ':' without a port, are a user's name and password.
+LINK = re.compile(r"(?:://|www\.)[A-Za-z0-9.-]*+(?::[0-9]++)?+(?:/[A-Za-z0-9/._~%:+!*$-]*+)?+")
 
 FIELDS = [
     StructField("n_assign", LongType()),
@@ -114,23 +140,49 @@ def hot_windows(run: str, window: int, bits: float) -> list[tuple[int, int]]:
     return spans
 
 
-def _allowed(text: str, run: re.Match) -> bool:
-    before = text[max(0, run.start() - 300) : run.start()]
-    return LINK.search(before) is not None or any(known.search(run[0]) for known in ALLOWED)
+def links(text: str) -> list[tuple[int, int]]:
+    """Hosts and paths of links, in order."""
+    found = (m.span() for m in LINK.finditer(text))
+    return [(a, b) for a, b in found if text[b : b + 1] not in ("@", ":", "=")]
+
+
+def pieces(run: re.Match, allowed: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What is left of a run when the strings of the allow list are cut out."""
+    at, end = run.span()
+    left = []
+    for a, b in allowed[bisect.bisect_right(allowed, at, key=lambda known: known[1]) :]:
+        if a >= end:
+            break
+        left.append((at, a))
+        at = b
+    return [*left, (at, end)]
+
+
+def within(spans: list[tuple[int, int]], start: int, end: int) -> bool:
+    """Whether one of spans, in order and apart from each other, covers start to end."""
+    place = bisect.bisect_right(spans, (start, math.inf)) - 1
+    return place >= 0 and end <= spans[place][1]
 
 
 def entropy_spans(text: str, base: list[Span]) -> list[Span]:
     found: set[Span] = set()
+    allowed: list[tuple[int, int]] | None = None
     for kind in CLASSES:
         for run in RUNS[kind.name].finditer(text):
             if not all(re.search(f"[{part}]", run[0]) for part in kind.needs):
                 continue
-            if _allowed(text, run):
+            if not hot_windows(run[0], kind.window, kind.bits):
                 continue
-            for start, end in hot_windows(run[0], kind.window, kind.bits):
-                start, end = run.start() + start, run.start() + end
-                if not any(a <= start and end <= b for a, _, b in base):
-                    found.add((start, 3, end))
+            if allowed is None:
+                allowed = [m.span() for m in ALLOWED.finditer(text)]
+                linked = links(text)
+            for left, right in pieces(run, allowed):
+                for start, end in hot_windows(text[left:right], kind.window, kind.bits):
+                    start, end = left + start, left + end
+                    if within(linked, start, end):
+                        continue
+                    if not any(a <= start and end <= b for a, _, b in base):
+                        found.add((start, 3, end))
     return sorted(found)
 
 

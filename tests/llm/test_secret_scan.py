@@ -101,3 +101,49 @@ def test_extra_columns_and_empty_table(spark):
     assert found.columns.count("spans") == 1 and "text" not in found.columns
     assert found.count() == len(rows())
     assert s.scan_secrets(frame(spark, [])).collect() == []
+
+
+def covered(text, secret):
+    at = text.index(secret)
+    return any(a <= at and at + len(secret) <= b for a, _, b in s.find_spans(text)[1])
+
+
+def test_the_allow_list_hides_no_secret_beside_it():
+    secret = "aB3dE6gH9jK2mN5pQ8sT1vW4yZ7cD0f"
+    for text in (
+        f"https://user:{secret}@host.example/x",
+        f"https://{secret}@host.example/x",
+        f"https://{secret}:x@host.example/x",
+        f"https://host.example/x?sig={secret}",
+        f"https://host.example/x#{secret}",
+        f"https://host.example/sig={secret}",
+        '{"url":"https://h/x","k":"' + secret + '"}',
+        f"https://h/x,{secret}",
+        f"<a href='www.h.example/x'>{secret}</a>",
+        f"example_key={secret}",
+        f"config/example/{secret}",
+        f"123e4567-e89b-12d3-a456-426614174000/{secret}",
+    ):
+        assert covered(text, secret), text
+
+
+def test_the_allow_list_does_not_depend_on_distance():
+    far = "https://host.example/" + "a/" * 400 + KEY
+    assert s.find_spans(far)[1] == []
+
+
+def test_keys_of_one_case_and_digits():
+    key = "k3v9x2m7q1w8z5t4r6p0b2n7c9d4"
+    assert covered(f"the key {key} here", key)
+    assert covered(f"the key {key.upper()} here", key.upper())
+
+
+def test_known_strings_have_no_span():
+    for text in (
+        "id 123e4567-e89b-12d3-a456-426614174000, 0123456789abcdefghijklmnopqrstuvwxyz",
+        "integrity=sha256-47DEQpj8HBSa+/TImW+5JCeuQeRkm5NMpJWZG3hSuFU=",
+        "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY",
+        "internationalization and counterrevolutionaries2",
+        "https://host.example:8080/aB3dE6gH9jK2mN5pQ8sT1vW4yZ7cD0f",
+    ):
+        assert s.find_spans(text)[1] == [], text
