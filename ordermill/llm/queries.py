@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ordermill.llm import (
     bpe,
     exact_dedup,
+    fill_middle,
     lm_scoring,
     packing,
     quality_classifier,
@@ -91,6 +92,15 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(documents(spark, sf_dir), drop_text=True)
+    return fill_middle.restore(made).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("fim_text", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_toxicity": op1_toxicity,
@@ -103,6 +113,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_exact_dedup": op10_exact_dedup,
+    "op13_fill_middle": op13_fill_middle,
 }
 
 SQL = ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}) | {
@@ -119,5 +130,38 @@ SELECT doc_id,
        sha256(norm) AS text_sha256
 FROM texts
 WINDOW same AS (PARTITION BY norm)
+""",
+    "op13_fill_middle": """
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest
+  FROM documents
+), numbers AS (
+  SELECT doc_id, text, length(text) AS n,
+         CAST('0x' || substr(digest, 1, 8) AS BIGINT) AS h1,
+         CAST('0x' || substr(digest, 9, 8) AS BIGINT) AS h2,
+         CAST('0x' || substr(digest, 17, 8) AS BIGINT) AS h3,
+         CAST('0x' || substr(digest, 25, 8) AS BIGINT) AS h4
+  FROM hashed
+), cuts AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>')
+                   OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbers
+), parts AS (
+  SELECT *, substr(text, 1, a) AS prefix, substr(text, a + 1, b - a) AS middle,
+         substr(text, b + 1) AS suffix
+  FROM cuts
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END)
+         AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
 """,
 }
