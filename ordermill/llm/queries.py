@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ordermill.llm import (
     bpe,
+    divergence,
     exact_dedup,
     fill_middle,
     lm_scoring,
@@ -22,6 +23,7 @@ from ordermill.llm import (
     secret_scan,
     simhash,
     token_counts,
+    topk_search,
     toxicity,
 )
 from ordermill.llm.common import remainder
@@ -92,6 +94,15 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk_search.top_k(vectors, F.col("id") % 50 == 0)
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fill_middle.fill_in_middle(documents(spark, sf_dir), drop_text=True)
     return fill_middle.restore(made).select(
@@ -113,6 +124,8 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_topk_search": op12_topk_search,
     "op13_fill_middle": op13_fill_middle,
 }
 
@@ -130,6 +143,66 @@ SELECT doc_id,
        sha256(norm) AS text_sha256
 FROM texts
 WINDOW same AS (PARTITION BY norm)
+""",
+    "op11_source_divergence": r"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), terms AS MATERIALIZED (
+  SELECT id, lang, source,
+         unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM docs
+), kept AS MATERIALIZED (
+  SELECT lang, term, count(*) AS n FROM terms GROUP BY lang, term HAVING count(DISTINCT id) >= 30
+), groups AS MATERIALIZED (
+  SELECT DISTINCT lang, source FROM docs
+), counts AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS lang_n
+  FROM groups g JOIN kept k ON g.lang = k.lang
+  LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM terms GROUP BY ALL) c
+    ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), shares AS MATERIALIZED (
+  SELECT lang, source, term, n,
+         1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER g + 5 * count(*) OVER g) AS p,
+         1 + (1000000000::HUGEINT * (lang_n + 5)) // (sum(lang_n) OVER g + 5 * count(*) OVER g) AS q
+  FROM counts WINDOW g AS (PARTITION BY lang, source)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(d.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS other, sum(abs(x.p - y.p)) AS value
+    FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source
+    GROUP BY x.lang, x.source, y.source
+  ) d ON d.lang = a.lang AND d.source = a.source AND d.other = b.source
+), ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM ranked
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM numbered WHERE part = 'pair' OR rank <= 50
+""",
+    "op12_topk_search": """
+WITH vectors AS MATERIALIZED (
+  SELECT row_number() OVER () AS number, vec_id,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT q.number, q.vec_id AS query_id, c.vec_id,
+         CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.number <> c.number
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY number ORDER BY score DESC, vec_id) AS rank
+      FROM scores)
+WHERE rank <= 5
 """,
     "op13_fill_middle": """
 WITH hashed AS (
