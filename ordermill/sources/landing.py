@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordermill.functions.casts import CASTS, tokens_to_null
+from ordermill.operators import records as cuts
 from ordermill.operators.keys import label_rows, number_file_rows, spaced_key
 from ordermill.rules import DEFAULT, Market, Rules
 from ordermill.schemas import source_orders
@@ -24,6 +25,8 @@ FILE, BLOCK, MODIFIED, ROW_INDEX = "_file", "_block", "_modified", "_row_index"
 BAD_FIELDS, RAW = "bad_fields", "raw_record"
 _CORRUPT = "_corrupt_record"
 _EMPTY_ARRAY = r"^\s*\[\s*\]\s*$"
+# What may stand between JSON documents and between the records of an array.
+_JSON_GLUE = " \t\r\n\f,[]\ufeff"
 
 
 @dataclass(frozen=True)
@@ -182,6 +185,84 @@ def raw_json(
     return rows.select(*fields, F.col(_CORRUPT), *lineage, *_date(rows))
 
 
+CSV_SHAPE = cuts.Shape(glue="\n", lead=False)
+JSON_SHAPE = cuts.Shape(glue="{", lead=True)
+
+
+def raw_pieces(reader, path: str, shape: cuts.Shape, base: str | None = None) -> DataFrame:
+    """Pieces of text files for split_csv and split_json, split into blocks like any text."""
+    rows = _load(reader.option("lineSep", shape.glue).format("text"), path, base)
+    return rows.select(F.col("value").alias(cuts.PIECE), *_lineage(), *_date(rows))
+
+
+def _cut_records(pieces: DataFrame, effect: cuts.Effect, shape: cuts.Shape, path: str | None) -> DataFrame:
+    keep = [MODIFIED, *_date(pieces)]
+    return cuts.records(cuts.label_pieces(pieces, effect, path), shape, keep)
+
+
+def split_csv(pieces: DataFrame, path: str | None = None) -> DataFrame:
+    """Fields by position, as text, and row numbers in files that several tasks read.
+
+    Line breaks may stand inside quotes, wherever a block ends. Lines end with LF or CRLF, the
+    first record of a file is its header, and the lines of a value that a file's end leaves open
+    are corrupt records, one each. path is where the labelled pieces are written.
+    """
+    found = _cut_records(pieces, cuts.csv_effect(F.col(cuts.PIECE)), CSV_SHAPE, path)
+    line = F.rtrim(cuts.PIECE, F.lit("\r"))
+    options = {k: v for k, v in CSV_OPTIONS.items() if k != "header"} | {"multiLine": "true"}
+    schema = _text_schema(f.column for f in FIELDS).simpleString()
+    whole = F.col(cuts.ROLE) == cuts.RECORD
+    rows = found.filter((F.col(cuts.NUMBER) > 0) & (F.col(cuts.ROLE) != cuts.BETWEEN)).withColumn(
+        "_row", F.when(whole, F.from_csv(line, schema, options))
+    )
+    return rows.select(
+        *(F.col(f"_row.{f.column}").alias(f.column) for f in FIELDS),
+        F.when(~whole, line).alias(_CORRUPT),
+        FILE, MODIFIED, *_date(rows), cuts.BEFORE, cuts.NUMBER,
+    )
+
+
+def split_json(
+    pieces: DataFrame, null_tokens: Iterable[str] = (), path: str | None = None
+) -> DataFrame:
+    """Fields by label, as text, and row numbers in files that several tasks read.
+
+    A record is an object that is in no other one, whether documents follow each other on one
+    line, on several, or without a space, and whether arrays hold them. What else stands between
+    them, but for commas and brackets, is a corrupt record; so is an object that cannot be read
+    or has too many braces, and each piece of one that is not closed at the end of its file.
+    """
+    found = _cut_records(pieces, cuts.json_effect(F.col(cuts.PIECE)), JSON_SHAPE, path)
+    text, role = F.col(cuts.PIECE), F.col(cuts.ROLE)
+    glue = F.lit(_JSON_GLUE)
+    whole = role == cuts.RECORD
+    body = F.when(whole, F.rtrim(text, glue)).otherwise(F.trim(text, glue))
+    after = F.trim(F.substring_index(body, "}", -1), glue)
+    found = found.withColumn("_body", body).withColumn("_after", F.when(whole, after))
+    # A record is followed by nothing, or by text of no record.
+    inside = F.when(whole, F.substring("_body", 1, F.length("_body") - F.length(F.substring_index("_body", "}", -1))))
+    texts = F.array(
+        F.struct(F.coalesce(inside, F.col("_body")).alias("text"), whole.alias("whole")),
+        F.struct(F.col("_after").alias("text"), F.lit(False).alias("whole")),
+    )
+    schema = _text_schema((*(f.label for f in FIELDS), _CORRUPT))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    rows = (
+        found.withColumn("_one", F.explode(texts))
+        .filter(F.col("_one.text") != "")
+        .withColumn("_row", F.when(F.col("_one.whole"), F.from_json("_one.text", schema, options)))
+    )
+    fields = [F.col(f"_row.`{f.label}`").alias(f.column) for f in FIELDS]
+    tokens = tuple(null_tokens)
+    if tokens:
+        fields = [tokens_to_null(F.col(f"_row.`{f.label}`"), tokens).alias(f.column) for f in FIELDS]
+    broken = F.when(~F.col("_one.whole"), F.col("_one.text")).otherwise(F.col(f"_row.{_CORRUPT}"))
+    return rows.select(
+        *fields, broken.alias(_CORRUPT), FILE, MODIFIED, *_date(rows), cuts.BEFORE,
+        (F.col(cuts.NUMBER) + 1).alias(cuts.NUMBER),
+    )
+
+
 def _load(reader, path: str, base: str | None) -> DataFrame:
     return reader.option("basePath", base).load(path) if base else reader.load(path)
 
@@ -198,14 +279,26 @@ def _date(rows: DataFrame) -> list[str]:
 
 
 def raw_orders(
-    spark: SparkSession, root: str, market: Market, streaming: bool = False, **limits: object
+    spark: SparkSession,
+    root: str,
+    market: Market,
+    streaming: bool = False,
+    pieces: bool = False,
+    **limits: object,
 ) -> DataFrame:
-    """Raw rows of one market's files; limits are options of a streaming source."""
+    """Raw rows of one market's files; limits are options of a streaming source.
+
+    With pieces, CSV and JSON files come as text that stage_orders cuts into records, so that
+    a large file is read by several tasks. Without, rows are parsed at once, a file by one task.
+    """
     reader = spark.readStream if streaming else spark.read
     for name, value in limits.items():
         reader = reader.option(name, value)
     path = landing_path(root, market)
     base = None if streaming else root
+    if pieces and market.file_format != "parquet":
+        shape = CSV_SHAPE if market.file_format == "csv" else JSON_SHAPE
+        return raw_pieces(reader, path, shape, base)
     if market.file_format == "csv":
         return raw_csv(reader, path, base, market.multi_line)
     if market.file_format == "json":
@@ -257,13 +350,25 @@ def stage_orders(
 ) -> DataFrame:
     """Typed rows with row numbers in their files and keys; bad rows use up keys too.
 
-    Parquet knows the position of a row, so these files are read in place. Rows of the
-    other formats are written to shared storage once, counted there, and accepted and
-    rejected rows are read from the copy, in path if given, instead of parsing the text
-    again.
+    Parquet knows the position of a row, so these files are read in place. Pieces of text are
+    written to shared storage once, in path if given, and cut into records there; rows parsed
+    already are written and counted there instead.
     """
+    pieces = cuts.PIECE in raw.columns
+    if pieces:
+        if market.file_format == "csv":
+            raw = split_csv(raw, path)
+        else:
+            raw = split_json(raw, market.null_tokens, path)
     typed = typed_orders(raw, market.file_format != "csv", rules)
-    if ROW_INDEX in typed.columns:
+    if pieces:
+        numbered = typed.withColumns(
+            {
+                "_metadata_row_number": F.col(cuts.NUMBER),
+                "sales_order_key": F.col(cuts.BEFORE) + F.col(cuts.NUMBER) + (start - 1),
+            }
+        )
+    elif ROW_INDEX in typed.columns:
         numbered = typed.withColumns(
             {
                 "_metadata_row_number": F.col(ROW_INDEX) + 1,

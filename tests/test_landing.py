@@ -38,7 +38,8 @@ def _csv(tmp_path, *lines, date="2023-01-05", name="order-1.csv"):
 
 
 def _stage(spark, root, market=INDIA, **kwargs):
-    return landing.stage_orders(landing.raw_orders(spark, root, market), market, **kwargs)
+    raw = landing.raw_orders(spark, root, market, pieces=True)
+    return landing.stage_orders(raw, market, **kwargs)
 
 
 def test_clean_row(spark, tmp_path):
