@@ -9,14 +9,18 @@ Numbers with gaps, as a sequence gives them, need none of this and no second wri
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from threading import Lock
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ordermill.schemas import KEY_RANGES
 from ordermill.shared import broadcast_if_small, cut
 
 SLOT = "_slot"
 _TASK_BITS = 33  # monotonically_increasing_id keeps the task above, the row below
 _SPACING = 1 << 24  # more tasks than a stage can have
+_noting = Lock()
 
 
 def _task(slot: Column) -> Column:
@@ -80,6 +84,22 @@ def next_key(existing: DataFrame, key: str) -> int:
     return existing.agg(F.coalesce(F.max(key), F.lit(0))).first()[0] + 1
 
 
+def next_start(ranges: DataFrame, table: str, load_id: str) -> int:
+    """The key behind all ranges of a table's other loads: one row per load is read."""
+    others = ranges.filter((F.col("table_name") == table) & (F.col("load_id") != load_id))
+    return next_key(others, "last_key")
+
+
+def note_range(
+    spark: SparkSession, ranges: str, table: str, load_id: str, first: int, last: int
+) -> None:
+    """Note the keys that a load has used; one that is repeated may be noted again."""
+    made = spark.createDataFrame([(table, load_id, first, last)], KEY_RANGES)
+    # Two appends to one folder at a time would remove each other's unfinished files.
+    with _noting:
+        made.write.mode("append").saveAsTable(ranges)
+
+
 def number_file_rows(
     labelled: DataFrame, file: str, block: str, number: str, key: str, start: int = 1
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass, field
-from functools import partial
+from functools import partial, reduce
 from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,10 +27,10 @@ from ordermill.operators.dimensions import (
     new_members,
 )
 from ordermill.operators.facts import build_fact, union_orders
-from ordermill.operators.keys import next_key
+from ordermill.operators.keys import next_start, note_range
 from ordermill.plans.curate import curate_market
 from ordermill.rules import DEFAULT, Market, Rules
-from ordermill.shared import broadcast_if_small, cut, shuffles_for, together
+from ordermill.shared import broadcast_if_small, cut, scratch, shuffles_for, together
 from ordermill.sources import tables
 from ordermill.sources.rates import read_rates
 from ordermill.streaming.load_once import LOAD_ID, Load, load_new_files
@@ -93,6 +93,8 @@ class Warehouse:
         self._loaded_table("consumption", "sales_fact", schemas.SALES_FACT)
         self._table("audit", "load_audit", schemas.LOAD_AUDIT)
         self._table("audit", "load_progress", schemas.LOAD_PROGRESS)
+        self._table("audit", "key_ranges", schemas.KEY_RANGES)
+        self._table("audit", "load_days", schemas.LOAD_DAYS)
         self._table("common", "exchange_rate", schemas.EXCHANGE_RATE)
 
     def _table(self, layer: str, table: str, schema: T.StructType) -> None:
@@ -142,34 +144,53 @@ class Warehouse:
             rows = self.table(layer, table).filter(F.col(LOAD_ID) == load_id).count()
             self._note(self.name(layer, table), load_id, rows)
 
-    def _pending(self, layer: str, table: str, stage: str) -> set[str]:
+    def _pending(self, layer: str, table: str, stage: str) -> DataFrame:
         """Loads that the table holds and the stage has not taken up.
 
-        The table's own partitions say what it holds, whether it was noted or not; only the
-        pending ones come to the driver.
+        The table's own partitions say what it holds, whether it was noted or not.
         """
         held = tables.partition_values(self.spark, self.name(layer, table))
         taken = self.table("audit", "load_progress").filter(F.col("stage") == stage)
-        taken = taken.select(F.col("load_id").alias("value"))
-        return {r[0] for r in held.join(taken, "value", "left_anti").collect()}
-
-    def _rows(self, layer: str, loads: dict[str, set[str]]) -> int:
-        """Rows of these loads by table, as noted."""
-        rows = 0
-        for table, some in loads.items():
-            found = self.audit(layer, table).filter(F.col("load_id").isin(*some))
-            rows += found.agg(F.coalesce(F.sum("rows_written"), F.lit(0))).first()[0]
-        return rows
+        pending = held.select(F.col("value").alias(LOAD_ID)).join(taken, LOAD_ID, "left_anti")
+        return cut(pending, "pending")
+
+    def _rows(self, layer: str, table: str, loads: DataFrame | None) -> int:
+        """Rows of these loads of a table, or of all, as noted."""
+        found = self.audit(layer, table)
+        if loads is not None:
+            found = found.join(loads, LOAD_ID, "left_semi")
+        return found.agg(F.coalesce(F.sum("rows_written"), F.lit(0))).first()[0]
+
+    def days(self, layer: str, table: str) -> DataFrame:
+        """The days of each load of a table: a few rows per load instead of its orders."""
+        noted = self.table("audit", "load_days")
+        return noted.filter(F.col("table_name") == self.name(layer, table))
+
+    def _note_days(self, layer: str, table: str) -> None:
+        """Note the days of loads that have none noted; only their partitions are read."""
+        held = tables.partition_values(self.spark, self.name(layer, table))
+        held = held.select(F.col("value").alias(LOAD_ID))
+        new = cut(held.join(self.days(layer, table), LOAD_ID, "left_anti"), "new_loads")
+        if new.isEmpty():
+            return
+        rows = _of_loads(self.table(layer, table), new)
+        if layer == "curated":
+            unpriced = F.coalesce(F.bool_or(F.col("us_total_order_amt").isNull()), F.lit(False))
+        else:
+            unpriced = F.lit(False)
+        days = rows.groupBy(LOAD_ID, F.col("order_dt").alias("day")).agg(unpriced.alias("unpriced"))
+        named = days.withColumn("table_name", F.lit(self.name(layer, table)))
+        made = cut(named.select(*schemas.LOAD_DAYS.fieldNames()), "load_days")
+        with self._audit_lock:
+            tables.append(made, self.name("audit", "load_days"))
 
     def _complete(self, run_id: str) -> bool:
         stage = self.name("consumption", "sales_fact")
         same = (F.col("stage") == stage) & (F.col("load_id") == run_id)
         return not self.table("audit", "load_progress").filter(same).isEmpty()
 
-    def _take(self, stage: str, loads: set[str]) -> None:
-        done = self.spark.createDataFrame(
-            [(stage, load) for load in sorted(loads)], schemas.LOAD_PROGRESS
-        )
+    def _take(self, stage: str, loads: DataFrame) -> None:
+        done = loads.select(F.lit(stage).alias("stage"), LOAD_ID)
         with self._audit_lock:
             tables.append(done, self.name("audit", "load_progress"))
 
@@ -178,8 +199,9 @@ class Warehouse:
     def load_rates(self, path: str) -> int:
         """Add the days of a rate file that the rate table does not have yet."""
         known = self.table("common", "exchange_rate")
-        fresh = new_members(read_rates(self.spark, path), known, ["rate_dt"])
-        rows = tables.append_new(cut(fresh, "rates"), self.name("common", "exchange_rate"))
+        with scratch(self.spark, "rates"):
+            fresh = new_members(read_rates(self.spark, path), known, ["rate_dt"])
+            rows = tables.append_new(cut(fresh, "rates"), self.name("common", "exchange_rate"))
         self._note_growth("common", "exchange_rate", path)
         return rows
 
@@ -201,6 +223,7 @@ class Warehouse:
                 f"{checkpoint_root}/{market.source_table}",
                 self.rules,
                 audit,
+                self.name("audit", "key_ranges"),
                 **limits,
             )
             return sum(done.rows_written for done in loads)
@@ -211,47 +234,64 @@ class Warehouse:
         """Curate the days that new files or late rates have touched, in all markets."""
         if self._complete(run_id):
             raise ValueError(f"run {run_id} is complete, choose another name")
-        pending = {}
-        for market in self.rules.markets:
-            source = self.rules.market(market.reads_from).source_table
-            stage = self.name("curated", market.source_table)
-            self._note_loads("source", source)
-            self._note_loads("curated", market.source_table)
-            pending.setdefault(source, set()).update(self._pending("source", source, stage))
-        # As wide as what is new; days curated again add the other orders of these days.
-        with shuffles_for(self.spark, self._rows("source", pending)):
-            return sum(together(partial(self._curate, m, run_id) for m in self.rules.markets))
+        with scratch(self.spark, "curate"):
+            rows = 0
+            for table in {self.rules.market(m.reads_from).source_table for m in self.rules.markets}:
+                self._note_loads("source", table)
+                self._note_days("source", table)
+            for market in self.rules.markets:
+                source = self.rules.market(market.reads_from).source_table
+                stage = self.name("curated", market.source_table)
+                self._note_loads("curated", market.source_table)
+                self._note_days("curated", market.source_table)
+                rows += self._rows("source", source, self._pending("source", source, stage))
+            # As wide as what is new; days curated again add the other orders of these days.
+            with shuffles_for(self.spark, rows):
+                return sum(
+                    together(partial(self._curate, m, run_id) for m in self.rules.markets)
+                )
+
+    def touched_orders(self, market: Market, pending: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+        """Source and curated rows of the days that pending loads or late rates touch, if any.
+
+        Whole days are curated again. The noted days of the loads say which partitions hold
+        them, and only these are read.
+        """
+        source = self.rules.market(market.reads_from).source_table
+        noted, curated = self.days("source", source), self.days("curated", market.source_table)
+        rates = self.table("common", "exchange_rate")
+        days = noted.join(pending, LOAD_ID, "left_semi").select("day")
+        unpriced = curated.filter("unpriced").select("day")
+        days = days.union(unpriced.join(rates, F.col("day") == F.col("rate_dt"), "left_semi"))
+        days = broadcast_if_small(days.distinct())
+        if days.isEmpty():
+            return None
+
+        def on_days(layer: str, table: str, loads: DataFrame) -> DataFrame:
+            holding = loads.withColumnRenamed("day", "order_dt")
+            holding = _on_days(holding.select("order_dt", LOAD_ID), days).select(LOAD_ID).distinct()
+            return _on_days(_of_loads(self.table(layer, table), holding), days)
+
+        return on_days("source", source, noted), on_days("curated", market.source_table, curated)
 
     def _curate(self, market: Market, run_id: str) -> int:
         reads_from = self.rules.market(market.reads_from)
         stage = self.name("curated", market.source_table)
-        source = self.table("source", reads_from.source_table)
-        rates = self.table("common", "exchange_rate")
-        known = self.table("curated", market.source_table)
         pending = self._pending("source", reads_from.source_table, stage)
-
-        days = _days(source.filter(F.col(LOAD_ID).isin(*pending)))
-        unpriced = _days(known.filter(F.col("us_total_order_amt").isNull()))
-        days = days.union(
-            unpriced.join(rates, F.col("day") == F.col("rate_dt"), "left_semi")
-        ).distinct()
-        days = broadcast_if_small(days)
-        if days.isEmpty():
+        touched = self.touched_orders(market, pending)
+        if touched is None:
             return 0
-        # Whole days are curated: find the loads that hold rows of these days, from one
-        # narrow column, and read only their partitions.
-        holding = _on_days(source.select("order_dt", LOAD_ID), days).select(LOAD_ID).distinct()
-        source = source.filter(F.col(LOAD_ID).isin(*(r[0] for r in holding.collect())))
-        curated = curate_market(_on_days(source, days), rates, market, self.rules)
+        source, known = touched
+        rates = self.table("common", "exchange_rate")
+        curated = curate_market(source, rates, market, self.rules)
         # Narrow, and none at all for days that are new.
-        known = broadcast_if_small(_on_days(known, days).select(*CURATED_IDENTITY))
+        known = broadcast_if_small(known.select(*CURATED_IDENTITY))
         fresh = new_members(curated, known, CURATED_IDENTITY)
         rows = tables.append(fresh.withColumn(LOAD_ID, F.lit(run_id)), stage, LOAD_ID)
         # A repeated run adds to what its lost attempt has written under its name.
         whole = self.table("curated", market.source_table).filter(F.col(LOAD_ID) == run_id)
         self._note(stage, run_id, whole.count())
-        if pending:
-            self._take(stage, pending)
+        self._take(stage, pending)
         return rows
 
     def model(self, run_id: str, as_of: dt.date) -> int:
@@ -261,23 +301,23 @@ class Warehouse:
         models all curated orders again in every run.
         """
         curated = [m.source_table for m in self.rules.markets]
-        for table in curated:
-            self._note_loads("curated", table)
         stage = self.name("consumption", "sales_fact")
-        pending = {table: self._pending("curated", table, stage) for table in curated}
-        if not self.rules.incremental_fact:
-            held = {
-                table: {r[0] for r in self.audit("curated", table).select("load_id").collect()}
-                for table in curated
-            }
-            with shuffles_for(self.spark, self._rows("curated", held)):
-                return self._model(None, run_id, as_of)
-        rows = 0
-        with shuffles_for(self.spark, self._rows("curated", pending)):
-            for load_id in sorted(set().union(*pending.values())):
-                rows += self._model(load_id, load_id, as_of)
-                self._take(stage, {load_id})
-        return rows
+        with scratch(self.spark, "model"):
+            for table in curated:
+                self._note_loads("curated", table)
+            if not self.rules.incremental_fact:
+                rows = sum(self._rows("curated", table, None) for table in curated)
+                with shuffles_for(self.spark, rows):
+                    return self._model(None, run_id, as_of)
+            pending = {table: self._pending("curated", table, stage) for table in curated}
+            rows = sum(self._rows("curated", table, some) for table, some in pending.items())
+            loads = reduce(DataFrame.union, pending.values()).distinct().sort(LOAD_ID)
+            written = 0
+            with shuffles_for(self.spark, rows):
+                for (load_id,) in loads.collect():
+                    written += self._model(load_id, load_id, as_of)
+                    self._take(stage, loads.filter(F.col(LOAD_ID) == load_id))
+            return written
 
     def _model(self, curated_load: str | None, fact_load: str, as_of: dt.date) -> int:
         orders = []
@@ -301,19 +341,23 @@ class Warehouse:
         for dimension in DIMENSIONS:
             self._note_growth("consumption", dimension.table, fact_load)
         members = {d.table: self.table("consumption", d.table) for d in DIMENSIONS}
-        fact = self.table("consumption", "sales_fact").filter(F.col(LOAD_ID) != fact_load)
+        name, ranges = self.name("consumption", "sales_fact"), self.name("audit", "key_ranges")
+        start = next_start(self.spark.table(ranges), name, fact_load)
         facts = build_fact(
             # A curated load has each order once, which saves shuffling whole rows.
             union_orders(*orders) if curated_load is None else every,
             members,
             rules=self.rules,
-            start=next_key(fact, "order_id_pk"),
+            start=start,
             ordered=False,
         )
-        name = self.name("consumption", "sales_fact")
-        written = tables.replace_partition(facts, name, LOAD_ID, fact_load)
-        self._note(name, fact_load, written)
-        return written
+        seen = tables.replace_and_see(
+            facts, name, LOAD_ID, fact_load,
+            rows=F.count(F.lit(1)), last=F.coalesce(F.max("order_id_pk"), F.lit(start - 1)),
+        )
+        note_range(self.spark, ranges, name, fact_load, start, seen["last"])
+        self._note(name, fact_load, seen["rows"])
+        return seen["rows"]
 
     def run(
         self,
@@ -334,8 +378,13 @@ class Warehouse:
         }
 
 
-def _days(orders: DataFrame) -> DataFrame:
-    return orders.select(F.col("order_dt").alias("day")).distinct()
+def _of_loads(rows: DataFrame, loads: DataFrame) -> DataFrame:
+    """Rows of these loads; their partitions are found when the query runs.
+
+    The planner looks for them if the other side selects something, which the comparison says.
+    """
+    some = broadcast_if_small(loads.select(LOAD_ID)).filter(F.col(LOAD_ID) >= "")
+    return rows.join(some, LOAD_ID, "left_semi")
 
 
 def _on_days(orders: DataFrame, days: DataFrame) -> DataFrame:

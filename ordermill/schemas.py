@@ -171,3 +171,12 @@ LOAD_AUDIT = _struct(
 )
 
 LOAD_PROGRESS = _struct(("stage", TEXT), ("load_id", TEXT))
+
+KEY_RANGES = _struct(
+    ("table_name", TEXT), ("load_id", TEXT), ("first_key", KEY), ("last_key", KEY)
+)
+
+# The days that a load's rows lie on, and whether some of them have no dollar amount.
+LOAD_DAYS = _struct(
+    ("table_name", TEXT), ("load_id", TEXT), ("day", T.DateType()), ("unpriced", T.BooleanType())
+)

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -22,6 +23,7 @@ BROADCAST_BYTES = 64_000_000
 PARTITION_ROWS = 500_000
 
 _local_folders: dict[str, str] = {}
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,7 +43,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_scratch.get() or shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """A folder for all intermediate tables that are made inside; it is deleted at the end."""
+    folder = new_folder(spark, label)
+    token = _scratch.set(folder)
+    try:
+        yield folder
+    finally:
+        _scratch.reset(token)
+        discard(spark, folder)
 
 
 def cut(df: DataFrame, label: str = "cut", path: str | None = None) -> DataFrame:
@@ -99,8 +113,10 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataF
 def together(jobs: Iterable[Callable[[], Result]]) -> list[Result]:
     """Run independent jobs at the same time, so that small ones share the cluster."""
     jobs = list(jobs)
+    if not jobs:
+        return []
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        running = [pool.submit(job) for job in jobs]
+        running = [pool.submit(copy_context().run, job) for job in jobs]
         return [job.result() for job in running]
 
 

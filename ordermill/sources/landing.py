@@ -1,16 +1,18 @@
 """Order files in the landing area: raw scans, typed rows and rejected rows.
 
 Layout: <root>/source=<country>/format=<csv|parquet|json>/date=<yyyy-MM-dd>/<file>.
-The functions take spark.read or spark.readStream, so that batch and load-once
-ingestion share them.
+Load-once ingestion streams the names of the files and reads those of a batch as here.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import partial, reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,9 +22,11 @@ from ordermill.operators import records as cuts
 from ordermill.operators.keys import label_rows, number_file_rows, spaced_key
 from ordermill.rules import DEFAULT, Market, Rules
 from ordermill.schemas import source_orders
+from ordermill.shared import together
 
 FILE, BLOCK, MODIFIED, ROW_INDEX = "_file", "_block", "_modified", "_row_index"
 BAD_FIELDS, RAW = "bad_fields", "raw_record"
+UNREADABLE = "file"
 _CORRUPT = "_corrupt_record"
 _EMPTY_ARRAY = r"^\s*\[\s*\]\s*$"
 # What may stand between JSON documents and between the records of an array.
@@ -100,7 +104,7 @@ def _lineage(*extra: Column) -> list[Column]:
     ]
 
 
-def raw_csv(reader, path: str, base: str | None = None, multi_line: bool = False) -> DataFrame:
+def raw_csv(reader, path: str | list[str], base: str | None = None, multi_line: bool = False) -> DataFrame:
     """Fields by position, as text. Missing fields are NULL and further ones ignored.
 
     multi_line reads line breaks inside quotes, each file in one task. Without it files are
@@ -121,9 +125,9 @@ def raw_csv(reader, path: str, base: str | None = None, multi_line: bool = False
 
 
 def raw_parquet(
-    reader, path: str, base: str | None = None, schema: T.StructType | None = None
+    reader, path: str | list[str], base: str | None = None, schema: T.StructType | None = None
 ) -> DataFrame:
-    """Fields by label, in the types of the files; a stream needs them as schema.
+    """Fields by label, in the types of the files, or of the schema that they agree with.
 
     Without one, the files are asked for all their fields, as a field may be missing in
     some; it is NULL in those.
@@ -136,7 +140,7 @@ def raw_parquet(
 
 def raw_json(
     reader,
-    path: str,
+    path: str | list[str],
     base: str | None = None,
     null_tokens: Iterable[str] = (),
     by_line: bool = False,
@@ -189,7 +193,7 @@ CSV_SHAPE = cuts.Shape(glue="\n", lead=False)
 JSON_SHAPE = cuts.Shape(glue="{", lead=True)
 
 
-def raw_pieces(reader, path: str, shape: cuts.Shape, base: str | None = None) -> DataFrame:
+def raw_pieces(reader, path: str | list[str], shape: cuts.Shape, base: str | None = None) -> DataFrame:
     """Pieces of text files for split_csv and split_json, split into blocks like any text."""
     rows = _load(reader.option("lineSep", shape.glue).format("text"), path, base)
     return rows.select(F.col("value").alias(cuts.PIECE), *_lineage(), *_date(rows))
@@ -263,7 +267,7 @@ def split_json(
     )
 
 
-def _load(reader, path: str, base: str | None) -> DataFrame:
+def _load(reader, path: str | list[str], base: str | None) -> DataFrame:
     return reader.option("basePath", base).load(path) if base else reader.load(path)
 
 
@@ -282,33 +286,109 @@ def raw_orders(
     spark: SparkSession,
     root: str,
     market: Market,
-    streaming: bool = False,
     pieces: bool = False,
-    **limits: object,
+    paths: list[str] | None = None,
 ) -> DataFrame:
-    """Raw rows of one market's files; limits are options of a streaming source.
+    """Raw rows of one market's files, or of the given ones among them.
 
     With pieces, CSV and JSON files come as text that stage_orders cuts into records, so that
     a large file is read by several tasks. Without, rows are parsed at once, a file by one task.
+    Parquet files must agree in the types of their fields; stage_files takes any.
     """
-    reader = spark.readStream if streaming else spark.read
-    for name, value in limits.items():
-        reader = reader.option(name, value)
-    path = landing_path(root, market)
-    base = None if streaming else root
+    where = landing_path(root, market) if paths is None else list(map(_literal, paths))
     if pieces and market.file_format != "parquet":
         shape = CSV_SHAPE if market.file_format == "csv" else JSON_SHAPE
-        return raw_pieces(reader, path, shape, base)
+        return raw_pieces(spark.read, where, shape, root)
     if market.file_format == "csv":
-        return raw_csv(reader, path, base, market.multi_line)
+        return raw_csv(spark.read, where, root, market.multi_line)
     if market.file_format == "json":
-        return raw_json(reader, path, base, market.null_tokens)
-    schema = None
-    if streaming:
-        found = spark.read.options(recursiveFileLookup=True, mergeSchema=True)
-        found = found.parquet(path).schema
-        schema = T.StructType([f for f in found if f.name in {x.label for x in FIELDS}])
-    return raw_parquet(reader, path, base, schema)
+        return raw_json(spark.read, where, root, market.null_tokens)
+    return raw_parquet(spark.read, where, root)
+
+
+def _literal(path: str) -> str:
+    """A path as a pattern that only it matches."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def file_names(spark: SparkSession, root: str, market: Market, **limits: object) -> DataFrame:
+    """Paths of one market's files as a stream, which knows those it has seen.
+
+    limits are options such as maxFilesPerTrigger. Contents are not read.
+    """
+    reader = spark.readStream.format("binaryFile").schema(
+        "path string, modificationTime timestamp, length long, content binary"
+    )
+    for name, value in limits.items():
+        reader = reader.option(name, value)
+    return reader.load(landing_path(root, market)).select("path")
+
+
+def parquet_groups(
+    spark: SparkSession, paths: list[str]
+) -> tuple[list[tuple[T.StructType, list[str]]], list[str]]:
+    """Files by the types of their fields, and the files that have no readable schema.
+
+    Spark merges the schemas of all files at once, in tasks; where that fails, each half of the
+    files is tried. Files are tried in the order of their names, so where a type has changed
+    from one day on, few attempts are needed.
+    """
+    try:
+        found = spark.read.option("mergeSchema", True).parquet(*map(_literal, paths)).schema
+    except PySparkException:
+        if len(paths) == 1:
+            return [], paths
+        half = len(paths) // 2
+        parts = together(partial(parquet_groups, spark, part) for part in (paths[:half], paths[half:]))
+        groups: list[tuple[T.StructType, list[str]]] = []
+        for schema, some in (group for made, _ in parts for group in made):
+            for i, (known, others) in enumerate(groups):
+                if all(f.dataType == known[f.name].dataType for f in schema if f.name in known.names):
+                    missing = [f for f in schema if f.name not in known.names]
+                    groups[i] = (T.StructType([*known, *missing]), others + some)
+                    break
+            else:
+                groups.append((schema, some))
+        return groups, [path for _, damaged in parts for path in damaged]
+    labels = {f.label for f in FIELDS}
+    return [(T.StructType([f for f in found if f.name in labels]), paths)], []
+
+
+def unreadable(spark: SparkSession, paths: list[str], file_format: str) -> list[str]:
+    """The files that cannot be read from end to end.
+
+    All are read at once; where that fails, each half of them is tried.
+    """
+
+    def read(some: list[str]) -> None:
+        where = list(map(_literal, some))
+        if file_format == "parquet":
+            rows = spark.read.option("mergeSchema", True).parquet(*where)
+        else:
+            rows = spark.read.option("lineSep", "\n").text(where)
+        rows.write.format("noop").mode("overwrite").save()
+
+    try:
+        read(paths)
+    except PySparkException:
+        if len(paths) == 1:
+            return paths
+        half = len(paths) // 2
+        parts = (partial(unreadable, spark, p, file_format) for p in (paths[:half], paths[half:]))
+        return [path for found in together(parts) for path in found]
+    return []
+
+
+def set_aside(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """A row for the rejects for each file that cannot be read."""
+    names = spark.createDataFrame([(path,) for path in paths], f"{RAW} string")
+    return names.select(
+        F.lit(UNREADABLE).alias(BAD_FIELDS),
+        F.lit(None).cast("string").alias(RAW),
+        F.col(RAW).alias("_metadata_file_name"),
+        F.lit(0).cast("bigint").alias("_metadata_row_number"),
+        F.lit(None).cast("timestamp_ntz").alias("_metadata_last_modified"),
+    )
 
 
 def typed_orders(raw: DataFrame, named: bool, rules: Rules = DEFAULT) -> DataFrame:
@@ -362,33 +442,54 @@ def stage_orders(
             raw = split_json(raw, market.null_tokens, path)
     typed = typed_orders(raw, market.file_format != "csv", rules)
     if pieces:
-        numbered = typed.withColumns(
-            {
-                "_metadata_row_number": F.col(cuts.NUMBER),
-                "sales_order_key": F.col(cuts.BEFORE) + F.col(cuts.NUMBER) + (start - 1),
-            }
-        )
-    elif ROW_INDEX in typed.columns:
-        numbered = typed.withColumns(
-            {
-                "_metadata_row_number": F.col(ROW_INDEX) + 1,
-                "sales_order_key": spaced_key(start),
-            }
-        )
-    else:
-        numbered = number_file_rows(
-            label_rows(typed, path),
-            FILE,
-            BLOCK,
-            "_metadata_row_number",
-            "sales_order_key",
-            start,
-        )
-    return numbered.withColumnsRenamed(
+        numbers = {
+            "_metadata_row_number": F.col(cuts.NUMBER),
+            "sales_order_key": F.col(cuts.BEFORE) + F.col(cuts.NUMBER) + (start - 1),
+        }
+        return _named(typed.withColumns(numbers))
+    if ROW_INDEX in typed.columns:
+        return _keyed_rows(typed, start)
+    labelled = label_rows(typed, path)
+    return _named(
+        number_file_rows(labelled, FILE, BLOCK, "_metadata_row_number", "sales_order_key", start)
+    )
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    return rows.withColumnsRenamed(
         {FILE: "_metadata_file_name", MODIFIED: "_metadata_last_modified"}
     )
 
 
+def _keyed_rows(typed: DataFrame, start: int) -> DataFrame:
+    numbers = {"_metadata_row_number": F.col(ROW_INDEX) + 1, "sales_order_key": spaced_key(start)}
+    return _named(typed.withColumns(numbers))
+
+
+def stage_files(
+    spark: SparkSession,
+    root: str,
+    paths: list[str],
+    market: Market,
+    rules: Rules = DEFAULT,
+    start: int = 1,
+) -> tuple[DataFrame | None, list[str]]:
+    """stage_orders for these files, None if none is left, and the files without a schema.
+
+    Parquet files whose fields differ in type are read in one scan for each set of types, and
+    the casts, which go by the fields' names, make them one.
+    """
+    if market.file_format != "parquet":
+        return stage_orders(raw_orders(spark, root, market, True, paths), market, rules, start), []
+    groups, damaged = parquet_groups(spark, sorted(paths))
+    typed = [
+        typed_orders(raw_parquet(spark.read, list(map(_literal, some)), root, schema), True, rules)
+        for schema, some in groups
+    ]
+    # Keys are made above the union, so that no two scans make the same.
+    return _keyed_rows(reduce(DataFrame.unionByName, typed), start) if typed else None, damaged
+
+
 def accepted(staged: DataFrame, market: Market) -> DataFrame:
     """Rows for the source table."""
     rows = staged.filter(F.col(BAD_FIELDS).isNull())

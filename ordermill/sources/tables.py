@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,11 +59,19 @@ def replace_partition(df: DataFrame, table: str, partition: str, value: str) ->
 
     The partition is fixed in the statement, so all others stay as they are.
     """
+    return replace_and_see(df, table, partition, value, rows=F.count(F.lit(1)))["rows"]
+
+
+def replace_and_see(
+    df: DataFrame, table: str, partition: str, value: str, **seen: Column
+) -> dict[str, object]:
+    """replace_partition; returns aggregates of the rows, taken while they are written."""
     spark = df.sparkSession
     columns = [c for c in spark.table(table).columns if c != partition]
-    rows, seen = counted(df.select(*columns))
+    found = Observation()
+    rows = df.select(*columns).observe(found, *(c.alias(name) for name, c in seen.items()))
     spark.sql(
         f"INSERT OVERWRITE TABLE {table} PARTITION ({partition} = '{value}') SELECT * FROM {{rows}}",
         rows=rows,
     )
-    return seen.get["rows"]
+    return found.get

@@ -14,7 +14,7 @@ from ordermill.operators.quality import duplicate_keys, orphans
 from ordermill.plans.warehouse import REJECTS, Warehouse
 from ordermill.rules import DEFAULT, INDIA, PARITY, Rules
 from ordermill.sources import landing, tables
-from ordermill.streaming.load_once import LOAD_ID, load_new_files, write_batch
+from ordermill.streaming.load_once import LOAD_ID, load_new_files, write_files
 
 ONLY_INDIA = Rules(markets=(INDIA,))
 AS_OF = dt.date(2026, 1, 23)
@@ -78,12 +78,16 @@ def test_repeated_batch_leaves_no_second_copy(spark, tmp_path, source):
     orders, rejects = source
     root = tmp_path / "landing"
     _drop(root, "2023-01-01", ("A", "2023-01-01", 1, "Ann"))
-    batch = landing.raw_orders(spark, str(root), INDIA).drop("date")
-    write_batch(batch, "q-0", INDIA, orders, rejects)
+    paths = [str(p) for p in root.rglob("*.csv")]
+
+    def write(load_id):
+        write_files(spark, str(root), paths, load_id, INDIA, orders, rejects)
+
+    write("q-0")
     keys = spark.table(orders).select("sales_order_key").collect()
-    write_batch(batch, "q-0", INDIA, orders, rejects)
+    write("q-0")
     assert spark.table(orders).select("sales_order_key").collect() == keys
-    write_batch(batch, "q-1", INDIA, orders, rejects)
+    write("q-1")
     assert spark.table(orders).count() == 2
 
 
