@@ -113,8 +113,12 @@ def _in_chunks() -> Window:
 
 
 def _chunks(labelled: DataFrame, shape: Shape) -> DataFrame:
-    """One row per chunk: its pieces, whether they are all neutral, and its effect if so."""
-    neutral = (F.col("end0") == 0) & (F.col("end1") == 1) & (F.col("add0") == 0)
+    """One row per chunk: its pieces, whether they are all neutral, and its effect if so.
+
+    Neutral pieces leave state 0 and the depth there as they are. Begun in state 1, a chunk of
+    them ends in state 0 if a piece does.
+    """
+    neutral = (F.col("end0") == 0) & (F.col("add0") == 0) & ((F.col("end1") == 1) | (F.col("add1") == 0))
     head = F.min_by(F.struct("end0", "end1", "add0", "skip"), SLOT)
     chunks = labelled.groupBy(*_PLACE).agg(
         F.min(SLOT).alias("first"),
@@ -122,14 +126,15 @@ def _chunks(labelled: DataFrame, shape: Shape) -> DataFrame:
         F.sum((~neutral).cast("int")).alias("odd"),
         F.sum(F.col("skip").cast("int")).alias("skips"),
         F.sum("add1").alias("sum1"),
+        F.min("end1").alias("min1"),
         head.alias("_head"),
     )
     in_file = Window.partitionBy(FILE).orderBy(BLOCK, CHUNK)
     plain_head = (F.col("_head.end0") == 0) & (F.col("_head.end1") == 1) & (F.col("_head.add0") == 1)
     is_first = F.row_number().over(in_file) == 1
     with_head = is_first & plain_head & F.lit(shape.lead)
-    return chunks.withColumn("head", with_head.cast("int")).select(
-        *_PLACE, "first", "pieces", "head", "sum1",
+    return chunks.withColumns({"head": with_head.cast("int"), "is_first": is_first}).select(
+        *_PLACE, "first", "pieces", "head", "sum1", "min1", "is_first",
         (F.col("odd") == F.col("head")).alias("neutral"),
         (F.col("skips") - (with_head & F.col("_head.skip")).cast("int")).alias("skips"),
     )
@@ -140,7 +145,7 @@ def _along_files(chunks: DataFrame, effects: DataFrame, shape: Shape) -> DataFra
     known = chunks.join(effects, _PLACE, "left").select(
         *_PLACE, "first", "pieces", "head", "neutral", "skips",
         F.coalesce("after0", F.lit(0)).alias("end0"),
-        F.coalesce("after1", F.lit(1)).alias("end1"),
+        F.coalesce("after1", "min1").alias("end1"),
         F.coalesce("total0", "head").alias("total0"),
         F.coalesce("total1", "sum1").alias("total1"),
         F.coalesce("least0", "head").alias("least0"),
@@ -160,8 +165,10 @@ def _along_files(chunks: DataFrame, effects: DataFrame, shape: Shape) -> DataFra
     depth = F.col("_raw") - F.least(F.lit(0), F.coalesce("_low", F.lit(0)))
     rows = rows.withColumn("depth", depth)
     after = F.col("depth") + F.col("total") - F.least(F.lit(0), F.col("depth") + F.col("least"))
+    # Without windows it is known what such a chunk begins: all its pieces, or none.
+    calm = F.col("neutral") & ((F.col("state0") == 0) | (F.col("end1") == 1))
     return rows.select(
-        *_PLACE, "first", "pieces", "head", "neutral", "skips",
+        *_PLACE, "first", "pieces", "head", "skips", calm.alias("calm"),
         F.col("state0").alias("state"), "depth",
         F.col("after0").alias("last_state"),
         after.alias("last_depth"),
@@ -194,19 +201,10 @@ def _placed(rows: DataFrame) -> DataFrame:
     )
 
 
-def records(labelled: DataFrame, shape: Shape, keep: list[str]) -> DataFrame:
-    """Records of label_pieces' rows: their text (PIECE), number from 0 in their file, and role.
-
-    A RECORD is whole. A PART is a piece of one that its file's end leaves open, or a record
-    with more ends than beginnings. BETWEEN are pieces outside all records; they have the
-    number of the record before them. BEFORE counts the records of the files before.
-    keep names columns that are constant in a file.
-    """
-    effects = ["end0", "end1", "add0", "add1", "skip"]
-    chunks = cut(_chunks(labelled, shape), "chunks")
-    odd = broadcast_if_small(chunks.where("NOT neutral").select(*_PLACE))
-    narrow = labelled.select(*_PLACE, SLOT, *effects)
+def _begun(narrow: DataFrame, chunks: DataFrame, shape: Shape) -> DataFrame:
+    """chunks with the number of records that each begins, by windows over the narrow effects."""
     window = _in_chunks()
+    odd = chunks.where("NOT neutral").select(*_PLACE)
     sums = _depths(_states(narrow.join(odd, _PLACE, "left_semi"), window), window)
     found = sums.groupBy(*_PLACE).agg(
         *(F.max_by(c, SLOT).alias(c) for c in ("after0", "after1")),
@@ -214,23 +212,45 @@ def records(labelled: DataFrame, shape: Shape, keep: list[str]) -> DataFrame:
         *(F.min(f"low{s}").alias(f"least{s}") for s in (0, 1)),
     )
     chunks = cut(_along_files(chunks, found, shape), "states")
-
-    odd = broadcast_if_small(chunks.where("NOT neutral").select(*_PLACE, "state", "depth"))
+    odd = chunks.where("NOT calm").select(*_PLACE, "state", "depth")
     counts = _placed(narrow.join(odd, _PLACE)).groupBy(*_PLACE).agg(
         F.sum(F.col("begins").cast("long")).alias("begun")
     )
     level = (F.col("state") == 0) & (F.col("depth") + F.col("head") == 0)
     own = F.col("pieces") - F.col("skips") - F.col("head")
-    begun = F.coalesce("begun", F.when(level, own), F.lit(0)).cast("long")
+    return chunks.join(counts, _PLACE, "left").select(
+        *_PLACE, "first", "head", "state", "depth", "last_state", "last_depth",
+        F.coalesce("begun", F.when(level, own), F.lit(0)).cast("long").alias("begun"),
+        (F.col("calm") & level & (F.col("skips") == 0)).alias("whole"),
+    )
+
+
+def records(labelled: DataFrame, shape: Shape, keep: list[str]) -> DataFrame:
+    """Records of label_pieces' rows: their text (PIECE), number from 0 in their file, and role.
+
+    A RECORD is whole. A PART is a piece of one that its file's end leaves open, or a record
+    with more ends than beginnings. BETWEEN are pieces outside all records; they have the
+    number of the record before them. BEFORE counts the records of the files before.
+    keep names columns that are constant in a file.
+    """
+    effects = ["end0", "end1", "add0", "add1", "skip"]
+    # Tables of chunks have a row for thousands of pieces; the optimizer knows their sizes.
+    chunks = cut(_chunks(labelled, shape), "chunks")
+    headless = F.col("is_first") & (F.col("head") != int(shape.lead))
+    plain = chunks.where(~F.col("neutral") | (F.col("skips") > 0) | headless).isEmpty()
+    window = _in_chunks()
+    if plain:
+        # Every piece is a record, as in most batches of files: nothing has to be worked out.
+        begun = F.col("pieces") - F.col("head")
+        chunks = chunks.select(
+            *_PLACE, "first", "head", begun.alias("begun"), F.lit(True).alias("whole"),
+            *(F.lit(0).alias(c) for c in ("state", "depth", "last_state", "last_depth")),
+        )
+    else:
+        chunks = _begun(labelled.select(*_PLACE, SLOT, *effects), chunks, shape)
     in_file = Window.partitionBy(FILE).orderBy(BLOCK, CHUNK)
     earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
-    chunks = cut(
-        chunks.join(counts, _PLACE, "left")
-        .withColumn("begun", begun)
-        .withColumn("offset", F.coalesce(F.sum("begun").over(earlier), F.lit(0)))
-        .withColumn("whole", F.col("neutral") & level & (F.col("skips") == 0)),
-        "offsets",
-    )
+    chunks = chunks.withColumn("offset", F.coalesce(F.sum("begun").over(earlier), F.lit(0)))
     last = F.struct("last_state", "last_depth")
     files = chunks.groupBy(FILE).agg(
         F.sum("begun").alias("_total"),
@@ -262,6 +282,9 @@ def records(labelled: DataFrame, shape: Shape, keep: list[str]) -> DataFrame:
         F.when(at < 0, F.col(PIECE)).otherwise(F.concat(lead, PIECE)).alias(PIECE),
     )
 
+    if plain:
+        return simple.select(*columns)
+
     upto = window.rowsBetween(Window.unboundedPreceding, 0)
     begun = F.col("offset") + F.sum(F.col("begins").cast("long")).over(upto)
     number = F.greatest(begun - 1, F.lit(0))

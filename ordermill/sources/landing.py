@@ -204,6 +204,11 @@ def _cut_records(pieces: DataFrame, effect: cuts.Effect, shape: cuts.Shape, path
     return cuts.records(cuts.label_pieces(pieces, effect, path), shape, keep)
 
 
+def _once(parsed: Column) -> Column:
+    """parsed, made once for a row: the optimizer would parse again for each field taken of it."""
+    return F.explode(F.array(parsed))
+
+
 def split_csv(pieces: DataFrame, path: str | None = None) -> DataFrame:
     """Fields by position, as text, and row numbers in files that several tasks read.
 
@@ -217,7 +222,7 @@ def split_csv(pieces: DataFrame, path: str | None = None) -> DataFrame:
     schema = _text_schema(f.column for f in FIELDS).simpleString()
     whole = F.col(cuts.ROLE) == cuts.RECORD
     rows = found.filter((F.col(cuts.NUMBER) > 0) & (F.col(cuts.ROLE) != cuts.BETWEEN)).withColumn(
-        "_row", F.when(whole, F.from_csv(line, schema, options))
+        "_row", _once(F.when(whole, F.from_csv(line, schema, options)))
     )
     return rows.select(
         *(F.col(f"_row.{f.column}").alias(f.column) for f in FIELDS),
@@ -254,7 +259,7 @@ def split_json(
     rows = (
         found.withColumn("_one", F.explode(texts))
         .filter(F.col("_one.text") != "")
-        .withColumn("_row", F.when(F.col("_one.whole"), F.from_json("_one.text", schema, options)))
+        .withColumn("_row", _once(F.when(F.col("_one.whole"), F.from_json("_one.text", schema, options))))
     )
     fields = [F.col(f"_row.`{f.label}`").alias(f.column) for f in FIELDS]
     tokens = tuple(null_tokens)
