@@ -440,6 +440,25 @@ SQL: dict[str, str] = {
         ELSE shipping_address END AS shipping_address)
     FROM ({_accepted("IN", ", sales_order_key")})""",
     "json_lines_ingest": _accepted("FR"),
+    "csv_split_multiline": f"""WITH own AS (SELECT * EXCLUDE (sales_order_key) REPLACE (
+      CASE WHEN sales_order_key % 3 = 0 THEN 'Line one' || chr(10) || chr(10) || customer_name
+        ELSE customer_name END AS customer_name,
+      CASE WHEN sales_order_key % 5 = 0 THEN mobile_key || ' 6" wide' ELSE mobile_key END
+        AS mobile_key)
+    FROM ({_accepted("IN", ", sales_order_key")}))
+    SELECT *, unnest(['split', 'whole']) AS reading FROM own""",
+    "parquet_mixed_types": _accepted("US"),
+    "damaged_file_ingest": " UNION ALL ".join(
+        f"""SELECT '{country}' AS country, COUNT(*) + 1 AS rows, true AS "unique", 1 AS set_aside,
+      0 AS again, 1 AS repaired, 0 AS last
+    FROM ({_accepted(country)})"""
+        for country in ("IN", "US", "FR")
+    ),
+    "json_documents_ingest": f"""SELECT *, NULL::VARCHAR AS raw_record FROM ({_accepted("FR")})
+    UNION ALL BY NAME
+    SELECT 'left over ' || o_orderkey AS raw_record
+    FROM (WITH {SALES} SELECT sales_order_key AS o_orderkey FROM sales
+      WHERE country = 'FR' AND sales_order_key % 11 = 0)""",
     "csv_rejects": _rejected("IN"),
     "json_rejects": _rejected("FR"),
     "json_null_tokens": f"""WITH {SALES}

@@ -18,7 +18,7 @@ from ordermill.operators import facts, filters, keys, latest, quality, rates
 from ordermill.plans.curate import curate_market, curate_orders
 from ordermill.plans.warehouse import REJECTS, Warehouse
 from ordermill.rules import DEFAULT, FRANCE, INDIA, PARITY, USA, Market, Rules
-from ordermill.shared import cut, new_folder, together
+from ordermill.shared import cut, new_folder, replace_file, together, write_bytes
 from ordermill.sources import landing, sample, sample_landing, tables
 from ordermill.sources.rates import read_rates
 from ordermill.streaming.load_once import LOAD_ID, load_new_files
@@ -200,8 +200,14 @@ def _landed(spark: SparkSession, sf_dir: str, *markets: Market) -> str:
 def _staged(
     spark: SparkSession, sf_dir: str, market: Market, rules: Rules = DEFAULT
 ) -> DataFrame:
-    root = _landed(spark, sf_dir, market)
-    return landing.stage_orders(landing.raw_orders(spark, root, market), market, rules)
+    return _stage_all(spark, _landed(spark, sf_dir, market), market, rules)
+
+
+def _stage_all(
+    spark: SparkSession, root: str, market: Market, rules: Rules = DEFAULT
+) -> DataFrame:
+    raw = landing.raw_orders(spark, root, market, pieces=True)
+    return landing.stage_orders(raw, market, rules)
 
 
 def _accepted(staged: DataFrame, market: Market) -> DataFrame:
@@ -232,7 +238,7 @@ def csv_multiline_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     root = new_folder(spark, "landing")
     sample_landing.write_files(rows, INDIA, root)
-    return _accepted(landing.stage_orders(landing.raw_orders(spark, root, INDIA), INDIA), INDIA)
+    return _accepted(_stage_all(spark, root, INDIA), INDIA)
 
 
 def json_lines_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,7 +249,162 @@ def json_lines_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = rows.select(F.when(F.col("_key") % 3 == 0, array).otherwise(record).alias("value"), "date")
     root = new_folder(spark, "landing")
     lines.write.partitionBy("date").text(landing.landing_path(root, FRANCE))
-    return _accepted(landing.stage_orders(landing.raw_orders(spark, root, FRANCE), FRANCE), FRANCE)
+    return _accepted(_stage_all(spark, root, FRANCE), FRANCE)
+
+
+def csv_split_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file a folder: quoted line breaks, stray and doubled quotes, blank lines, CRLF ends.
+
+    Also the orders that the reading by one task gives, of which there must be the same.
+    """
+    rows = sample_landing.file_fields(sample.sales_orders(spark, sf_dir), INDIA)
+    key = F.col("_key")
+    name = F.concat(F.lit("Line one\n\n"), "customer_name")
+    values = {f: F.coalesce(F.col(f), F.lit("null")) for f in BUSINESS_FIELDS}
+    values["customer_name"] = F.when(key % 3 == 0, name).otherwise(F.col("customer_name"))
+    quoted = ("customer_name", "shipping_address")
+    for field in quoted:
+        doubled = F.replace(values[field], F.lit('"'), F.lit('""'))
+        values[field] = F.concat(F.lit('"'), doubled, F.lit('"'))
+    values["mobile_key"] = F.when(key % 5 == 0, F.concat("mobile_key", F.lit(' 6" wide'))).otherwise(
+        F.col("mobile_key")
+    )
+    line = F.concat_ws(",", *values.values())
+    line = F.concat(F.when(key % 17 == 0, "\r\n").otherwise(""), line, F.lit("\r"))
+    names = F.lit(",".join(BUSINESS_FIELDS) + "\r").alias("value")
+    header = rows.select("date").distinct().select("date", names, F.lit(-1).alias("_key"))
+    lines = rows.select("date", line.alias("value"), "_key").union(header)
+    root = new_folder(spark, "landing")
+    ordered = lines.repartition("date").sortWithinPartitions("date", "_key").select("date", "value")
+    ordered.write.partitionBy("date").text(landing.landing_path(root, INDIA))
+    split = _accepted(_stage_all(spark, root, INDIA), INDIA)
+    whole = landing.stage_orders(landing.raw_orders(spark, root, INDIA), INDIA)
+    both = [split.withColumn("reading", F.lit("split")), _accepted(whole, INDIA).withColumn("reading", F.lit("whole"))]
+    return reduce(DataFrame.unionByName, both)
+
+
+def json_documents_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that follow each other on one line, with other text between some of them."""
+    rows = sample_landing.file_fields(sample.sales_orders(spark, sf_dir), FRANCE)
+    key = F.col("_key")
+    record = F.to_json(F.struct(*(F.col(f.column).alias(f.label) for f in landing.FIELDS)))
+    nested = F.concat(F.rtrim(record, F.lit("}")), F.lit(',"Lines":[{"a":{"b":"}{ ]["}},{}]}'))
+    text = (
+        F.when(key % 4 == 0, F.concat(F.lit("["), record, F.lit("] ")))
+        .when(key % 4 == 1, F.concat(record, F.lit("\r")))
+        .when(key % 4 == 2, nested)
+        .otherwise(F.concat(F.lit("[\n"), nested, F.lit(", "), F.lit("\n]")))
+    )
+    text = F.concat(text, F.when(key % 11 == 0, F.concat(F.lit("left over "), key)).otherwise(""))
+    chunk = (key / sample_landing.KEYS_PER_ARRAY).cast("bigint").alias("_chunk")
+    bodies = rows.groupBy("date", chunk).agg(
+        F.concat_ws("", F.array_sort(F.collect_list(text))).alias("value")
+    )
+    root = new_folder(spark, "landing")
+    bodies.select("date", "value").write.partitionBy("date").text(landing.landing_path(root, FRANCE))
+    staged = _stage_all(spark, root, FRANCE)
+    good = _accepted(staged, FRANCE).withColumn(landing.RAW, F.lit(None).cast("string"))
+    # Orders with a bad value are rejects too, with their fields as raw text.
+    bad = landing.rejected(staged).filter(F.col(landing.BAD_FIELDS) == "record").select(landing.RAW)
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
+def _source_tables(spark: SparkSession, market: Market) -> tuple[str, str, str]:
+    """A database with a source table and its rejects."""
+    name = f"load_{uuid.uuid4().hex}"
+    tables.create_database(spark, name, new_folder(spark, "database"))
+    loaded = T.StructField(LOAD_ID, T.StringType())
+    source = schemas.source_orders(market.contact_field)
+    tables.create_table(spark, f"{name}.orders", T.StructType([*source, loaded]), LOAD_ID)
+    tables.create_table(spark, f"{name}.rejects", T.StructType([*REJECTS, loaded]), LOAD_ID)
+    tables.create_table(spark, f"{name}.key_ranges", schemas.KEY_RANGES)
+    return name, f"{name}.orders", f"{name}.rejects"
+
+
+def _loaded(spark: SparkSession, name: str, market: Market) -> DataFrame:
+    """What the source table of _source_tables holds; the database is dropped."""
+    rows = spark.table(f"{name}.orders").withColumnRenamed(market.contact_field, "contact_no")
+    batch = F.element_at(F.split(LOAD_ID, "-"), -1).alias("batch")
+    found = cut(rows.select(*BUSINESS_FIELDS, "sales_order_key", batch), "loaded")
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+    return found
+
+
+def parquet_mixed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one load whose numbers, dates and amounts have differing types, by month."""
+    rows = sample_landing.file_fields(sample.sales_orders(spark, sf_dir), USA)
+    root = new_folder(spark, "landing")
+    place = landing.landing_path(root, USA)
+    by_label = {f.column: F.col(f.column).alias(f.label) for f in landing.FIELDS}
+    casts = (
+        {},
+        {"order_quantity": "int", "unit_price": "double", "order_dt": "date"},
+        {"order_quantity": "bigint", "final_order_amount": "decimal(14,2)", "tax_amount": "double"},
+    )
+    for i, some in enumerate(casts):
+        typed = by_label | {c: F.col(c).try_cast(t).alias(_label(c)) for c, t in some.items()}
+        part = rows.filter(F.col("_key") % 3 == i)
+        # Values that a file's type cannot hold were never written to it.
+        part = part.filter(" AND ".join(f"try_cast({c} AS {t}) IS NOT NULL" for c, t in some.items()) or "true")
+        part.select(*typed.values(), "date").write.partitionBy("date").mode("append").parquet(place)
+    name, table, rejects = _source_tables(spark, USA)
+    load_new_files(
+        spark, root, USA, table, rejects, new_folder(spark, "stream"), ranges=f"{name}.key_ranges"
+    )
+    return _loaded(spark, name, USA).drop("batch", "sales_order_key")
+
+
+def _label(column: str) -> str:
+    return next(f.label for f in landing.FIELDS if f.column == column)
+
+
+def damaged_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A damaged file in each format is set aside while the others load, and loads once repaired."""
+    orders = cut(sample.sales_orders(spark, sf_dir), "orders")
+    found = []
+    for market in DEFAULT.markets:
+        root = new_folder(spark, "landing")
+        sample_landing.write_files(sample_landing.file_fields(orders, market), market, root)
+        place = f"{landing.landing_path(root, market)}/date=2000-01-01"
+        ending = {"csv": "csv.gz", "json": "json.gz", "parquet": "parquet"}[market.file_format]
+        damaged = f"{place}/damaged.{ending}"
+        write_bytes(spark, damaged, b"\x1f\x8b\x08\x00 no file of this kind")
+        name, table, rejects = _source_tables(spark, market)
+        checkpoint = new_folder(spark, "stream")
+
+        def load() -> int:
+            loads = load_new_files(
+                spark, root, market, table, rejects, checkpoint, ranges=f"{name}.key_ranges"
+            )
+            return sum(done.rows_written for done in loads)
+
+        load()
+        aside = spark.table(rejects).filter(F.col(landing.BAD_FIELDS) == landing.UNREADABLE).count()
+        again = load()
+        good = (F.lit(v).alias(f.column) for f, v in zip(landing.FIELDS, REPAIRED, strict=True))
+        one = spark.range(1).select(
+            F.col("id").alias("_key"), F.lit(dt.date(2000, 1, 1)).alias("date"), *good
+        )
+        repaired = new_folder(spark, "repaired")
+        sample_landing.write_files(one, market, repaired, "gzip" if "gz" in ending else None)
+        replace_file(spark, repaired, damaged)
+        repaired_rows, last = load(), load()
+        rows = _loaded(spark, name, market)
+        keys_ = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("sales_order_key").alias("keys"))
+        counts = keys_.select(
+            F.lit(market.country).alias("country"), "rows", (F.col("rows") == F.col("keys")).alias("unique"),
+            F.lit(aside).alias("set_aside"), F.lit(again).alias("again"),
+            F.lit(repaired_rows).alias("repaired"), F.lit(last).alias("last"),
+        )
+        found.append(cut(counts, "counts"))
+    return reduce(DataFrame.unionByName, found)
+
+
+# The order that a repaired file holds.
+REPAIRED = (
+    "ORD-R", "Ann", "b/m/c/64", "1", "100", "100", "PROMO1", "100.00", "8.00", "2000-01-02",
+    "Paid", "Delivered", "card", "visa", "PH-1", "Main St 1",
+)
 
 
 def _rejects(market: Market) -> Query:
@@ -279,7 +440,7 @@ def file_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _landed(spark, sf_dir, *DEFAULT.markets)
     staged = None
     for market in DEFAULT.markets:
-        rows = landing.stage_orders(landing.raw_orders(spark, root, market), market)
+        rows = _stage_all(spark, root, market)
         rows = rows.select(F.lit(market.country).alias("country"), "date", *_LINEAGE_COLUMNS)
         staged = rows if staged is None else staged.union(rows)
     number = F.col("_metadata_row_number")
@@ -316,22 +477,17 @@ def landing_date_pruning(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incremental_file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two drops of files and three calls, of which the last finds nothing new."""
-    name = f"load_{uuid.uuid4().hex}"
-    tables.create_database(spark, name, new_folder(spark, "database"))
-    table, rejects = f"{name}.orders", f"{name}.rejects"
-    loaded = T.StructField(LOAD_ID, T.StringType())
-    source = schemas.source_orders(INDIA.contact_field)
-    tables.create_table(spark, table, T.StructType([*source, loaded]), LOAD_ID)
-    tables.create_table(spark, rejects, T.StructType([*REJECTS, loaded]), LOAD_ID)
+    name, table, rejects = _source_tables(spark, INDIA)
     root, checkpoint = new_folder(spark, "landing"), new_folder(spark, "stream")
     rows = sample_landing.file_fields(sample.sales_orders(spark, sf_dir), INDIA)
     for drop in (F.col("_key") % 2 == 0, F.col("_key") % 2 == 1, None):
         if drop is not None:
             sample_landing.write_files(rows.filter(drop), INDIA, root)
-        load_new_files(spark, root, INDIA, table, rejects, checkpoint)
-    batch = F.element_at(F.split(LOAD_ID, "-"), -1).cast("int").alias("batch")
-    result = spark.table(table).withColumnRenamed(INDIA.contact_field, "contact_no")
-    return result.select(*BUSINESS_FIELDS, batch)
+        load_new_files(
+            spark, root, INDIA, table, rejects, checkpoint, ranges=f"{name}.key_ranges"
+        )
+    found = _loaded(spark, name, INDIA)
+    return found.select(*BUSINESS_FIELDS, F.col("batch").cast("int").alias("batch"))
 
 
 def exchange_rate_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -511,6 +667,10 @@ QUERIES: dict[str, Query] = {
     "parquet_ingest_parity": _ingest(USA, PARITY),
     "json_ingest": _ingest(FRANCE),
     "csv_multiline_ingest": csv_multiline_ingest,
+    "csv_split_multiline": csv_split_multiline,
+    "json_documents_ingest": json_documents_ingest,
+    "parquet_mixed_types": parquet_mixed_types,
+    "damaged_file_ingest": damaged_file_ingest,
     "json_lines_ingest": json_lines_ingest,
     "csv_rejects": _rejects(INDIA),
     "json_rejects": _rejects(FRANCE),

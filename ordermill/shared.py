@@ -10,12 +10,17 @@ from contextlib import contextmanager
 from contextvars import ContextVar, copy_context
 from typing import TypeVar
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 Result = TypeVar("Result")
 
+# What a failed job raises; failures that PySpark has no class for come as they are.
+JobFailure = (PySparkException, Py4JJavaError)
+
 # Bytes that a broadcast side may have, as its rows are counted while it is written.
 BROADCAST_BYTES = 64_000_000
 
@@ -86,6 +91,25 @@ def discard(spark: SparkSession, path: str) -> None:
     system.delete(folder, True)
 
 
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """A small file with this content."""
+    place, system = storage(spark, path)
+    out = system.create(place, True)
+    out.write(bytearray(content))
+    out.close()
+
+
+def replace_file(spark: SparkSession, folder: str, path: str) -> None:
+    """Put the only data file below a folder in the place of a file."""
+    place, system = storage(spark, path)
+    found = system.listFiles(storage(spark, folder)[0], True)
+    while found.hasNext():
+        made = found.next().getPath()
+        if not made.getName().startswith(("_", ".")):
+            system.delete(place, False)
+            system.rename(made, place)
+
+
 def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     """df, and an observation that gets its number of rows when it is written."""
     seen = Observation()

@@ -12,7 +12,6 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import partial, reduce
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +21,7 @@ from ordermill.operators import records as cuts
 from ordermill.operators.keys import label_rows, number_file_rows, spaced_key
 from ordermill.rules import DEFAULT, Market, Rules
 from ordermill.schemas import source_orders
-from ordermill.shared import together
+from ordermill.shared import JobFailure, together
 
 FILE, BLOCK, MODIFIED, ROW_INDEX = "_file", "_block", "_modified", "_row_index"
 BAD_FIELDS, RAW = "bad_fields", "raw_record"
@@ -340,7 +339,7 @@ def parquet_groups(
     """
     try:
         found = spark.read.option("mergeSchema", True).parquet(*map(_literal, paths)).schema
-    except PySparkException:
+    except JobFailure:
         if len(paths) == 1:
             return [], paths
         half = len(paths) // 2
@@ -375,7 +374,7 @@ def unreadable(spark: SparkSession, paths: list[str], file_format: str) -> list[
 
     try:
         read(paths)
-    except PySparkException:
+    except JobFailure:
         if len(paths) == 1:
             return paths
         half = len(paths) // 2

@@ -62,7 +62,9 @@ def file_fields(orders: DataFrame, market: Market) -> DataFrame:
     )
 
 
-def write_files(rows: DataFrame, market: Market, root: str) -> None:
+def write_files(
+    rows: DataFrame, market: Market, root: str, compression: str | None = None
+) -> None:
     """Add rows of file_fields to the landing area in the market's format."""
     by_label = [F.col(f.column).alias(f.label) for f in FIELDS]
     if market.file_format == "json":
@@ -83,6 +85,8 @@ def write_files(rows: DataFrame, market: Market, root: str) -> None:
             .options(header=True, escape='"', quoteAll=False, emptyValue='""')
         )
     # Each market has a folder of its own to commit to, so several can be written at once.
+    if compression:
+        writer = writer.option("compression", compression)
     writer.partitionBy("date").mode("append").save(landing_path(root, market))
 
 

@@ -12,13 +12,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from hashlib import sha256
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.operators.keys import next_key, next_start, note_range
 from ordermill.rules import DEFAULT, Market, Rules
-from ordermill.shared import exists, scratch
+from ordermill.shared import JobFailure, exists, scratch
 from ordermill.sources import landing, tables
 
 LOAD_ID = "load_id"
@@ -73,7 +72,7 @@ def write_files(
                 damaged.update(more)
                 load = _write(staged, load_id, market, table, rejects, start) if staged else None
                 break
-            except PySparkException:
+            except JobFailure:
                 found = landing.unreadable(spark, left, market.file_format)
                 if not found:
                     raise
