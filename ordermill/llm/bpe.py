@@ -17,7 +17,6 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -26,6 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField
+from tokenizers import Tokenizer
 
 from ordermill.llm.common import FOLD, SpanHasher, flat, map_texts, summed, word_spans
 
@@ -132,6 +132,9 @@ class Vocabulary:
             p["pattern"]["Regex"] for p in made["pre_tokenizer"]["pretokenizers"] if "pattern" in p
         )
         self.pattern = regex.compile(pattern)
+        library = Tokenizer.from_file(path)
+        self.normalizer, self.splitter = library.normalizer, library.pre_tokenizer
+        self.place = {c: b for b, c in enumerate(chars)}
         self.specials = (
             regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
         )
@@ -356,9 +359,10 @@ class Vocabulary:
             if i % 2:
                 made.append(self.special[part])
             else:
-                # The library's lower case knows no final sigma.
-                folded = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-                made += [w.encode() for w in self.pattern.findall(folded)]
+                # The library's own tables: Python's and regex's know other Unicode versions.
+                folded = self.normalizer.normalize_str(part)
+                words = self.splitter.pre_tokenize_str(folded)
+                made += [bytes(map(self.place.__getitem__, w)) for w, _ in words]
         return made
 
 

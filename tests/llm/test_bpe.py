@@ -94,3 +94,16 @@ def test_extra_columns_and_empty_table(spark):
     found = bpe.digest_texts(clashing(spark), PATH)
     assert found.columns.count("n_tokens") == 1 and found.count() == len(rows())
     assert bpe.digest_texts(frame(spark, []), PATH).collect() == []
+
+
+def test_ids_are_the_library_s_for_all_code_points(spark):
+    """Letters, digits, cases and compositions that Unicode versions differ in."""
+    points = [cp for cp in range(0x80, 0x32400) if not 0xD800 <= cp < 0xE000]
+    made = [f"a{chr(cp)}b {chr(cp)}" for cp in points]
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    want = [e.ids for e in library.encode_batch(made, add_special_tokens=False)]
+    rows = [(i, text) for i, text in zip(points, made, strict=True)]
+    found = {r.doc_id: r.ids for r in bpe.encode_texts(frame(spark, rows), path).collect()}
+    different = [hex(cp) for cp, ids in zip(points, want, strict=True) if found[cp] != np.array(ids, '<u4').tobytes()]
+    assert different == []
