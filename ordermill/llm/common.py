@@ -85,20 +85,31 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores as no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def keep_once(df: DataFrame, sha: Column, id_col: str, kept: DataFrame) -> DataFrame:
     """Rows of df whose id and digest are in kept (_id, _sha), one of those that repeat.
 
-    One key column serves the join and the window, so df is shuffled once.
+    Of rows that differ in other columns only, the one with the least hash of all its columns
+    stays. One key column serves the join and the window, so df is shuffled once; df's columns
+    are one struct meanwhile, so that none can have the name of another.
     """
 
     def key(id_value: Column, digest: Column) -> Column:
         return F.concat_ws(":", digest, F.coalesce(id_value.cast("string"), F.lit("null")))
 
-    keys = kept.select(key(F.col("_id"), F.col("_sha")).alias("_key"))
-    found = df.withColumn("_key", key(F.col(f"`{id_col}`"), sha)).join(keys, "_key", "left_semi")
-    once = Window.partitionBy("_key").orderBy("_key")
-    copies = found.withColumn("_copy", F.row_number().over(once))
-    return without(copies.where("_copy = 1"), ["_key", "_copy"])
+    keys = kept.select(key(F.col("_id"), F.col("_sha")).alias("key"))
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+    found = df.select(row, key(F.col(f"`{id_col}`"), sha).alias("key")).join(keys, "key", "left_semi")
+    once = Window.partitionBy("key").orderBy(F.xxhash64("row"))
+    copies = found.withColumn("copy", F.row_number().over(once)).where("copy = 1")
+    return copies.select(*[F.col(f"row.`{c}`").alias(c) for c in df.columns])
 
 
 def learnable(df: DataFrame, labels: DataFrame, id_col: str, label: str) -> DataFrame:

@@ -19,6 +19,8 @@ import hashlib
 import math
 import re
 from collections.abc import Callable
+from functools import lru_cache
+from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
-from ordermill.llm.common import flat, map_texts, without
+from ordermill.llm.common import flat, free_name, map_texts
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -70,6 +72,7 @@ def _stretch(alphabet: str, least: int) -> str:
 
 
 ALNUM = "0-9A-Za-z"
+_WORDS = "example|placeholder|your[-_]?(?:api|secret|token|key)|x{6,}"
 # Strings that look random but are none: fixed shapes, alphabets and the words of placeholders.
 ALLOWED = re.compile(
     "|".join(
@@ -82,7 +85,8 @@ ALLOWED = re.compile(
             _stretch("abcdefghijklmnopqrstuvwxyz", 10),
             _stretch("0123456789abcdefghijklmnopqrstuvwxyz", 13),
             _stretch("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 10),
-            r"(?i:example|placeholder|your[-_]?(?:api|secret|token|key)|x{6,})",
+            # Words of placeholders, with an end of their own: random letters may spell one too.
+            rf"(?i:(?<![{ALNUM}])(?:{_WORDS})|(?:{_WORDS})(?![{ALNUM}]))",
         ]
     )
 )
@@ -90,6 +94,9 @@ ALLOWED = re.compile(
 # What ends before '@', or before ':' without a port, are a user's name and password.
 LINK = re.compile(r"(?:://|www\.)[A-Za-z0-9.-]*+(?::[0-9]++)?+(?:/[A-Za-z0-9/._~%:+!*$-]*+)?+")
 
+# A segment of a link's path that has no separators, as keys in links have none.
+SEGMENT = re.compile(rf"(?<=/)[{ALNUM}]{{20,}}(?![{ALNUM}._~%+-])")
+
 FIELDS = [
     StructField("n_assign", LongType()),
     StructField("n_access", LongType()),
@@ -110,6 +117,7 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
+@lru_cache
 def _terms(window: int) -> list[float]:
     return [0.0] + [c * math.log2(c) for c in range(1, window + 2)]
 
@@ -150,14 +158,27 @@ def pieces(run: re.Match, allowed: list[tuple[int, int]]) -> list[tuple[int, int
     """What is left of a run when the strings of the allow list are cut out."""
     at, end = run.span()
     left = []
-    for a, b in allowed[bisect.bisect_right(allowed, at, key=lambda known: known[1]) :]:
-        if a >= end:
-            break
-        left.append((at, a))
-        at = b
+    place = bisect.bisect_right(allowed, at, key=lambda known: known[1])
+    while place < len(allowed) and allowed[place][0] < end:
+        left.append((at, allowed[place][0]))
+        at = allowed[place][1]
+        place += 1
     return [*left, (at, end)]
 
 
+def covered(base: list[Span]) -> Callable[[int, int], bool]:
+    """A test whether one of the base spans, which are in order, covers start to end."""
+    starts = [start for start, _, _ in base]
+    # The farthest end of the spans that begin so far: one search answers the test.
+    reach = list(accumulate((end for _, _, end in base), max))
+
+    def test(start: int, end: int) -> bool:
+        place = bisect.bisect_right(starts, start) - 1
+        return place >= 0 and end <= reach[place]
+
+    return test
+
+
 def within(spans: list[tuple[int, int]], start: int, end: int) -> bool:
     """Whether one of spans, in order and apart from each other, covers start to end."""
     place = bisect.bisect_right(spans, (start, math.inf)) - 1
@@ -166,6 +187,8 @@ def within(spans: list[tuple[int, int]], start: int, end: int) -> bool:
 
 def entropy_spans(text: str, base: list[Span]) -> list[Span]:
     found: set[Span] = set()
+    known = covered(base)
+    mixed = CLASSES[1]
     allowed: list[tuple[int, int]] | None = None
     for kind in CLASSES:
         for run in RUNS[kind.name].finditer(text):
@@ -179,9 +202,17 @@ def entropy_spans(text: str, base: list[Span]) -> list[Span]:
             for left, right in pieces(run, allowed):
                 for start, end in hot_windows(text[left:right], kind.window, kind.bits):
                     start, end = left + start, left + end
-                    if within(linked, start, end):
-                        continue
-                    if not any(a <= start and end <= b for a, _, b in base):
+                    if not within(linked, start, end) and not known(start, end):
+                        found.add((start, 3, end))
+    for left, right in linked if allowed is not None else ():
+        # In a link only whole segments are judged, by the strictest class.
+        for segment in SEGMENT.finditer(text, left, right):
+            if not all(re.search(f"[{part}]", segment[0]) for part in mixed.needs):
+                continue
+            for run in pieces(segment, allowed):
+                for start, end in hot_windows(text[slice(*run)], mixed.window, mixed.bits):
+                    start, end = run[0] + start, run[0] + end
+                    if not known(start, end):
                         found.add((start, 3, end))
     return sorted(found)
 
@@ -270,7 +301,7 @@ def _masker() -> Callable[[pa.Array], list]:
 
 def mask_secrets(df: DataFrame, text: str = "text") -> DataFrame:
     """df with every span of its texts replaced by MASK; other texts, nulls too, stay."""
-    made = map_texts(df, text, [StructField("_masked", StringType())], _masker)
-    return without(
-        made.withColumn(text, F.coalesce("_masked", F.col(f"`{text}`"))), ["_masked"]
-    ).select(*[F.col(f"`{c}`") for c in df.columns])
+    name = free_name(df, "masked")
+    made = map_texts(df, text, [StructField(name, StringType())], _masker)
+    whole = F.coalesce(F.col(name), F.col(f"`{text}`")).alias(text)
+    return made.select(*[whole if c == text else F.col(f"`{c}`") for c in df.columns])
