@@ -285,13 +285,18 @@ class Scorer:
         )
         decided = np.concatenate([[0], np.cumsum(found.per_symbol)])
         per_block = np.diff(decided[np.concatenate([[0], ends])])
-        known = np.stack(
-            [self.tables.nodes[found.node]]
-            + [self.tables.slots[k][found.slots[k]] for k in range(HASHED)]
-        )
-        gate = self.tables.levels[found.slots[1]] * np.uint8(2) + (known[1] != 0).view(np.uint8)
+        known = np.empty((HASHED + 1, len(found.node)), np.float32)
+        # All places are inside; checking them would copy what is taken.
+        self.tables.nodes.take(found.node, out=known[0], mode="clip")
+        for k in range(HASHED):
+            self.tables.slots[k].take(found.slots[k], out=known[k + 1], mode="clip")
+        gate = self.tables.levels.take(found.slots[1], mode="clip") * np.uint8(2)
+        gate += (known[1] != 0).view(np.uint8)
         gate += np.uint8(len(START)) * np.minimum(found.depth, np.uint8(DEPTHS - 1))
-        sign = found.bit.astype(np.float32) * 2 - 1
+        # 1 where the bit is zero, else -1: times the log odds of a one, those of the other bit.
+        other = found.bit.astype(np.float32)
+        other *= -2
+        other += 1
         weights = np.ascontiguousarray(np.tile(START, (n * DEPTHS, 1)).T)
         total = np.zeros(n)
         steps = np.searchsorted(number, np.arange(int(blocks.max(initial=0)) + 1))
@@ -299,19 +304,27 @@ class Scorer:
         for first, last in zip(steps, steps[1:], strict=False):
             here = slice(cut[first], cut[last])
             own, counts = text[first:last], per_block[first:last]
-            row = np.repeat(own.astype(np.int32) * GATES, counts) + gate[here]
+            row = np.repeat(own.astype(np.int32) * GATES, counts)
+            row += gate[here]
             inputs = known[:, here]
-            logit = inputs[0] * weights[0].take(row)
+            logit = weights[0].take(row, mode="clip")
+            logit *= inputs[0]
             for k in range(1, HASHED + 1):
-                logit += inputs[k] * weights[k].take(row)
+                part = weights[k].take(row, mode="clip")
+                part *= inputs[k]
+                logit += part
             np.clip(logit, -16, 16, out=logit)
-            # Odds and then probability of the other bit.
-            logit *= sign[here]
-            np.negative(logit, out=logit)
-            odds = np.exp(logit, out=logit)
-            total[own] -= summed(np.log1p(odds), counts)
-            miss = odds / (odds + 1)
-            miss *= sign[here]
+            logit *= other[here]
+            # One and the odds of the other bit: its logarithm is what the bit costs.
+            whole = np.exp(logit, out=logit)
+            whole += 1
+            total[own] -= summed(np.log(whole), counts)
+            if last == len(text):
+                break
+            # The probability of the other bit, with the sign of the bit.
+            miss = np.reciprocal(whole, out=whole)
+            miss -= 1
+            miss *= other[here]
             for k in range(HASHED + 1):
                 moved = np.bincount(row, miss * inputs[k], minlength=n * GATES)
                 weights[k] += RATE * moved
