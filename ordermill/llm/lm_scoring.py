@@ -38,6 +38,7 @@ from ordermill.llm.common import (
     BREAK,
     SpanHasher,
     flat,
+    free_name,
     map_texts,
     ship,
     slices,
@@ -377,11 +378,14 @@ def word_keys(data: np.ndarray, offsets: np.ndarray, hasher: SpanHasher) -> tupl
 
 
 def _packed(counts: np.ndarray) -> bytes:
-    return zlib.compress(counts.astype(np.uint32).tobytes(), 1)
+    """Counts in four bytes each where that is enough, in eight where it is not."""
+    kind = np.uint32 if counts.max(initial=0) < 1 << 32 else np.uint64
+    return zlib.compress(np.dtype(kind).char.encode() + counts.astype(kind).tobytes(), 1)
 
 
 def _unpacked(raw: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(raw), np.uint32).astype(np.int64)
+    data = zlib.decompress(raw)
+    return np.frombuffer(data, np.dtype(data[:1].decode()), offset=1).astype(np.int64)
 
 
 def _partition_tables(code: Code, text: str) -> Callable:
@@ -390,14 +394,14 @@ def _partition_tables(code: Code, text: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, hasher = Coder(code), SpanHasher()
         tables = [np.zeros(2 * code.n_nodes, np.int64)]
-        tables += [np.zeros(2 * SLOTS, np.int32) for _ in range(HASHED)]
+        tables += [np.zeros(2 * SLOTS, np.int64) for _ in range(HASHED)]
         any_text = False
         for batch in batches:
             for _, texts in slices(batch, text, SLICE):
                 any_text = True
                 found = coder.decisions(read_symbols(*flat(texts), hasher))
                 for table, slot in zip(tables, [found.node, *found.slots], strict=True):
-                    np.add.at(table, slot * 2 + found.bit, table.dtype.type(1))
+                    np.add.at(table, slot * 2 + found.bit, np.int64(1))
         if any_text:
             part = 0
             for table in tables:
@@ -495,13 +499,17 @@ def score_texts(df: DataFrame, model: Model, text: str = "text", drop_text: bool
     """df with n_tokens, n_known, train_tokens, base_score, score and bits_per_byte."""
     spark = df.sparkSession
     names = ["n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
+    # Names that no column of df has.
+    own_known, own_base, own_bytes, own_rare, own_row, rare_base, rare_known = (
+        free_name(df, n) for n in ("known", "base", "bytes", "rare", "row", "rare_base", "rare_known")
+    )
     fields = [
         StructField("n_tokens", LongType()),
-        StructField("_known", LongType()),
-        StructField("_base", DoubleType()),
+        StructField(own_known, LongType()),
+        StructField(own_base, DoubleType()),
         StructField("score", DoubleType()),
-        StructField("_bytes", LongType()),
-        StructField("_rare", ArrayType(LongType())),
+        StructField(own_bytes, LongType()),
+        StructField(own_rare, ArrayType(LongType())),
     ]
     top = model.words.orderBy(F.desc("n"), "key").limit(FREQUENT).collect()
     frequent = (np.array([r.key for r in top], np.int64), np.array([r.n for r in top], np.int64))
@@ -532,29 +540,29 @@ def score_texts(df: DataFrame, model: Model, text: str = "text", drop_text: bool
 
         return score
 
-    numbered = without(df, [*names, "_row"]).withColumn("_row", F.monotonically_increasing_id())
+    numbered = without(df, names).withColumn(own_row, F.monotonically_increasing_id())
     scored = stored(
         map_texts(numbered, text, fields, start, limit=SLICE, drop_text=drop_text), "lm_scores"
     )
-    rare = scored.select("_row", F.explode("_rare").alias("key"))
+    rare = scored.select(own_row, F.explode(own_rare).alias("key"))
     n = F.coalesce("n", F.lit(0))
     sums = (
         rare.join(model.words, "key", "left")
-        .groupBy("_row")
+        .groupBy(own_row)
         .agg(
-            F.sum(F.log10((n + 0.5) / F.lit(whole))).alias("_rare_base"),
-            F.count("n").alias("_rare_known"),
+            F.sum(F.log10((n + 0.5) / F.lit(whole))).alias(rare_base),
+            F.count("n").alias(rare_known),
         )
     )
-    every = scored.join(sums, "_row", "left")
-    bits = F.when(F.col("_bytes") > 0, -F.col("score") * math.log2(10) / F.col("_bytes"))
-    taken = {"_row", "_known", "_base", "_bytes", "_rare", "n_tokens", "score"}
+    every = scored.join(sums, own_row, "left")
+    bits = F.when(F.col(own_bytes) > 0, -F.col("score") * math.log2(10) / F.col(own_bytes))
+    taken = {own_row, own_known, own_base, own_bytes, own_rare, "n_tokens", "score"}
     return every.select(
         *[F.col(f"`{c}`") for c in scored.columns if c not in taken],
         "n_tokens",
-        (F.col("_known") + F.coalesce("_rare_known", F.lit(0))).alias("n_known"),
+        (F.col(own_known) + F.coalesce(rare_known, F.lit(0))).alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("_base") + F.coalesce("_rare_base", F.lit(0.0))).alias("base_score"),
+        (F.col(own_base) + F.coalesce(rare_base, F.lit(0.0))).alias("base_score"),
         "score",
         bits.alias("bits_per_byte"),
     )

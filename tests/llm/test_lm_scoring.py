@@ -154,3 +154,17 @@ def test_empty_training_table_and_clashes(spark):
     assert [c.lower() for c in found.columns].count("score") == 1 and "lang" in found.columns
     assert {(r.n_known, r.train_tokens, r.base_score) for r in found.collect()} == {(0, 0, 0.0)}
     assert lm.score_texts(frame(spark, []), model).collect() == []
+
+
+def test_counts_beyond_32_bits_are_kept():
+    counts = np.array([0, 1, 2**32 - 1, 2**32, 2**40], np.int64)
+    for some in (counts[:3], counts, counts[:0]):
+        assert lm._unpacked(lm._packed(some)).tolist() == some.tolist()
+
+
+def test_columns_named_like_inner_ones_stay(spark):
+    names = ["known", "base", "bytes", "rare", "row", "_row", "_bytes", "rare_base", "key", "n"]
+    df = frame(spark).selectExpr("*", *(f"'{c}' AS {c}" for c in names))
+    scored = lm.score_texts(df, lm.fit(df))
+    assert scored.filter(" OR ".join(f"{c} <> '{c}'" for c in names)).isEmpty()
+    assert scored.count() == df.count()
