@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ordermill.schemas import KEY_RANGES
 from ordermill.shared import broadcast_if_small, cut
+from ordermill.sources import tables
 
 SLOT = "_slot"
 _TASK_BITS = 33  # monotonically_increasing_id keeps the task above, the row below
@@ -97,7 +98,7 @@ def note_range(
     made = spark.createDataFrame([(table, load_id, first, last)], KEY_RANGES)
     # Two appends to one folder at a time would remove each other's unfinished files.
     with _noting:
-        made.write.mode("append").saveAsTable(ranges)
+        tables.append(made, ranges)
 
 
 def number_file_rows(

@@ -156,7 +156,7 @@ def test_a_failure_after_any_write_loses_nothing(spark, tmp_path, monkeypatch):
                     return call
 
                 with monkeypatch.context() as patch:
-                    for name_of in ("append", "replace_partition"):
+                    for name_of in ("append", "replace_and_see"):
                         patch.setattr(tables, name_of, counted(getattr(tables, name_of)))
                     try:
                         run = f"{drop[0]}{attempt}"
@@ -208,6 +208,25 @@ def test_runs_add_only_what_is_new(warehouse, tmp_path):
     assert _audited(warehouse, "consumption", "sales_fact") == 5
 
 
+def test_only_partitions_of_touched_days_are_read(warehouse, tmp_path):
+    """Loads are found by their noted days and new keys by noted ranges, not by scans."""
+    root, checkpoint = tmp_path / "landing", str(tmp_path / "cp")
+    rates = _rates(tmp_path / "rates.csv", "2023-01-01", "2023-03-01")
+    for day in ("2023-01-01", "2023-03-01"):
+        _drop(root, day, (day, day, 1, "Ann"))
+        warehouse.run(str(root), rates, checkpoint, f"run {day}", AS_OF)
+    warehouse.curate("again")  # notes the days of what the last run has curated
+    last = warehouse.days("source", "in_sales_order").filter("day = '2023-03-01'").select(LOAD_ID)
+    for rows in warehouse.touched_orders(INDIA, last):
+        assert [r["order_id"] for r in rows.select("order_id").collect()] == ["2023-03-01"]
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "SubqueryAdaptiveBroadcast dynamicpruning" in plan
+    ranges = warehouse.table("audit", "key_ranges").orderBy("table_name", "first_key").collect()
+    for one, other in zip(ranges, ranges[1:], strict=False):
+        assert one["table_name"] != other["table_name"] or one["last_key"] < other["first_key"]
+    assert len(ranges) == 4
+
+
 def test_run_after_a_failure_takes_up_what_was_left(warehouse, tmp_path, monkeypatch):
     root, checkpoint = tmp_path / "landing", str(tmp_path / "cp")
     rates = _rates(tmp_path / "rates.csv", "2023-01-01")
