@@ -4,6 +4,10 @@ Every stage works on what is new. Source, curated and fact rows lie in partition
 by the load that wrote them; audit.load_progress says which loads a later stage has
 taken up. A stage that failed half-way is repeated by the next run and replaces or
 recognises what it had already written.
+
+A day that gets a newer file or a late rate is curated again as a whole. Its earlier rows stay
+in their partitions, so nothing is rewritten; audit.retracted_days notes the days of the loads
+that hold them, and the current_ views leave these rows out.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from ordermill import schemas
 from ordermill.operators.dimensions import (
     DATE,
     DIMENSIONS,
+    REGION,
     Dimension,
     build_dimension,
     match,
@@ -95,7 +100,38 @@ class Warehouse:
         self._table("audit", "load_progress", schemas.LOAD_PROGRESS)
         self._table("audit", "key_ranges", schemas.KEY_RANGES)
         self._table("audit", "load_days", schemas.LOAD_DAYS)
+        self._table("audit", "retracted_days", schemas.RETRACTED_DAYS)
         self._table("common", "exchange_rate", schemas.EXCHANGE_RATE)
+        for market in self.rules.markets:
+            self._current_view(
+                "curated", market.source_table,
+                "SELECT load_id, country, day FROM {gone}",
+                "g.load_id = t.load_id AND g.country <=> t.country AND g.day <=> t.order_dt",
+            )
+        self._current_view(
+            "consumption", "sales_fact",
+            "SELECT r.load_id, date_id_pk, region_id_pk FROM {gone} AS r"
+            " JOIN {dates} AS d ON d.order_dt = r.day JOIN {regions} AS n ON n.country = r.country",
+            "g.load_id = t.load_id AND g.date_id_pk = t.date_id_fk AND g.region_id_pk = t.region_id_fk",
+        )
+
+    def _current_view(self, layer: str, table: str, gone: str, same: str) -> None:
+        """The table without its retracted days, which are few rows per load."""
+        noted = self.name("audit", "retracted_days")
+        days = gone.format(
+            gone=f"(SELECT * FROM {noted} WHERE table_name = '{self.name(layer, table)}')",
+            dates=self.name("consumption", DATE.table),
+            regions=self.name("consumption", REGION.table),
+        )
+        self.spark.sql(
+            f"CREATE VIEW IF NOT EXISTS {self.name(layer, f'current_{table}')} AS"
+            f" SELECT t.* FROM {self.name(layer, table)} AS t"
+            f" WHERE NOT EXISTS (SELECT 1 FROM ({days}) AS g WHERE {same})"
+        )
+
+    def current(self, layer: str, table: str) -> DataFrame:
+        """Rows of a curated table or the fact whose day no later load has replaced."""
+        return self.table(layer, f"current_{table}")
 
     def _table(self, layer: str, table: str, schema: T.StructType) -> None:
         tables.create_table(self.spark, self.name(layer, table), schema)
@@ -184,6 +220,20 @@ class Warehouse:
         with self._audit_lock:
             tables.append(made, self.name("audit", "load_days"))
 
+    def retracted(self, layer: str, table: str) -> DataFrame:
+        """The days of each load of a table that a later load has replaced."""
+        noted = self.table("audit", "retracted_days")
+        return noted.filter(F.col("table_name") == self.name(layer, table))
+
+    def _note_retracted(self, layer: str, table: str, days: DataFrame) -> None:
+        """Note days that are not noted yet."""
+        columns = [LOAD_ID, "country", "day"]
+        new = new_members(days.select(*columns), self.retracted(layer, table), columns)
+        named = new.withColumn("table_name", F.lit(self.name(layer, table)))
+        made = cut(named.select(*schemas.RETRACTED_DAYS.fieldNames()), "retracted")
+        with self._audit_lock:
+            tables.append_new(made, self.name("audit", "retracted_days"))
+
     def _complete(self, run_id: str) -> bool:
         stage = self.name("consumption", "sales_fact")
         same = (F.col("stage") == stage) & (F.col("load_id") == run_id)
@@ -196,6 +246,10 @@ class Warehouse:
 
     # Stages
 
+    @property
+    def replaces_days(self) -> bool:
+        return self.rules.replace_days and self.rules.incremental_fact
+
     def load_rates(self, path: str) -> int:
         """Add the days of a rate file that the rate table does not have yet."""
         known = self.table("common", "exchange_rate")
@@ -259,6 +313,8 @@ class Warehouse:
         """
         source = self.rules.market(market.reads_from).source_table
         noted, curated = self.days("source", source), self.days("curated", market.source_table)
+        gone = self.retracted("curated", market.source_table)
+        curated = new_members(curated, gone, [LOAD_ID, "day"])
         rates = self.table("common", "exchange_rate")
         days = noted.join(pending, LOAD_ID, "left_semi").select("day")
         unpriced = curated.filter("unpriced").select("day")
@@ -272,7 +328,10 @@ class Warehouse:
             holding = _on_days(holding.select("order_dt", LOAD_ID), days).select(LOAD_ID).distinct()
             return _on_days(_of_loads(self.table(layer, table), holding), days)
 
-        return on_days("source", source, noted), on_days("curated", market.source_table, curated)
+        known = on_days("curated", market.source_table, curated)
+        gone = gone.select(LOAD_ID, F.col("day").alias("order_dt"))
+        known = new_members(known, gone, [LOAD_ID, "order_dt"])
+        return on_days("source", source, noted), known
 
     def _curate(self, market: Market, run_id: str) -> int:
         reads_from = self.rules.market(market.reads_from)
@@ -285,9 +344,12 @@ class Warehouse:
         rates = self.table("common", "exchange_rate")
         curated = curate_market(source, rates, market, self.rules)
         # Narrow, and none at all for days that are new.
-        known = broadcast_if_small(known.select(*CURATED_IDENTITY))
+        known = broadcast_if_small(known.select(*CURATED_IDENTITY, LOAD_ID, "country", "order_dt"))
         fresh = new_members(curated, known, CURATED_IDENTITY)
         rows = tables.append(fresh.withColumn(LOAD_ID, F.lit(run_id)), stage, LOAD_ID)
+        if self.replaces_days:
+            replaced = replaced_days(known, curated)
+            self._note_retracted("curated", market.source_table, replaced)
         # A repeated run adds to what its lost attempt has written under its name.
         whole = self.table("curated", market.source_table).filter(F.col(LOAD_ID) == run_id)
         self._note(stage, run_id, whole.count())
@@ -317,6 +379,11 @@ class Warehouse:
                 for (load_id,) in loads.collect():
                     written += self._model(load_id, load_id, as_of)
                     self._take(stage, loads.filter(F.col(LOAD_ID) == load_id))
+            # The rows that replace them are there by now.
+            if self.replaces_days:
+                for table in curated:
+                    replaced = self.retracted("curated", table)
+                    self._note_retracted("consumption", "sales_fact", replaced)
             return written
 
     def _model(self, curated_load: str | None, fact_load: str, as_of: dt.date) -> int:
@@ -378,6 +445,21 @@ class Warehouse:
         }
 
 
+def replaced_days(known: DataFrame, curated: DataFrame) -> DataFrame:
+    """Days of earlier loads that have known rows, but none that a day's new curation keeps.
+
+    Orders of a day and load come from files of one time and get their rates together, so a
+    newer file or a late rate replaces all of them or none.
+    """
+    days = [LOAD_ID, "country", F.col("order_dt").alias("day")]
+    rows = curated.select(*(F.col(c).alias(f"_new_{c}") for c in CURATED_IDENTITY))
+    pairs = {c: f"_new_{c}" for c in CURATED_IDENTITY}
+    kept = known.join(rows, match(known, rows, pairs, True), "left_semi")
+    return new_members(
+        known.select(*days).distinct(), kept.select(*days).distinct(), [LOAD_ID, "country", "day"]
+    )
+
+
 def _of_loads(rows: DataFrame, loads: DataFrame) -> DataFrame:
     """Rows of these loads; their partitions are found when the query runs.
 

@@ -46,6 +46,7 @@ class Rules:
         "region",
     )
     incremental_fact: bool = True  # only fact rows that are not there yet
+    replace_days: bool = True  # a day's newer file or late rates retract its earlier orders
     padded_region_key: bool = True  # yyyyMMdd instead of y, m, d without zeros
     running_day_counter: bool = True  # does not restart each January
     whole_tax_in_named_files: bool = False  # Parquet and JSON tax loses its cents
@@ -65,6 +66,7 @@ PARITY = Rules(
     null_safe_members=False,
     customer_keys=("customer_name", "country", "region"),
     incremental_fact=False,
+    replace_days=False,
     padded_region_key=False,
     running_day_counter=False,
     whole_tax_in_named_files=True,

@@ -176,6 +176,9 @@ KEY_RANGES = _struct(
     ("table_name", TEXT), ("load_id", TEXT), ("first_key", KEY), ("last_key", KEY)
 )
 
+# Days of a load that a later load has replaced.
+RETRACTED_DAYS = _struct(("table_name", TEXT), ("load_id", TEXT), ("country", TEXT), ("day", DATE))
+
 # The days that a load's rows lie on, and whether some of them have no dollar amount.
 LOAD_DAYS = _struct(
     ("table_name", TEXT), ("load_id", TEXT), ("day", T.DateType()), ("unpriced", T.BooleanType())

@@ -2,6 +2,7 @@
 
 import csv
 import datetime as dt
+import os
 import uuid
 
 import pytest
@@ -316,3 +317,97 @@ def test_default_markets_have_tables_of_their_own():
         "us_sales_order",
         "fr_sales_order",
     ]
+
+
+def _stamped(root, moment):
+    """Give the files that have none yet the time of their drop."""
+    stamp = dt.datetime(2026, 1, moment, tzinfo=dt.timezone.utc).timestamp()
+    for path in root.rglob("*.csv"):
+        if path.stat().st_mtime > stamp + 30 * 86_400:
+            os.utime(path, (stamp, stamp))
+
+
+def _current(warehouse):
+    """Current orders of the curated table and the fact, with their dollars."""
+    curated = warehouse.current("curated", "in_sales_order")
+    fact = warehouse.current("consumption", "sales_fact")
+    dollars = ("exchange_rate", "us_total_order_amt", "usd_tax_amt")
+    return (
+        sorted(map(str, curated.select("order_id", "order_dt", *dollars).collect())),
+        sorted(map(str, fact.select("order_code", *dollars).collect())),
+    )
+
+
+def test_runs_over_parts_leave_what_one_run_leaves(spark, tmp_path):
+    """Newer, equal and older files of a day, a late rate, and a day without a rate."""
+    drops = (
+        (10, (("A", "2023-01-01"), ("B", "2023-01-02"), ("C", "2023-01-03"))),
+        (11, (("A", "2023-01-01"), ("D", "2023-01-03"), ("E", "2023-01-03"))),
+        (11, (("F", "2023-01-03"),)),
+        (5, (("G", "2023-01-03"), ("H", "2023-01-04"))),
+        (12, (("I", "2023-01-02"),)),
+    )
+    early = _rates(tmp_path / "early.csv", "2023-01-01", "2023-01-03")
+    late = _rates(tmp_path / "late.csv", "2023-01-01", "2023-01-02", "2023-01-03")
+
+    def made(name, several):
+        root, files = tmp_path / name, tmp_path / f"{name}-files"
+        warehouse = Warehouse(spark, str(root), f"w{uuid.uuid4().hex}_", ONLY_INDIA)
+        for i, (moment, orders) in enumerate(drops):
+            _drop(files, "2023-01-01", *((o, day, 1, f"Customer {o}") for o, day in orders))
+            _stamped(files, moment)
+            if several:
+                rates = early if i < 4 else late
+                warehouse.run(str(files), rates, str(root / "cp"), f"run {i}", AS_OF)
+        warehouse.run(str(files), late, str(root / "cp"), "last", AS_OF)
+        warehouse.run(str(files), late, str(root / "cp"), "again", AS_OF)
+        return warehouse, _current(warehouse)
+
+    parts, found = made("parts", True)
+    whole, expected = made("whole", False)
+    assert found == expected
+    codes = [r["order_code"] for r in parts.current("consumption", "sales_fact").collect()]
+    assert sorted(codes) == ["A", "D", "E", "F", "H", "I"]
+    assert whole.table("audit", "retracted_days").isEmpty()
+    assert parts.table("consumption", "sales_fact").count() > len(codes)
+    # Once replaced, a day is not taken up again.
+    assert parts.curate("once more") == 0
+
+
+def test_a_day_is_replaced_when_its_new_rows_are_modelled(warehouse, tmp_path, monkeypatch):
+    root, checkpoint = tmp_path / "landing", str(tmp_path / "cp")
+    rates = _rates(tmp_path / "rates.csv", "2023-01-01")
+    _drop(root, "2023-01-01", ("A", "2023-01-01", 1, "Ann"))
+    _stamped(root, 10)
+    warehouse.run(str(root), rates, checkpoint, "r1", AS_OF)
+    _drop(root, "2023-01-01", ("B", "2023-01-01", 1, "Bob"))
+    warehouse.ingest(str(root), checkpoint)
+
+    def fail(*args):
+        raise RuntimeError("lost")
+
+    def codes():
+        return [r["order_code"] for r in warehouse.current("consumption", "sales_fact").collect()]
+
+    # Lost between the new rows and the note on those they replace.
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "_note_retracted", fail)
+        with pytest.raises(RuntimeError):
+            warehouse.curate("r2")
+    warehouse.curate("r3")
+    curated = warehouse.current("curated", "in_sales_order")
+    assert [r["order_id"] for r in curated.collect()] == ["B"]
+    assert codes() == ["A"]
+    warehouse.model("r3", AS_OF)
+    assert codes() == ["B"]
+
+
+def test_parity_keeps_replaced_days(spark, tmp_path):
+    rules = Rules(markets=(INDIA,), replace_days=PARITY.replace_days)
+    warehouse = Warehouse(spark, str(tmp_path / "wh"), f"w{uuid.uuid4().hex}_", rules)
+    root, rates = tmp_path / "landing", _rates(tmp_path / "rates.csv", "2023-01-01")
+    for moment, order in ((10, "A"), (11, "B")):
+        _drop(root, "2023-01-01", (order, "2023-01-01", 1, "Ann"))
+        _stamped(root, moment)
+        warehouse.run(str(root), rates, str(tmp_path / "cp"), order, AS_OF)
+    assert warehouse.current("consumption", "sales_fact").count() == 2
