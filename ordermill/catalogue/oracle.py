@@ -348,18 +348,25 @@ def _warehouse_counts() -> str:
 
 
 # Every accepted order ends up in the fact: of each drop of files, all orders of a day are latest.
-RECOVERED = f"""WITH {SALES},{RATES},{_landed()},
+def _dropped(only: str = "") -> str:
+    return f"""WITH {SALES},{RATES},{_landed()},
 latest AS (
   SELECT * REPLACE (
     CAST(tax_amount + CASE WHEN cents THEN 0.50 ELSE 0 END AS DECIMAL(10,2)) AS tax_amount)
   FROM landed
   WHERE bad_fields = '' AND payment_status = 'Paid' AND shipping_status = 'Delivered'
+  {only}
 ),{_curate('usd2usd')}
 SELECT order_id AS order_code, order_dt, country, region, customer_name, contact_no,
   shipping_address, payment_method, payment_provider, mobile_key,
   COALESCE(promotion_code, 'NA') AS promotion_code, {", ".join(MEASURES)}
 FROM curated"""
 
+
+# The files of a drop have one time, so the later drop that has a day has its orders.
+LATER_DROP = """QUALIFY sales_order_key % 2
+    = MAX(sales_order_key % 2) OVER (PARTITION BY country, order_dt)"""
+
 ORPHANS = " UNION ALL ".join(
     f"""SELECT '{name}_dim' AS dimension, CAST({name}_id_fk AS VARCHAR) AS key_value,
       COUNT(*) AS fact_rows FROM fact_rows WHERE {name}_id_fk % {every} = 0 GROUP BY ALL"""
@@ -494,5 +501,6 @@ SQL: dict[str, str] = {
       COUNT(*) FILTER (WHERE us_total_order_amt IS NULL) AS without_rate
     FROM curated GROUP BY country""",
     "warehouse_rerun": _warehouse_counts(),
-    "warehouse_recovery": RECOVERED,
+    "warehouse_recovery": _dropped(),
+    "fact_replaced_days": _dropped(LATER_DROP),
 }

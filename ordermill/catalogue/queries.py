@@ -593,8 +593,8 @@ class _Interrupted(Warehouse):
         super()._note(table, load_id, written, rejected)
 
 
-def warehouse_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Facts after two drops of files, of which the first run over the first one breaks off."""
+def _after_two_drops(spark: SparkSession, sf_dir: str, interrupted: bool) -> Warehouse:
+    """A warehouse after two drops of files; the first run over the first one may break off."""
     root, rate_files = new_folder(spark, "landing"), new_folder(spark, "rates")
     sample_landing.write_rates(spark, sf_dir, rate_files, "date")
     place = (new_folder(spark, "warehouse"), f"w{uuid.uuid4().hex}_")
@@ -608,7 +608,7 @@ def warehouse_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         # The drop's files get one time, so all its orders of a day are latest together.
         sample_landing.stamp_new_files(spark, root, dt.datetime(2026, 1, 20 + drop))
-        if drop == 0:
+        if interrupted and drop == 0:
             try:
                 _Interrupted(spark, *place).run(root, rate_files, checkpoint, "lost", AS_OF)
             except RuntimeError as lost:
@@ -617,7 +617,11 @@ def warehouse_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
         Warehouse(spark, *place).run(root, rate_files, checkpoint, f"run{drop}", AS_OF)
     warehouse = Warehouse(spark, *place)
     warehouse.run(root, rate_files, checkpoint, "again", AS_OF)
-    fact = warehouse.table("consumption", "sales_fact")
+    return warehouse
+
+
+def _orders_of(warehouse: Warehouse, fact: DataFrame) -> DataFrame:
+    """Fact rows with what their keys stand for."""
     for key, dimension in facts.FOREIGN_KEYS.items():
         members = warehouse.table("consumption", dimension.table)
         if dimension is not dims.REGION:
@@ -631,6 +635,18 @@ def warehouse_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def warehouse_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts after two drops of files, of which the first run over the first one breaks off."""
+    warehouse = _after_two_drops(spark, sf_dir, interrupted=True)
+    return _orders_of(warehouse, warehouse.table("consumption", "sales_fact"))
+
+
+def fact_replaced_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current facts after two drops: those of the second one on all days that it has."""
+    warehouse = _after_two_drops(spark, sf_dir, interrupted=False)
+    return _orders_of(warehouse, warehouse.current("consumption", "sales_fact"))
+
+
 QUERIES: dict[str, Query] = {
     "curated_usd_orders": curated_usd_orders,
     "curated_usd_orders_parity": curated_usd_orders_parity,
@@ -686,4 +702,5 @@ QUERIES: dict[str, Query] = {
     "missing_rate_audit": missing_rate_audit,
     "warehouse_rerun": warehouse_rerun,
     "warehouse_recovery": warehouse_recovery,
+    "fact_replaced_days": fact_replaced_days,
 }
