@@ -373,6 +373,81 @@ ORPHANS = " UNION ALL ".join(
     for name, every in (("payment", 7), ("product", 10), ("customer", 100))
 )
 
+RECONCILED = f"""WITH {CURATED}, expected AS (
+  SELECT sales_order_key % 97 AS load_id, COUNT(*) AS expected_rows,
+    COUNT(*) FILTER (WHERE sales_order_key % 970 = 0) AS lost,
+    COUNT(*) FILTER (WHERE sales_order_key % 776 = 8 AND sales_order_key % 970 <> 0) AS doubled,
+    COUNT(*) FILTER (WHERE sales_order_key % 873 = 20 AND sales_order_key % 970 <> 0) AS changed
+  FROM curated WHERE order_dt IS NOT NULL GROUP BY 1
+)
+SELECT load_id, expected_rows, expected_rows - lost + doubled AS found_rows,
+  CASE WHEN doubled < lost THEN 'lost' WHEN doubled > lost THEN 'doubled' ELSE 'changed' END
+    AS verdict
+FROM expected WHERE lost + doubled + changed > 0"""
+
+
+def _moving(position: int) -> str:
+    """A rate in units of 1e-7, moved by the day, with the planted jumps and stale days."""
+    units = f"CAST({RATE_COLUMNS[position]} * 10000000 AS BIGINT)"
+    moved = f"{units} + (dayofyear(rate_dt) * 37 % 41 - 20) * ({units} // 20000)"
+    planted = {
+        3: f"{moved} + CASE WHEN dayofyear(rate_dt) % 97 = 0 THEN 3000000 ELSE 0 END",
+        5: f"CASE WHEN dayofyear(rate_dt) BETWEEN 40 AND 50 THEN 1185000000 ELSE {moved} END",
+    }
+    return f"{planted.get(position, moved)} AS {RATE_COLUMNS[position]}"
+
+
+RATE_OUTLIERS = f"""WITH {RATES}, moving AS (
+  SELECT rate_dt, CAST(usd2usd * 10000000 AS BIGINT) AS usd2usd,
+    {", ".join(_moving(i) for i in range(1, len(RATE_COLUMNS)))}
+  FROM rates
+),
+planted AS (
+  SELECT * REPLACE (
+    CASE WHEN dayofyear(rate_dt) % 113 = 0 THEN usd2can ELSE usd2eu END AS usd2eu,
+    CASE WHEN dayofyear(rate_dt) % 113 = 0 THEN usd2eu ELSE usd2can END AS usd2can)
+  FROM moving
+),
+listed AS (UNPIVOT planted ON {", ".join(RATE_COLUMNS)} INTO NAME currency VALUE u),
+seen AS (
+  SELECT *, COUNT(*) OVER before AS n, MEDIAN(u) OVER before AS m, MAD(u) OVER before AS spread,
+    ROW_NUMBER() OVER (PARTITION BY currency ORDER BY rate_dt) AS place
+  FROM listed
+  WINDOW before AS (PARTITION BY currency ORDER BY rate_dt ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)
+),
+unmoved AS (
+  SELECT a.currency, a.rate_dt FROM seen AS a JOIN seen AS b
+    ON a.currency = b.currency AND b.place BETWEEN a.place - 4 AND a.place
+  GROUP BY ALL HAVING COUNT(*) = 5 AND MIN(b.u) = MAX(b.u)
+),
+jumps AS (
+  SELECT currency, rate_dt,
+    EXISTS (FROM listed AS o WHERE o.rate_dt = s.rate_dt AND ABS(o.u - s.m) * 50 <= s.m) AS fits
+  FROM seen AS s
+  WHERE (n >= 10 AND ABS(u - m) > 8 * spread AND ABS(u - m) * 50 > m)
+    OR (currency = 'usd2usd' AND u <> 10000000)
+)
+SELECT s.rate_dt, s.currency,
+  CAST(CAST(u AS DECIMAL(18,0)) * CAST(0.0000001 AS DECIMAL(8,7)) AS DECIMAL(10,7)) AS rate,
+  CAST(CAST(2 * m AS DECIMAL(18,0)) * CAST(0.00000005 AS DECIMAL(9,8)) AS DECIMAL(18,8)) AS median,
+  CASE WHEN fits THEN 'swapped' WHEN j.currency IS NOT NULL THEN 'jump' ELSE 'stale' END AS kind
+FROM seen AS s
+LEFT JOIN jumps AS j ON s.currency = j.currency AND s.rate_dt = j.rate_dt
+LEFT JOIN unmoved AS v ON s.currency = v.currency AND s.rate_dt = v.rate_dt
+WHERE j.currency IS NOT NULL OR (v.currency IS NOT NULL AND s.currency <> 'usd2usd')"""
+
+# Only orders that have dollars, or should have them, can be wrong.
+WRONG_DOLLARS = f"""WITH {CURATED}
+SELECT country, sales_order_key,
+  CASE WHEN sales_order_key % 103 <> 0 THEN exchange_rate END AS exchange_rate,
+  exchange_rate AS expected_exchange_rate,
+  CAST(us_total_order_amt + CASE WHEN sales_order_key % 101 = 0 THEN 0.00000001 ELSE 0 END
+    AS DECIMAL(23,8)) AS us_total_order_amt,
+  us_total_order_amt AS expected_us_total_order_amt
+FROM curated
+WHERE us_total_order_amt IS NOT NULL
+  AND (sales_order_key % 101 = 0 OR sales_order_key % 103 = 0)"""
+
 SQL: dict[str, str] = {
     "curated_usd_orders": f"WITH {CURATED} SELECT * FROM curated",
     "curated_usd_orders_parity": f"WITH {CURATED_PARITY} SELECT * FROM curated",
@@ -500,6 +575,9 @@ SQL: dict[str, str] = {
     SELECT country, COUNT(*) AS orders,
       COUNT(*) FILTER (WHERE us_total_order_amt IS NULL) AS without_rate
     FROM curated GROUP BY country""",
+    "layer_reconciliation": RECONCILED,
+    "rate_outliers": RATE_OUTLIERS,
+    "wrong_dollars": WRONG_DOLLARS,
     "warehouse_rerun": _warehouse_counts(),
     "warehouse_recovery": _dropped(),
     "fact_replaced_days": _dropped(LATER_DROP),

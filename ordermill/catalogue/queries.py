@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ordermill import schemas
 from ordermill.operators import dimensions as dims
-from ordermill.operators import facts, filters, keys, latest, quality, rates
+from ordermill.operators import facts, filters, keys, latest, quality, rates, reconcile
 from ordermill.plans.curate import curate_market, curate_orders
 from ordermill.plans.warehouse import REJECTS, Warehouse
 from ordermill.rules import DEFAULT, FRANCE, INDIA, PARITY, USA, Market, Rules
@@ -541,6 +541,66 @@ def missing_rate_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.missing_rates(_curated(spark, sf_dir))
 
 
+def layer_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads whose facts are not their curated orders, after some were lost, doubled or changed."""
+    curated = cut(_curated(spark, sf_dir), "curated")
+    fact = facts.fact_rows(curated, _dimension_tables(curated))
+    load, key = (F.col("sales_order_key") % 97).alias(LOAD_ID), F.col("sales_order_key")
+    lost, doubled, changed = (key % 970 == 0), (key % 776 == 8), (key % 873 == 20)
+    quantity = F.col("order_quantity") + F.when(changed, 1).otherwise(0)
+    copies = F.explode(F.when(doubled, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    fact = fact.filter(~lost).withColumn("order_quantity", quantity).withColumn("copy", copies)
+    # Orders without a day have no fact.
+    dated = curated.filter(F.col("order_dt").isNotNull())
+    return reconcile.differences(
+        dated.select("*", load), fact.select("*", load), [LOAD_ID], reconcile.FACT_CONTENT
+    )
+
+
+def _moving_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sample rates that move a little each day, with planted jumps, stale and swapped rates."""
+    day = F.dayofyear("rate_dt")
+    moved = {}
+    for name in sample.RATE_COLUMNS[1:]:
+        units = (F.col(name) * rates.UNITS).cast("bigint")
+        moved[name] = units + (day * 37 % 41 - 20) * F.expr(f"cast({name} * {rates.UNITS} AS bigint) div 20000")
+    moved["usd2uk"] += F.when(day % 97 == 0, 3_000_000).otherwise(0)
+    moved["usd2jp"] = F.when(day.between(40, 50), 1_185_000_000).otherwise(moved["usd2jp"])
+    swapped = day % 113 == 0
+    moved["usd2eu"], moved["usd2can"] = (
+        F.when(swapped, moved["usd2can"]).otherwise(moved["usd2eu"]),
+        F.when(swapped, moved["usd2eu"]).otherwise(moved["usd2can"]),
+    )
+    unit = F.lit("0.0000001").cast("decimal(8,7)")
+    values = (
+        (v.cast("decimal(18,0)") * unit).cast("decimal(10,7)").alias(n) for n, v in moved.items()
+    )
+    return sample.daily_rates(spark, sf_dir).select("rate_dt", "usd2usd", *values)
+
+
+def rate_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rates.rate_outliers(_moving_rates(spark, sf_dir))
+
+
+def wrong_dollars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders curated with rates of which some were not those of their day."""
+    key = F.col("sales_order_key")
+    curated = _curated(spark, sf_dir)
+    cent = F.lit("0.00000001").cast("decimal(9,8)")
+    dollars = F.col("us_total_order_amt")
+    tampered = curated.withColumns(
+        {
+            "us_total_order_amt": F.when(key % 101 == 0, dollars + cent).otherwise(dollars).cast("decimal(23,8)"),
+            "exchange_rate": F.when(key % 103 != 0, F.col("exchange_rate")),
+        }
+    )
+    found = rates.wrong_dollars(tampered, sample.daily_rates(spark, sf_dir))
+    return found.select(
+        "country", "sales_order_key", "exchange_rate", "expected_exchange_rate",
+        "us_total_order_amt", "expected_us_total_order_amt",
+    )
+
+
 def warehouse_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job twice over all files: what the tables hold after the second run."""
     root = _landed(spark, sf_dir, *DEFAULT.markets)
@@ -700,6 +760,9 @@ QUERIES: dict[str, Query] = {
     "dim_pk_duplicates": dim_pk_duplicates,
     "fact_fk_orphans": fact_fk_orphans,
     "missing_rate_audit": missing_rate_audit,
+    "layer_reconciliation": layer_reconciliation,
+    "rate_outliers": rate_outliers,
+    "wrong_dollars": wrong_dollars,
     "warehouse_rerun": warehouse_rerun,
     "warehouse_recovery": warehouse_recovery,
     "fact_replaced_days": fact_replaced_days,

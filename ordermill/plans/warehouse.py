@@ -32,7 +32,10 @@ from ordermill.operators.dimensions import (
     new_members,
 )
 from ordermill.operators.facts import build_fact, union_orders
+from ordermill.operators.filters import paid_and_delivered, tag_market
 from ordermill.operators.keys import next_start, note_range
+from ordermill.operators.latest import latest_file_per_day
+from ordermill.operators.reconcile import FACT_CONTENT, SOURCE_CONTENT, differences
 from ordermill.plans.curate import curate_market
 from ordermill.rules import DEFAULT, Market, Rules
 from ordermill.shared import broadcast_if_small, cut, scratch, shuffles_for, together
@@ -426,6 +429,42 @@ class Warehouse:
         self._note(name, fact_load, seen["rows"])
         return seen["rows"]
 
+    def reconcile(self) -> DataFrame:
+        """Where the layers do not hold the same orders: table, load or day, rows and verdict.
+
+        Facts are compared with the curated orders of each load, and the current curated orders
+        of each day with the latest paid and delivered ones of the source. Only loads that the
+        later layer has taken up count. Empty where nothing was lost, doubled or changed;
+        parity keeps superseded orders, so there only facts are compared.
+        """
+        fact = self.name("consumption", "sales_fact")
+        taken = self.table("audit", "load_progress")
+        modelled = taken.filter(F.col("stage") == fact).select(LOAD_ID)
+        curated = [self.table("curated", m.source_table) for m in self.rules.markets]
+        # Orders without a day have no fact.
+        dated = reduce(DataFrame.unionByName, curated).filter(F.col("order_dt").isNotNull())
+        found = [
+            differences(
+                _of_loads(dated, modelled), _of_loads(self.spark.table(fact), modelled),
+                [LOAD_ID], FACT_CONTENT,
+            ).withColumn("table_name", F.lit(fact)).withColumn("day", F.lit(None).cast("date"))
+        ]
+        for market in self.rules.markets if self.replaces_days else ():
+            name = self.name("curated", market.source_table)
+            source = self.table("source", self.rules.market(market.reads_from).source_table)
+            orders = _of_loads(source, taken.filter(F.col("stage") == name).select(LOAD_ID))
+            latest = latest_file_per_day(paid_and_delivered(tag_market(orders, market)))
+            days = differences(
+                latest.withColumn("day", F.col("order_dt")),
+                self.current("curated", market.source_table).withColumn("day", F.col("order_dt")),
+                ["day"], SOURCE_CONTENT,
+            )
+            found.append(
+                days.withColumn("table_name", F.lit(name)).withColumn(LOAD_ID, F.lit(None).cast("string"))
+            )
+        columns = ("table_name", LOAD_ID, "day", "expected_rows", "found_rows", "verdict")
+        return reduce(DataFrame.unionByName, (rows.select(*columns) for rows in found))
+
     def run(
         self,
         landing_root: str,

@@ -411,3 +411,26 @@ def test_parity_keeps_replaced_days(spark, tmp_path):
         _stamped(root, moment)
         warehouse.run(str(root), rates, str(tmp_path / "cp"), order, AS_OF)
     assert warehouse.current("consumption", "sales_fact").count() == 2
+
+
+def test_reconciliation_names_what_was_tampered_with(warehouse, tmp_path):
+    root, checkpoint = tmp_path / "landing", str(tmp_path / "cp")
+    rates = _rates(tmp_path / "rates.csv", "2023-01-01")
+    for moment, orders in ((10, "AB"), (11, "CD")):
+        _drop(root, "2023-01-01", *((o, "2023-01-01", 1, "Ann") for o in orders))
+        _stamped(root, moment)
+        warehouse.run(str(root), rates, checkpoint, f"r{moment}", AS_OF)
+    assert warehouse.reconcile().isEmpty()
+    fact, curated = warehouse.name("consumption", "sales_fact"), warehouse.name("curated", "in_sales_order")
+    # Copies of the partitions, as a table cannot be read while it is overwritten.
+    facts = warehouse.spark.table(fact).filter("load_id = 'r10'").drop(LOAD_ID).collect()
+    kept = warehouse.spark.createDataFrame(facts, schemas.SALES_FACT).filter("order_code = 'A'")
+    tables.replace_partition(kept, fact, LOAD_ID, "r10")
+    doubled = warehouse.spark.table(curated).filter("order_id = 'D'").collect()
+    tables.append(warehouse.spark.createDataFrame(doubled, warehouse.spark.table(curated).schema), curated, LOAD_ID)
+    found = [tuple(r)[1:] for r in warehouse.reconcile().collect()]
+    assert sorted(found, key=repr) == [
+        ("r10", None, 2, 1, "lost"),
+        ("r11", None, 3, 2, "lost"),
+        (None, dt.date(2023, 1, 1), 2, 3, "doubled"),
+    ]
