@@ -98,7 +98,8 @@ class Symbols(NamedTuple):
     sizes: np.ndarray  # symbols per text
 
 
-def read_symbols(data: np.ndarray, offsets: np.ndarray, hasher: SpanHasher) -> Symbols:
+def _laid_out(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts apart from each other, which places are ends, and which are symbols."""
     lengths = np.diff(offsets)
     n = len(lengths)
     # Four zero bytes before each text and one after it, for the end.
@@ -109,11 +110,35 @@ def read_symbols(data: np.ndarray, offsets: np.ndarray, hasher: SpanHasher) -> S
     is_end[offsets[1:] + 5 * np.arange(n) + 4] = True
     inside = is_end.copy()
     inside[places] = True
+    return wide, is_end, inside
+
+
+def _contexts(last: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Contexts of the code trees, from the last two bytes."""
+    return (second & (CLASSES - 1)).astype(np.int64) << 8 | last
+
+
+def cell_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The context and symbol of every symbol, ends included, as context * CELL + symbol."""
+    wide, is_end, inside = _laid_out(data, offsets)
+    at = np.flatnonzero(inside)
+    symbol = wide[at].astype(np.int64)
+    symbol[is_end[at]] = END
+    return _contexts(wide[at - 1], wide[at - 2]) * CELL + symbol
+
+
+def read_symbols(data: np.ndarray, offsets: np.ndarray, hasher: SpanHasher) -> Symbols:
+    lengths = np.diff(offsets)
+    wide, is_end, inside = _laid_out(data, offsets)
     at = np.flatnonzero(inside)
     wide32 = wide.astype(np.uint32)
-    four = wide32[at - 1] << np.uint32(24) | wide32[at - 2] << np.uint32(16)
-    four |= wide32[at - 3] << np.uint32(8) | wide32[at - 4]
-    context = (wide32[at - 2] & np.uint32(CLASSES - 1)) << np.uint32(8) | wide32[at - 1]
+    # Of every place, then of the symbols: neighbours are cheaper than lookups.
+    before = np.zeros(len(wide), np.uint32)
+    before[4:] = wide32[3:-1] << np.uint32(24)
+    for back in (2, 3, 4):
+        before[4:] |= wide32[4 - back : len(wide) - back] << np.uint32(32 - 8 * back)
+    four = before[at]
+    context = _contexts(four >> np.uint32(24), four >> np.uint32(16) & np.uint32(255))
     starts = np.where(BREAK[wide] | ~inside | is_end, np.arange(len(wide)) + 1, 0)
     starts[is_end] = 0
     starts = np.maximum.accumulate(starts)
@@ -123,7 +148,7 @@ def read_symbols(data: np.ndarray, offsets: np.ndarray, hasher: SpanHasher) -> S
     word = hasher.spans(hasher.prefix(wide), begin, at)
     symbol = wide[at].astype(np.int64)
     symbol[is_end[at]] = END
-    return Symbols(symbol, context.astype(np.int64), four, word, lengths + 1)
+    return Symbols(symbol, context, four, word, lengths + 1)
 
 
 class Code(NamedTuple):
@@ -207,17 +232,18 @@ class Coder:
 
     def __init__(self, code: Code) -> None:
         self.code = code
-        self.index = IntMap(code.keys, np.arange(len(code.keys)))
+        self.entries = np.full((CONTEXTS + 1) * CELL, NONE, np.int32)
+        self.entries[code.keys] = np.arange(len(code.keys))
 
     def decisions(self, symbols: Symbols) -> Decisions:
         code = self.code
-        entry = self.index.get(symbols.context * CELL + symbols.symbol)
+        entry = self.entries[symbols.context * CELL + symbols.symbol]
         lost = np.flatnonzero(entry == NONE)
         # A symbol that its tree lacks is an escape, if there is a tree, then one of all symbols.
-        owner = np.arange(len(entry))
         if len(lost):
-            escape = self.index.get(symbols.context[lost] * CELL + ESCAPE)
-            plain = self.index.get(CONTEXTS * CELL + symbols.symbol[lost])
+            owner = np.arange(len(entry))
+            escape = self.entries[symbols.context[lost] * CELL + ESCAPE]
+            plain = self.entries[CONTEXTS * CELL + symbols.symbol[lost]]
             entry[lost] = escape
             entry = np.insert(entry, lost + 1, plain)
             owner = np.insert(owner, lost + 1, lost)
@@ -228,7 +254,9 @@ class Coder:
         total = int(ends[-1]) if len(ends) else 0
         path = np.repeat((code.first[entry] - (ends - sizes)).astype(np.int32), sizes)
         path += np.arange(total, dtype=np.int32)
-        per_symbol = np.bincount(owner, weights=sizes, minlength=len(symbols.symbol)).astype(np.int64)
+        per_symbol = sizes
+        if len(lost):
+            per_symbol = np.bincount(owner, weights=sizes, minlength=len(symbols.symbol)).astype(np.int64)
         node = code.nodes[path]
         with np.errstate(over="ignore"):
             mixed = node.astype(np.uint32) * np.uint32(0x85EBCA6B)
@@ -305,7 +333,8 @@ class Scorer:
         for first, last in zip(steps, steps[1:], strict=False):
             here = slice(cut[first], cut[last])
             own, counts = text[first:last], per_block[first:last]
-            row = np.repeat(own.astype(np.int32) * GATES, counts)
+            # As wide as places are, or each use would widen it again.
+            row = np.repeat(own.astype(np.intp) * GATES, counts)
             row += gate[here]
             inputs = known[:, here]
             logit = weights[0].take(row, mode="clip")
@@ -319,7 +348,9 @@ class Scorer:
             # One and the odds of the other bit: its logarithm is what the bit costs.
             whole = np.exp(logit, out=logit)
             whole += 1
-            total[own] -= summed(np.log(whole), counts)
+            # Every block has a symbol and every symbol a decision, so no stretch is empty.
+            begins = cut[first:last] - cut[first]
+            total[own] -= np.add.reduceat(np.log(whole), begins, dtype=np.float64)
             if last == len(text):
                 break
             # The probability of the other bit, with the sign of the bit.
@@ -352,8 +383,7 @@ def _partition_counts(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[
     for batch in batches:
         for _, texts in slices(batch, text, SLICE):
             data, offsets = flat(texts)
-            symbols = read_symbols(data, offsets, hasher)
-            np.add.at(cells, symbols.context * CELL + symbols.symbol, 1)
+            np.add.at(cells, cell_keys(data, offsets), 1)
             texts_seen += len(texts)
             keys, counts = np.unique(word_keys(data, offsets, hasher)[0], return_counts=True)
             words.append((keys, counts))
@@ -393,18 +423,27 @@ def _partition_tables(code: Code, text: str) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, hasher = Coder(code), SpanHasher()
-        tables = [np.zeros(2 * code.n_nodes, np.int64)]
-        tables += [np.zeros(2 * SLOTS, np.int64) for _ in range(HASHED)]
+        lengths = [2 * code.n_nodes, *[2 * SLOTS] * HASHED]
+        tables = [np.zeros(n, np.int64) for n in lengths]
+        # Narrow counts stay closer to the core; they are added up before one can overflow.
+        narrow, counted = [np.zeros(n, np.uint32) for n in lengths], 0
         any_text = False
         for batch in batches:
             for _, texts in slices(batch, text, SLICE):
                 any_text = True
                 found = coder.decisions(read_symbols(*flat(texts), hasher))
-                for table, slot in zip(tables, [found.node, *found.slots], strict=True):
-                    np.add.at(table, slot * 2 + found.bit, np.int64(1))
+                if counted + len(found.node) >= 1 << 32:
+                    for table, few in zip(tables, narrow, strict=True):
+                        table += few
+                        few[:] = 0
+                    counted = 0
+                counted += len(found.node)
+                for few, slot in zip(narrow, [found.node, *found.slots], strict=True):
+                    np.add.at(few, slot * 2 + found.bit, np.uint32(1))
         if any_text:
             part = 0
-            for table in tables:
+            for table, few in zip(tables, narrow, strict=True):
+                table += few
                 for at in range(0, len(table), 2 * BLOCK_SLOTS):
                     raw = _packed(table[at : at + 2 * BLOCK_SLOTS])
                     yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([raw], pa.binary())], names=["part", "counts"])
