@@ -85,7 +85,7 @@ GATES = len(START) * DEPTHS
 FREQUENT = 1 << 17
 END_KEY = 1
 FLUSH_KEYS = 1_000_000
-SLICE = 500_000
+SLICE = 250_000
 
 
 class Symbols(NamedTuple):
@@ -305,8 +305,12 @@ class Scorer:
         number = np.arange(len(text)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
         start = (np.cumsum(symbols.sizes) - symbols.sizes)[text] + number * BLOCK
         size = np.minimum(BLOCK, symbols.sizes[text] - number * BLOCK)
-        order = np.lexsort((text, number))
-        text, number, start, size = text[order], number[order], start[order], size[order]
+        # Longer texts come first, so those that have a block of some number stand side by side.
+        by_length = np.argsort(-blocks, kind="stable")
+        place = np.empty(n, np.int64)
+        place[by_length] = np.arange(n)
+        order = np.lexsort((place[text], number))
+        number, start, size = number[order], start[order], size[order]
         ends = np.cumsum(size)
         at = np.repeat(start - (ends - size), size) + np.arange(int(ends[-1]) if n else 0)
         found = self.coder.decisions(
@@ -332,9 +336,10 @@ class Scorer:
         cut = np.concatenate([[0], np.cumsum(per_block)])
         for first, last in zip(steps, steps[1:], strict=False):
             here = slice(cut[first], cut[last])
-            own, counts = text[first:last], per_block[first:last]
+            counts = per_block[first:last]
+            active = len(counts)
             # As wide as places are, or each use would widen it again.
-            row = np.repeat(own.astype(np.intp) * GATES, counts)
+            row = np.repeat(np.arange(active, dtype=np.intp) * GATES, counts)
             row += gate[here]
             inputs = known[:, here]
             logit = weights[0].take(row, mode="clip")
@@ -350,17 +355,17 @@ class Scorer:
             whole += 1
             # Every block has a symbol and every symbol a decision, so no stretch is empty.
             begins = cut[first:last] - cut[first]
-            total[own] -= np.add.reduceat(np.log(whole), begins, dtype=np.float64)
-            if last == len(text):
+            total[:active] -= np.add.reduceat(np.log(whole), begins, dtype=np.float64)
+            if last == len(number):
                 break
             # The probability of the other bit, with the sign of the bit.
             miss = np.reciprocal(whole, out=whole)
             miss -= 1
             miss *= other[here]
             for k in range(HASHED + 1):
-                moved = np.bincount(row, miss * inputs[k], minlength=n * GATES)
-                weights[k] += RATE * moved
-        return total / math.log(10)
+                moved = np.bincount(row, miss * inputs[k], minlength=active * GATES)
+                weights[k, : active * GATES] += RATE * moved
+        return total[place] / math.log(10)
 
 
 def _partition_counts(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
