@@ -51,10 +51,12 @@ class Shape:
 
     lead: the character in front of every piece but a file's first one, if it belongs to the
     piece (else pieces are joined by glue). The first piece then stands before all records.
+    nested: pieces may change the depth.
     """
 
     glue: str
     lead: bool
+    nested: bool = True
 
     @property
     def first_depth(self) -> int:
@@ -150,6 +152,7 @@ def _along_files(chunks: DataFrame, effects: DataFrame, shape: Shape) -> DataFra
         F.coalesce("total1", "sum1").alias("total1"),
         F.coalesce("least0", "head").alias("least0"),
         F.coalesce("least1", "sum1").alias("least1"),
+        "begun0", "begun1",
     )
     in_file = Window.partitionBy(FILE).orderBy(BLOCK, CHUNK)
     earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
@@ -170,6 +173,7 @@ def _along_files(chunks: DataFrame, effects: DataFrame, shape: Shape) -> DataFra
     return rows.select(
         *_PLACE, "first", "pieces", "head", "skips", calm.alias("calm"),
         F.col("state0").alias("state"), "depth",
+        F.when(F.col("state0") == 0, F.col("begun0")).otherwise(F.col("begun1")).alias("known"),
         F.col("after0").alias("last_state"),
         after.alias("last_depth"),
     )
@@ -206,13 +210,19 @@ def _begun(narrow: DataFrame, chunks: DataFrame, shape: Shape) -> DataFrame:
     window = _in_chunks()
     odd = chunks.where("NOT neutral").select(*_PLACE)
     sums = _depths(_states(narrow.join(odd, _PLACE, "left_semi"), window), window)
+    # Without depths, the state at a chunk's start says which of its pieces begin records.
+    starts = {s: F.lit(not shape.nested) & (F.col(f"state{s}") == 0) & ~F.col("skip") for s in (0, 1)}
     found = sums.groupBy(*_PLACE).agg(
         *(F.max_by(c, SLOT).alias(c) for c in ("after0", "after1")),
         *(F.max_by(f"sum{s}", SLOT).alias(f"total{s}") for s in (0, 1)),
         *(F.min(f"low{s}").alias(f"least{s}") for s in (0, 1)),
+        *(
+            (F.lit(None) if shape.nested else F.sum(starts[s].cast("long"))).cast("long").alias(f"begun{s}")
+            for s in (0, 1)
+        ),
     )
     chunks = cut(_along_files(chunks, found, shape), "states")
-    odd = chunks.where("NOT calm").select(*_PLACE, "state", "depth")
+    odd = chunks.where("NOT calm AND known IS NULL").select(*_PLACE, "state", "depth")
     counts = _placed(narrow.join(odd, _PLACE)).groupBy(*_PLACE).agg(
         F.sum(F.col("begins").cast("long")).alias("begun")
     )
@@ -220,7 +230,7 @@ def _begun(narrow: DataFrame, chunks: DataFrame, shape: Shape) -> DataFrame:
     own = F.col("pieces") - F.col("skips") - F.col("head")
     return chunks.join(counts, _PLACE, "left").select(
         *_PLACE, "first", "head", "state", "depth", "last_state", "last_depth",
-        F.coalesce("begun", F.when(level, own), F.lit(0)).cast("long").alias("begun"),
+        F.coalesce("known", "begun", F.when(level, own), F.lit(0)).cast("long").alias("begun"),
         (F.col("calm") & level & (F.col("skips") == 0)).alias("whole"),
     )
 
@@ -247,7 +257,8 @@ def records(labelled: DataFrame, shape: Shape, keep: list[str]) -> DataFrame:
             *(F.lit(0).alias(c) for c in ("state", "depth", "last_state", "last_depth")),
         )
     else:
-        chunks = _begun(labelled.select(*_PLACE, SLOT, *effects), chunks, shape)
+        # Read twice below, by chunk and by file.
+        chunks = cut(_begun(labelled.select(*_PLACE, SLOT, *effects), chunks, shape), "begun")
     in_file = Window.partitionBy(FILE).orderBy(BLOCK, CHUNK)
     earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
     chunks = chunks.withColumn("offset", F.coalesce(F.sum("begun").over(earlier), F.lit(0)))
@@ -320,30 +331,39 @@ def records(labelled: DataFrame, shape: Shape, keep: list[str]) -> DataFrame:
 def csv_effect(line: Column, sep: str = ",", quote: str = '"') -> Effect:
     """Lines of a CSV file. A quote opens a value only at its start, and doubled ones are text."""
 
-    def odd(field: Column) -> Column:
-        return (F.length(field) - F.length(F.replace(field, F.lit(quote), F.lit("")))) % 2 == 1
+    # Fields with an odd number of quotes turn the state, or close what is open; others leave it.
+    # The code holds the states that follow from state 0 and, times two, from state 1.
+    def step(code: Column, field: Column) -> Column:
+        odd = (F.length(field) - F.length(F.replace(field, F.lit(quote), F.lit("")))) % 2 == 1
+        turned = F.when(F.startswith(field, F.lit(quote)), F.lit(3) - code).otherwise(0)
+        return F.when(odd, turned).otherwise(code)
 
-    def step(state: Column, field: Column) -> Column:
-        opened = F.startswith(field, F.lit(quote)) & odd(field)
-        return F.when(F.when(state == 0, opened).otherwise(~odd(field)), 1).otherwise(0)
-
-    def end(start: int) -> Column:
-        fields = F.split(line, f"[{sep}]")
-        return F.when(F.contains(line, F.lit(quote)), F.aggregate(fields, F.lit(start), step)).otherwise(start)
-
-    return Effect(end(0), end(1), F.lit(0), F.lit(0), line.isin("", "\r"))
+    # Only fields with a quote, each from its start to the next separator.
+    quoted = F.lit(f"(?<![^{sep}])[^{sep}{quote}]*+{quote}[^{sep}]*+")
+    walked = F.aggregate(F.regexp_extract_all(line, quoted, F.lit(0)), F.lit(2), step)
+    code = F.when(F.contains(line, F.lit(quote)), walked).otherwise(2)
+    return Effect(code % 2, F.floor(code / 2), F.lit(0), F.lit(0), line.isin("", "\r"))
 
 
 def json_effect(piece: Column) -> Effect:
     """What follows an opening brace, up to the next one."""
-    plain = F.regexp_replace(piece, r"(?s)\\.", "")
+
+    def count(text: Column, mark: str) -> Column:
+        return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
+
+    # Pairs of backslashes first, so that those left escape what follows them.
+    plain = piece
+    for escaped in (r"\\", r'\"', r"\}"):
+        plain = F.replace(plain, F.lit(escaped), F.lit(""))
+    turned = count(plain, '"') % 2
     strings = r'"[^"]*("|$)'
-    quotes = F.length(plain) - F.length(F.replace(plain, F.lit('"'), F.lit("")))
 
-    def closing(text: Column) -> Column:
-        rest = F.regexp_replace(text, strings, "")
-        return F.length(rest) - F.length(F.replace(rest, F.lit("}"), F.lit("")))
+    def closing(text: Column, outside: Column) -> Column:
+        # Most pieces close what they close behind their last quote.
+        last = count(F.substring_index(plain, '"', -1), "}")
+        every = count(F.regexp_replace(text, strings, ""), "}")
+        return F.when(last < count(plain, "}"), every).when(outside, last).otherwise(0)
 
     # Begun inside a string, the brace in front and all up to the next quote are text.
-    inside = closing(F.concat(F.lit('"'), plain))
-    return Effect(quotes % 2, 1 - quotes % 2, 1 - closing(plain), -inside, F.lit(False))
+    inside = closing(F.concat(F.lit('"'), plain), turned == 1)
+    return Effect(turned, 1 - turned, 1 - closing(plain, turned == 0), -inside, F.lit(False))

@@ -188,7 +188,7 @@ def raw_json(
     return rows.select(*fields, F.col(_CORRUPT), *lineage, *_date(rows))
 
 
-CSV_SHAPE = cuts.Shape(glue="\n", lead=False)
+CSV_SHAPE = cuts.Shape(glue="\n", lead=False, nested=False)
 JSON_SHAPE = cuts.Shape(glue="{", lead=True)
 
 

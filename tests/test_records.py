@@ -167,3 +167,56 @@ def test_whole_chunks_are_not_shuffled(spark, tmp_path):
     simple = found.filter(F.col(records.NUMBER) > 0)
     plan = simple._jdf.queryExecution().executedPlan().toString()
     assert "wholetext" not in plan and "BatchEvalPython" not in plan
+
+
+def _open_after(line, state):
+    """The state after a CSV line, field by field."""
+    for field in line.split(","):
+        odd = field.count('"') % 2 == 1
+        state = (1 - odd) if state else int(odd and field.startswith('"'))
+    return state
+
+
+def test_csv_effects_of_lines_with_any_quotes(spark):
+    rng = random.Random(5)
+    lines = ["".join(rng.choice('ab,,"" \r') for _ in range(rng.randint(0, 12))) for _ in range(2000)]
+    rows = spark.createDataFrame([(line,) for line in lines], "line string")
+    effect = records.csv_effect(F.col("line"))
+    for line, end0, end1 in rows.select("line", effect.end0, effect.end1).collect():
+        assert (end0, end1) == (_open_after(line, 0), _open_after(line, 1)), line
+
+
+def _ended(piece, inside):
+    """Whether a string is open after a JSON piece, and the braces that close outside strings."""
+    i, closed = 0, 0
+    while i < len(piece):
+        if piece[i] == "\\":
+            i += 1
+        elif piece[i] == '"':
+            inside = not inside
+        elif piece[i] == "}" and not inside:
+            closed += 1
+        i += 1
+    return int(inside), closed
+
+
+def test_json_effects_of_pieces_with_any_escapes(spark):
+    rng = random.Random(6)
+    pieces = ["".join(rng.choice('a\\"}, ') for _ in range(rng.randint(0, 12))) for _ in range(2000)]
+    rows = spark.createDataFrame([(piece,) for piece in pieces], "piece string")
+    effect = records.json_effect(F.col("piece"))
+    for piece, *found in rows.select("piece", effect.end0, effect.end1, effect.add0, effect.add1).collect():
+        (end0, closed0), (end1, closed1) = _ended(piece, False), _ended(piece, True)
+        assert found == [end0, end1, 1 - closed0, -closed1], piece
+
+
+def test_the_records_that_chunks_begin_are_worked_out_once(spark, tmp_path, monkeypatch):
+    """Two tables are made of them; each would repeat the windows over all effects."""
+    made = []
+    real = records.cut
+    monkeypatch.setattr(records, "cut", lambda df, label, *more: made.append(label) or real(df, label, *more))
+    text = "\n".join([",".join(NAMES), 'A1,"one\ntwo"' + ",1" * 14, "A2" + ",1" * 15])
+    (_folder(tmp_path, "IN", "csv") / "f.csv").write_text(text)
+    found = landing.split_csv(landing.raw_orders(spark, str(tmp_path), INDIA, pieces=True)).collect()
+    assert sorted(r["order_id"] for r in found) == ["A1", "A2"]
+    assert made.count("begun") == 1
