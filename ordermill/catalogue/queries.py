@@ -365,8 +365,8 @@ def _label(column: str) -> str:
 def damaged_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A damaged file in each format is set aside while the others load, and loads once repaired."""
     orders = cut(sample.sales_orders(spark, sf_dir), "orders")
-    found = []
-    for market in DEFAULT.markets:
+
+    def ingested(market: Market) -> DataFrame:
         root = new_folder(spark, "landing")
         sample_landing.write_files(sample_landing.file_fields(orders, market), market, root)
         place = f"{landing.landing_path(root, market)}/date=2000-01-01"
@@ -400,8 +400,9 @@ def damaged_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(aside).alias("set_aside"), F.lit(again).alias("again"),
             F.lit(repaired_rows).alias("repaired"), F.lit(last).alias("last"),
         )
-        found.append(cut(counts, "counts"))
-    return reduce(DataFrame.unionByName, found)
+        return cut(counts, "counts")
+
+    return reduce(DataFrame.unionByName, together(partial(ingested, m) for m in DEFAULT.markets))
 
 
 # The order that a repaired file holds.

@@ -66,6 +66,9 @@ FIELDS = (
 CSV_NULL = "null"
 JSON_NULLS = ("\\n", "null", "")
 
+# Names of compressed text files end with one of these.
+PACKED = (".gz", ".gzip", ".bz2", ".deflate", ".lz4", ".snappy", ".zst", ".xz")
+
 CSV_OPTIONS = {
     "header": "true",
     "sep": ",",
@@ -358,6 +361,11 @@ def parquet_groups(
     return [(T.StructType([f for f in found if f.name in labels]), paths)], []
 
 
+def compressed(paths: list[str], file_format: str) -> list[str]:
+    """The text files among these that are unpacked while they are read, by their names."""
+    return [] if file_format == "parquet" else [p for p in paths if p.lower().endswith(PACKED)]
+
+
 def unreadable(spark: SparkSession, paths: list[str], file_format: str) -> list[str]:
     """The files that cannot be read from end to end.
 

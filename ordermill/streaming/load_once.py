@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ordermill.operators.keys import next_key, next_start, note_range
 from ordermill.rules import DEFAULT, Market, Rules
-from ordermill.shared import JobFailure, exists, scratch
+from ordermill.shared import JobFailure, exists, scratch, together
 from ordermill.sources import landing, tables
 
 LOAD_ID = "load_id"
@@ -60,12 +60,17 @@ def write_files(
     """Write the rows of these files to the source table and the rejects table.
 
     Files that cannot be read have one row each among the rejects, and the others go on without
-    them: when an attempt fails, all its files are tested, and it is repeated without those
-    that fail again. If none does, the failure is not theirs, and is raised.
+    them. Compressed text, which may not unpack, is tested first: other text can always be read,
+    and an attempt that meets such a file near its end has parsed all others in vain. When an
+    attempt fails, all its files are tested, and it is repeated without those that fail again.
+    If none does, the failure is not theirs, and is raised.
     """
     start = _start(spark, table, load_id, ranges)
-    left, damaged = sorted(paths), set()
-    while True:
+    packed = landing.compressed(sorted(paths), market.file_format)
+    damaged = set(landing.unreadable(spark, packed, market.file_format)) if packed else set()
+    left = sorted(set(paths) - damaged)
+    load = None
+    while left:
         with scratch(spark, "staged"):
             try:
                 staged, more = landing.stage_files(spark, root, left, market, rules, start)
@@ -78,9 +83,6 @@ def write_files(
                     raise
                 damaged.update(found)
                 left = [path for path in left if path not in set(found)]
-                if not left:
-                    load = None
-                    break
     written, bad, last = load or (0, 0, start - 1)
     if damaged:
         rows = landing.set_aside(spark, sorted(damaged))
@@ -94,12 +96,18 @@ def _write(
     staged: DataFrame, load_id: str, market: Market, table: str, rejects: str, start: int
 ) -> tuple[int, int, int]:
     """Rows written and rejected, and the last key in use."""
-    seen = tables.replace_and_see(
-        landing.accepted(staged, market), table, LOAD_ID, load_id,
-        rows=F.count(F.lit(1)), last=F.coalesce(F.max("sales_order_key"), F.lit(start - 1)),
-    )
-    bad = tables.replace_partition(landing.rejected(staged), rejects, LOAD_ID, load_id)
-    return seen["rows"], bad, seen["last"]
+    last = F.coalesce(F.max("sales_order_key"), F.lit(start - 1))
+
+    def orders() -> dict[str, object]:
+        rows = landing.accepted(staged, market)
+        return tables.replace_and_see(rows, table, LOAD_ID, load_id, rows=F.count(F.lit(1)), last=last)
+
+    def others() -> dict[str, object]:
+        rows = landing.rejected(staged)
+        return tables.replace_and_see(rows, rejects, LOAD_ID, load_id, rows=F.count(F.lit(1)))
+
+    seen, bad = together((orders, others))
+    return seen["rows"], bad["rows"], seen["last"]
 
 
 def _set_aside(spark: SparkSession, rejects: str) -> set[str]:

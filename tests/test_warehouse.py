@@ -434,3 +434,34 @@ def test_reconciliation_names_what_was_tampered_with(warehouse, tmp_path):
         ("r11", None, 3, 2, "lost"),
         (None, dt.date(2023, 1, 1), 2, 3, "doubled"),
     ]
+
+
+def test_a_damaged_packed_file_is_found_before_all_are_parsed(spark, tmp_path, source, monkeypatch):
+    orders, rejects = source
+    root = tmp_path / "landing"
+    _drop(root, "2023-01-01", ("A", "2023-01-01", 1, "Ann"))
+    folder = root / "source=IN" / "format=csv" / "date=2023-01-02"
+    folder.mkdir()
+    (folder / "damaged.csv.gz").write_bytes(b"\x1f\x8b\x08\x00 no file of this kind")
+    attempts = []
+    real = landing.stage_files
+    monkeypatch.setattr(
+        landing, "stage_files", lambda spark, root, paths, *more: attempts.append(paths) or real(spark, root, paths, *more)
+    )
+    (load,) = load_new_files(spark, str(root), INDIA, orders, rejects, str(tmp_path / "cp"))
+    assert (load.rows_written, load.rows_rejected) == (1, 1)
+    assert len(attempts) == 1
+    assert not any(path.endswith("damaged.csv.gz") for path in attempts[0])
+    (row,) = spark.table(rejects).collect()
+    assert row[landing.BAD_FIELDS] == landing.UNREADABLE
+
+
+def test_files_that_are_all_damaged_leave_only_rejects(spark, tmp_path, source):
+    orders, rejects = source
+    folder = tmp_path / "landing" / "source=IN" / "format=csv" / "date=2023-01-02"
+    folder.mkdir(parents=True)
+    for name in ("a.csv.gz", "b.CSV.GZ"):
+        (folder / name).write_bytes(b"\x1f\x8b\x08\x00 no file of this kind")
+    (load,) = load_new_files(spark, str(tmp_path / "landing"), INDIA, orders, rejects, str(tmp_path / "cp"))
+    assert load.rows_written == 0
+    assert spark.table(orders).count() == 0
