@@ -20,9 +20,9 @@ Without training texts every predictor is silent and each decision costs one bit
 
 from __future__ import annotations
 
+import ctypes
 import heapq
 import math
-import zlib
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -86,6 +86,22 @@ FREQUENT = 1 << 17
 END_KEY = 1
 FLUSH_KEYS = 1_000_000
 SLICE = 250_000
+# Codes and bytes for the C library: freed memory that it keeps, and arrays that it takes from it.
+KEPT = ((-1, 1 << 28), (-3, 1 << 25))
+
+
+def keep_memory() -> None:
+    """Let the C library keep what arrays give back, for those of the next slice.
+
+    Otherwise it goes back to the system, which clears every page before it is used again.
+    Elsewhere than with glibc nothing changes.
+    """
+    try:
+        library = ctypes.CDLL(None)
+        for code, size in KEPT:
+            library.mallopt(code, size)
+    except (OSError, AttributeError):
+        pass
 
 
 class Symbols(NamedTuple):
@@ -139,7 +155,7 @@ def read_symbols(data: np.ndarray, offsets: np.ndarray, hasher: SpanHasher) -> S
         before[4:] |= wide32[4 - back : len(wide) - back] << np.uint32(32 - 8 * back)
     four = before[at]
     context = _contexts(four >> np.uint32(24), four >> np.uint32(16) & np.uint32(255))
-    starts = np.where(BREAK[wide] | ~inside | is_end, np.arange(len(wide)) + 1, 0)
+    starts = np.where(BREAK[wide] | ~inside | is_end, np.arange(1, len(wide) + 1, dtype=np.int32), np.int32(0))
     starts[is_end] = 0
     starts = np.maximum.accumulate(starts)
     # The word before a symbol begins after the last break before it; of a longer one, its
@@ -252,12 +268,13 @@ class Coder:
         sizes = code.size[entry]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
-        path = np.repeat((code.first[entry] - (ends - sizes)).astype(np.int32), sizes)
-        path += np.arange(total, dtype=np.int32)
+        # As wide as places are, for three lookups, and inside, so that none has to be checked.
+        path = np.repeat(code.first[entry] - (ends - sizes), sizes)
+        path += np.arange(total)
         per_symbol = sizes
         if len(lost):
             per_symbol = np.bincount(owner, weights=sizes, minlength=len(symbols.symbol)).astype(np.int64)
-        node = code.nodes[path]
+        node = code.nodes.take(path, mode="clip")
         with np.errstate(over="ignore"):
             mixed = node.astype(np.uint32) * np.uint32(0x85EBCA6B)
             own = [
@@ -272,7 +289,8 @@ class Coder:
                 h *= np.uint32(0x2C1B3C6D)
                 h >>= np.uint32(32 - SLOT_BITS)
                 slots.append(h.view(np.int32))
-        return Decisions(node, code.bits[path], code.depth[path], slots, per_symbol)
+        bit, depth = code.bits.take(path, mode="clip"), code.depth.take(path, mode="clip")
+        return Decisions(node, bit, depth, slots, per_symbol)
 
 
 class Tables(NamedTuple):
@@ -370,6 +388,7 @@ class Scorer:
 
 def _partition_counts(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
     """Rows (kind, key, n): 0 for cells of the code trees, 1 for words of the baseline."""
+    keep_memory()
     hasher = SpanHasher()
     cells = np.zeros((CONTEXTS + 1) * CELL, np.int64)
     words: list[tuple[np.ndarray, np.ndarray]] = []
@@ -413,42 +432,48 @@ def word_keys(data: np.ndarray, offsets: np.ndarray, hasher: SpanHasher) -> tupl
 
 
 def _packed(counts: np.ndarray) -> bytes:
-    """Counts in four bytes each where that is enough, in eight where it is not."""
-    kind = np.uint32 if counts.max(initial=0) < 1 << 32 else np.uint64
-    return zlib.compress(np.dtype(kind).char.encode() + counts.astype(kind).tobytes(), 1)
+    """Counts in as few bytes each as the largest takes, behind their type and number."""
+    kind = np.min_scalar_type(int(counts.max(initial=0)))
+    head = kind.char.encode() + len(counts).to_bytes(8, "little")
+    return head + pa.compress(counts.astype(kind).tobytes(), "zstd", asbytes=True)
 
 
 def _unpacked(raw: bytes) -> np.ndarray:
-    data = zlib.decompress(raw)
-    return np.frombuffer(data, np.dtype(data[:1].decode()), offset=1).astype(np.int64)
+    kind, n = np.dtype(raw[:1].decode()), int.from_bytes(raw[1:9], "little")
+    data = pa.decompress(raw[9:], n * kind.itemsize, "zstd", asbytes=True)
+    return np.frombuffer(data, kind).astype(np.int64)
+
+
+def _added(tables: list[np.ndarray] | None, narrow: list[np.ndarray]) -> list[np.ndarray]:
+    """The sums in 64 bits, or the narrow counts where there are no others yet."""
+    if tables is None:
+        return narrow
+    return [a.astype(np.int64) + b for a, b in zip(tables, narrow, strict=True)]
 
 
 def _partition_tables(code: Code, text: str) -> Callable:
     """Rows (part, salt, counts): the partition's counts by slot and bit, a block at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_memory()
         coder, hasher = Coder(code), SpanHasher()
         lengths = [2 * code.n_nodes, *[2 * SLOTS] * HASHED]
-        tables = [np.zeros(n, np.int64) for n in lengths]
         # Narrow counts stay closer to the core; they are added up before one can overflow.
-        narrow, counted = [np.zeros(n, np.uint32) for n in lengths], 0
+        tables, narrow, counted = None, [np.zeros(n, np.uint32) for n in lengths], 0
         any_text = False
         for batch in batches:
             for _, texts in slices(batch, text, SLICE):
                 any_text = True
                 found = coder.decisions(read_symbols(*flat(texts), hasher))
                 if counted + len(found.node) >= 1 << 32:
-                    for table, few in zip(tables, narrow, strict=True):
-                        table += few
-                        few[:] = 0
-                    counted = 0
+                    tables = _added(tables, narrow)
+                    narrow, counted = [np.zeros(n, np.uint32) for n in lengths], 0
                 counted += len(found.node)
                 for few, slot in zip(narrow, [found.node, *found.slots], strict=True):
-                    np.add.at(few, slot * 2 + found.bit, np.uint32(1))
+                    np.add.at(few, slot.astype(np.intp) * 2 + found.bit, np.uint32(1))
         if any_text:
             part = 0
-            for table, few in zip(tables, narrow, strict=True):
-                table += few
+            for table in _added(tables, narrow):
                 for at in range(0, len(table), 2 * BLOCK_SLOTS):
                     raw = _packed(table[at : at + 2 * BLOCK_SLOTS])
                     yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([raw], pa.binary())], names=["part", "counts"])
@@ -561,6 +586,7 @@ def score_texts(df: DataFrame, model: Model, text: str = "text", drop_text: bool
     sent = spark.sparkContext.broadcast((model.code, model.tables, frequent))
 
     def start() -> Callable[[pa.Array], list]:
+        keep_memory()
         code, tables, (keys, counts) = sent.value
         scorer, index = Scorer(code, tables), IntMap(keys, np.arange(len(keys)))
         logs = np.log10((counts + 0.5) / whole)

@@ -168,3 +168,16 @@ def test_columns_named_like_inner_ones_stay(spark):
     scored = lm.score_texts(df, lm.fit(df))
     assert scored.filter(" OR ".join(f"{c} <> '{c}'" for c in names)).isEmpty()
     assert scored.count() == df.count()
+
+
+def test_slices_use_the_memory_of_those_before(model):
+    import resource
+
+    lm.keep_memory()
+    texts = binary(["some words of a text, one after the other " * 50] * 100)
+    scorer = lm.Scorer(model.code, model.tables)
+    scorer.score(texts)
+    scorer.score(texts)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+    scorer.score(texts)
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before < 3000
