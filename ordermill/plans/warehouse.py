@@ -293,14 +293,17 @@ class Warehouse:
             raise ValueError(f"run {run_id} is complete, choose another name")
         with scratch(self.spark, "curate"):
             rows = 0
-            for table in {self.rules.market(m.reads_from).source_table for m in self.rules.markets}:
-                self._note_loads("source", table)
-                self._note_days("source", table)
+            held = {("source", self.rules.market(m.reads_from).source_table) for m in self.rules.markets}
+            held |= {("curated", m.source_table) for m in self.rules.markets}
+
+            def note(layer: str, table: str) -> None:
+                self._note_loads(layer, table)
+                self._note_days(layer, table)
+
+            together(partial(note, *table) for table in sorted(held))
             for market in self.rules.markets:
                 source = self.rules.market(market.reads_from).source_table
                 stage = self.name("curated", market.source_table)
-                self._note_loads("curated", market.source_table)
-                self._note_days("curated", market.source_table)
                 rows += self._rows("source", source, self._pending("source", source, stage))
             # As wide as what is new; days curated again add the other orders of these days.
             with shuffles_for(self.spark, rows):
@@ -368,8 +371,7 @@ class Warehouse:
         curated = [m.source_table for m in self.rules.markets]
         stage = self.name("consumption", "sales_fact")
         with scratch(self.spark, "model"):
-            for table in curated:
-                self._note_loads("curated", table)
+            together(partial(self._note_loads, "curated", table) for table in curated)
             if not self.rules.incremental_fact:
                 rows = sum(self._rows("curated", table, None) for table in curated)
                 with shuffles_for(self.spark, rows):
@@ -408,8 +410,9 @@ class Warehouse:
             return tables.append_new(fresh, name)
 
         together(partial(extend, d) for d in DIMENSIONS)
-        for dimension in DIMENSIONS:
-            self._note_growth("consumption", dimension.table, fact_load)
+        together(
+            partial(self._note_growth, "consumption", d.table, fact_load) for d in DIMENSIONS
+        )
         members = {d.table: self.table("consumption", d.table) for d in DIMENSIONS}
         name, ranges = self.name("consumption", "sales_fact"), self.name("audit", "key_ranges")
         start = next_start(self.spark.table(ranges), name, fact_load)

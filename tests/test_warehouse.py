@@ -3,6 +3,7 @@
 import csv
 import datetime as dt
 import os
+import threading
 import uuid
 
 import pytest
@@ -465,3 +466,11 @@ def test_files_that_are_all_damaged_leave_only_rejects(spark, tmp_path, source):
     (load,) = load_new_files(spark, str(tmp_path / "landing"), INDIA, orders, rejects, str(tmp_path / "cp"))
     assert load.rows_written == 0
     assert spark.table(orders).count() == 0
+
+
+def test_tables_are_noted_at_the_same_time(warehouse, monkeypatch):
+    meeting = threading.Barrier(2, timeout=60)
+    monkeypatch.setattr(Warehouse, "_note_loads", lambda self, layer, table: meeting.wait())
+    warehouse.create()
+    # One after the other they would never meet.
+    assert warehouse.curate("first") == 0
