@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -56,6 +57,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def held(df: DataFrame) -> DataFrame:
+    """df on the executors' disks, where Spark keeps it: evaluated once, a lost block again.
+
+    Tasks write no files here. On a local file system Hadoop starts a process for every file that
+    is made (chmod), which shares the executor's memory until it runs, so the executor seems
+    twice its size; stages that read whole texts are the worst place for that.
+    """
+    # A condition of its own, or Spark would take rows that it keeps for an equal plan, though
+    # the files may have changed since.
+    own = df.where(F.lit(uuid.uuid4().hex).isNotNull()).persist(StorageLevel.DISK_ONLY)
+    own.count()
+    return own
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, once per application, as the functions need it."""
     app = spark.conf.get("spark.app.id")

@@ -39,10 +39,10 @@ from ordermill.llm.common import (
     SpanHasher,
     flat,
     free_name,
+    held,
     map_texts,
     ship,
     slices,
-    stored,
     summed,
     without,
     word_spans,
@@ -512,7 +512,7 @@ def _summed_parts(parts: DataFrame) -> DataFrame:
 
 
 class Model(NamedTuple):
-    """Trees and tables (of bounded size), and the baseline's counts as a written table."""
+    """Trees and tables (of bounded size), and the baseline's counts as a table that Spark holds."""
 
     code: Code
     tables: Tables
@@ -529,7 +529,7 @@ def fit(df: DataFrame, text: str = "text") -> Model:
     counted = texts.mapInArrow(
         lambda batches: _partition_counts(batches, "_text"), "kind int, key long, n long"
     )
-    counts = stored(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm_counts")
+    counts = held(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")))
     # At most CONTEXTS * SYMBOLS rows, some ten thousand with natural texts.
     cells = {r.key: r.n for r in counts.where("kind = 0").collect()}
     code = build_code(cells)
@@ -543,7 +543,7 @@ def fit(df: DataFrame, text: str = "text") -> Model:
     # Two levels, so that no task adds up more than the square root of all partitions' blocks.
     salted = parts.withColumn("salt", F.spark_partition_id().cast("long") % 64)
     once = _summed_parts(salted)
-    total = stored(_summed_parts(once.withColumn("salt", F.lit(0).cast("long"))), "lm_tables")
+    total = _summed_parts(once.withColumn("salt", F.lit(0).cast("long")))
     # The tables have a fixed size, whatever the texts are.
     raw = {r.part: _unpacked(r.counts) for r in total.collect()}
     node_parts = -(-code.n_nodes // BLOCK_SLOTS)
@@ -564,6 +564,25 @@ def fit(df: DataFrame, text: str = "text") -> Model:
     return Model(code, tables, words, known.tokens or 0, known.distinct or 0)
 
 
+def _most_frequent(words: DataFrame) -> DataFrame:
+    """The FREQUENT most frequent words, those with the smallest keys where the last are equal.
+
+    Sorting with a limit sends as many rows of every partition to the driver. So the others are
+    left out before: those less frequent than the last, and of the equally frequent ones those
+    whose keys, which are hashes and so evenly spread, are far beyond the ones still needed.
+    """
+    # As many rows as there are different counts, at most the root of twice the tokens.
+    many = words.groupBy("n").agg(F.count(F.lit(1)).alias("words")).collect()
+    left, found = FREQUENT, F.lit(True)
+    for n, equal in sorted(((r.n, r.words) for r in many), reverse=True):
+        if equal > left:
+            bound = min((left + 8 * math.isqrt(left) + 64) * (1 << 63) // equal, (1 << 63) - 1)
+            found = (F.col("n") > n) | (F.col("n") == n) & (F.col("key") <= bound)
+            break
+        left -= equal
+    return words.where(found).orderBy(F.desc("n"), "key").limit(FREQUENT)
+
+
 def score_texts(df: DataFrame, model: Model, text: str = "text", drop_text: bool = False) -> DataFrame:
     """df with n_tokens, n_known, train_tokens, base_score, score and bits_per_byte."""
     spark = df.sparkSession
@@ -580,7 +599,7 @@ def score_texts(df: DataFrame, model: Model, text: str = "text", drop_text: bool
         StructField(own_bytes, LongType()),
         StructField(own_rare, ArrayType(LongType())),
     ]
-    top = model.words.orderBy(F.desc("n"), "key").limit(FREQUENT).collect()
+    top = _most_frequent(model.words).collect()
     frequent = (np.array([r.key for r in top], np.int64), np.array([r.n for r in top], np.int64))
     whole = model.tokens + 0.5 * (model.distinct + 1)
     sent = spark.sparkContext.broadcast((model.code, model.tables, frequent))
@@ -611,9 +630,7 @@ def score_texts(df: DataFrame, model: Model, text: str = "text", drop_text: bool
         return score
 
     numbered = without(df, names).withColumn(own_row, F.monotonically_increasing_id())
-    scored = stored(
-        map_texts(numbered, text, fields, start, limit=SLICE, drop_text=drop_text), "lm_scores"
-    )
+    scored = held(map_texts(numbered, text, fields, start, limit=SLICE, drop_text=drop_text))
     rare = scored.select(own_row, F.explode(own_rare).alias("key"))
     n = F.coalesce("n", F.lit(0))
     sums = (

@@ -1,14 +1,18 @@
 import math
+import os
 import re
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from cases import clashing, frame, rows
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ordermill.llm import lm_scoring as lm
-from ordermill.llm.common import SpanHasher, flat
+from ordermill.llm.common import SpanHasher, flat, held, shared_folder
 
 FOLD = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
 
@@ -181,3 +185,46 @@ def test_slices_use_the_memory_of_those_before(model):
     before = resource.getrusage(resource.RUSAGE_SELF).ru_minflt
     scorer.score(texts)
     assert resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before < 3000
+
+
+def test_held_rows_are_made_once_and_not_taken_for_changed_files(spark, tmp_path):
+    path, made = str(tmp_path / "numbers.parquet"), spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    def read():
+        return held(spark.read.parquet(path).mapInArrow(count, "n long"))
+
+    pq.write_table(pa.table({"n": [1, 2]}), path)
+    first = read()
+    sums = first.groupBy("n").agg(F.sum("n").alias("s"))
+    assert sorted(map(tuple, first.join(sums, "n", "left").collect())) == [(1, 1), (2, 2)]
+    assert made.value == 2
+    pq.write_table(pa.table({"n": [5]}), path)
+    assert [r.n for r in read().collect()] == [5]
+
+
+def test_tasks_of_the_passes_write_no_files(spark):
+    folder = shared_folder(spark)
+    before = set(os.listdir(folder))
+    found = lm.score_texts(frame(spark), lm.fit(frame(spark, train())), drop_text=True)
+    assert found.count() == len(rows())
+    assert set(os.listdir(folder)) == before
+
+
+@pytest.mark.parametrize("frequent", [0, 1, 5, 300, 5000])
+def test_only_the_most_frequent_words_reach_the_driver(spark, monkeypatch, frequent):
+    monkeypatch.setattr(lm, "FREQUENT", frequent)
+    keys = np.random.default_rng(1).integers(2, 2**63 - 1, 4000).tolist()
+    every = [(k, 1 + (i % 40 == 0) + (i == 7) * 9) for i, k in enumerate(keys)]
+    words = spark.createDataFrame(every, "key long, n long").repartition(16)
+    best = lm._most_frequent(words)
+    assert [(r.key, r.n) for r in best.collect()] == sorted(every, key=lambda r: (-r[1], r[0]))[:frequent]
+    # Those that are sorted are few more.
+    monkeypatch.setattr(DataFrame, "limit", lambda self, n: self)
+    assert lm._most_frequent(words).count() <= frequent + 8 * math.isqrt(frequent) + 200
+    monkeypatch.undo()
+    assert lm._most_frequent(words.limit(0)).collect() == []
